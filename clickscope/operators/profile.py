@@ -35,8 +35,10 @@ def head_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """A5: count, mean, std (n-1), min, quartiles (linear interpolation), max.
+def describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
+             group: str | None = None) -> DataFrame:
+    """A5: count, mean, std (n-1), min, quartiles (linear interpolation), max,
+    optionally per group (D6: per drift side) in the same single pass.
 
     Not ``df.summary()``: its quartiles are approximate.
     """
@@ -47,8 +49,9 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
         aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"),
                  q.alias(f"{c}__q"), F.max(c).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    return _inline(wide, [F.struct(
+    wide = df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+    lead = [F.col(group)] if group else []
+    return wide.select(*lead, F.inline(F.array(*[F.struct(
         F.lit(c).alias("feature"),
         F.col(f"{c}__n").cast("long").alias("count"),
         r6(F.col(f"{c}__mean").cast("double")).alias("mean"),
@@ -57,7 +60,7 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
         r6(F.col(f"{c}__q")[0].cast("double")).alias("p25"),
         r6(F.col(f"{c}__q")[1].cast("double")).alias("p50"),
         r6(F.col(f"{c}__q")[2].cast("double")).alias("p75"),
-        r6(F.col(f"{c}__max").cast("double")).alias("max")) for c in cols])
+        r6(F.col(f"{c}__max").cast("double")).alias("max")) for c in cols])))
 
 
 def missing_report(df: DataFrame, cols: Sequence[str] | None = None,
