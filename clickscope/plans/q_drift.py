@@ -13,6 +13,7 @@ from clickscope.plans.q_clean import processed_sessions
 from clickscope.plans.q_split import RANKED_CTES
 from clickscope.plans.oracle import with_ctes
 from clickscope.plans.registry import register
+from clickscope.session import cut_lineage
 
 FEATURES = tuple(c for c in SESSION_FEATURES if c != TARGET)
 NOMINAL = ("gender", "device_type")
@@ -24,7 +25,10 @@ TAGGED_CTES = RANKED_CTES + ["""tagged AS (
 
 
 def tagged_sessions(spark, sf_dir):
-    return S.random_split(processed_sessions(spark, sf_dir, keep_id=True), "session_id", 0.3, 42)
+    """Processed sessions tagged reference/current, written once to the shared
+    checkpoint folder (the drift statistics read them in several passes)."""
+    return cut_lineage(S.random_split(processed_sessions(spark, sf_dir, keep_id=True),
+                                      "session_id", 0.3, 42))
 
 
 def _mean_shift_sql():
