@@ -49,6 +49,19 @@ def read_events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int
     return s.withColumn("event_time", F.timestamp_micros(epoch_micros("ts")))
 
 
+def _batch_path(root: str, batch_id: int) -> str:
+    """Per-batch output folder: a replayed micro-batch overwrites its own
+    output (idempotent sink), readers see ``batch_id`` as a partition column."""
+    return os.path.join(root, f"batch_id={batch_id}")
+
+
+def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.parquet(path) if p.getFileSystem(conf).exists(p) else None
+
+
 def _run(stream_writer, trigger_available_now: bool = True, timeout_s: int = 600):
     q = (stream_writer.trigger(availableNow=True) if trigger_available_now
          else stream_writer).start()
@@ -80,8 +93,7 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
         (batch.select(F.date_from_unix_date((F.unix_micros(F.col("window.start"))
                                              / 86_400_000_000).cast("int")).alias("window_start"),
                       "event_type", "n", "mean_value", "std_value")
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(log))
+         .write.mode("overwrite").parquet(_batch_path(log, batch_id)))
 
     _run(agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", scratch(spark, "moments-ckpt")))
@@ -112,20 +124,19 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
     files arrive in time order."""
     out = scratch(spark, "responses")
     cache_root = scratch(spark, "cache")
-    state = {"version": None}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        cache = (spark.read.parquet(state["version"]) if state["version"] else None)
+        # the cache left by the previous batch is found on the shared file
+        # system, so a restarted query (replaying batch_id) sees the same state
+        cache = _read_if_present(spark, os.path.join(cache_root, f"v{batch_id - 1}"))
         resp, new_cache = K.cached_scoring(batch, key_cols, "ts", "event_id", score,
                                            ttl_seconds, cache, model_version)
-        resp.write.mode("append").parquet(out)
-        path = os.path.join(cache_root, f"v{batch_id}")
-        new_cache.write.mode("overwrite").parquet(path)
-        state["version"] = path
+        resp.write.mode("overwrite").parquet(_batch_path(out, batch_id))
+        new_cache.write.mode("overwrite").parquet(os.path.join(cache_root, f"v{batch_id}"))
 
     _run(read_events_stream(spark, sf_dir).writeStream.foreachBatch(sink)
          .option("checkpointLocation", scratch(spark, "scoring-ckpt")))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 def stream_validate(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
@@ -142,7 +153,7 @@ def stream_validate(spark: SparkSession, sf_dir: str, watermark: str = "1 hour")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.select("event_id", "passed", F.concat_ws(",", "failed_rules").alias("failed_rules")) \
-            .write.mode("append").parquet(out)
+            .write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
     _run(flagged.writeStream.foreachBatch(sink)
          .option("checkpointLocation", scratch(spark, "validate-ckpt")))
