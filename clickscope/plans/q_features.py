@@ -16,9 +16,6 @@ NOMINAL = ("gender", "device_type")
 NUMERIC = tuple(c for c in SESSION_FEATURES if c not in NOMINAL)
 # The five standardised columns of the written design.
 SCALED = ("age", "time_on_site", "pages_viewed", "previous_purchases", "cart_items")
-# Labels present in the test data (oracle side only; Spark fits them).
-GENDER_LABELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Unknown")
-DEVICE_LABELS = ("Desktop", "Mobile", "Tablet", "Unknown")
 
 IMPUTED_CTES = CLEAN_CTES + [
     "meds AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in NUMERIC) + " FROM filled)",
@@ -42,18 +39,22 @@ def q_median_impute(spark, sf_dir):
     return df.select("session_id", *[r6(c).alias(c) for c in NUMERIC])
 
 
-@register("one_hot", with_ctes(CLEAN_CTES, "SELECT session_id, "
-                               + ", ".join(f"CAST(gender = '{g}' AS TINYINT) AS gender_{g}"
-                                           for g in GENDER_LABELS) + ", "
-                               + ", ".join(f"CAST(device_type = '{d}' AS TINYINT) AS device_{d}"
-                                           for d in DEVICE_LABELS) + " FROM filled"))
+@register("one_hot", with_ctes(CLEAN_CTES, """
+SELECT f.session_id, l.feature, l.label,
+       CAST(CASE WHEN l.feature = 'gender' THEN f.gender ELSE f.device_type END = l.label AS TINYINT) AS flag
+FROM filled f JOIN labels l ON TRUE"""))
 def q_one_hot(spark, sf_dir):
+    """F4 over the fitted labels, reported long (session, feature, label, flag):
+    the wide ``<feature>_<label>`` columns depend on which labels the data has."""
     df = filled_sessions(spark, sf_dir)
     enc = C.fit_label_encoder(df, list(NOMINAL))
     df = X.one_hot(df, "gender", enc["gender"], "gender")
     df = X.one_hot(df, "device_type", enc["device_type"], "device")
-    return df.select("session_id", *[c for c in df.columns
-                                     if c.startswith("gender_") or c.startswith("device_")])
+    flags = [F.struct(F.lit(feat).alias("feature"), F.lit(lab).alias("label"),
+                      F.col(f"{pre}_{lab}").alias("flag"))
+             for feat, pre in (("gender", "gender"), ("device_type", "device"))
+             for lab in enc[feat]]
+    return df.select("session_id", F.inline(F.array(*flags)))
 
 
 @register("standardize", with_ctes(IMPUTED_CTES + [
