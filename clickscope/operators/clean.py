@@ -120,13 +120,39 @@ def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: st
     Returns (processed, encoder, medians).
     """
     unknown_cols = [c for c in unknown_cols if c in raw.columns]
-    medians = fit_medians(raw, [c for c in median_cols if c in raw.columns], exact_median)
+    median_cols = [c for c in median_cols if c in raw.columns]
+    medians, encoder = fit_clean_constants(raw, median_cols, unknown_cols if encode else [],
+                                           target, exact_median)
     df = drop_if_present(raw, id_col) if id_col else raw
     df = fill_constant(df, {c: UNKNOWN for c in unknown_cols})
     df = fill_medians(df, medians)
     df = keep_labelled(df, target)
-    encoder: dict[str, list[str]] = {}
-    if encode and unknown_cols:
-        encoder = fit_label_encoder(df, unknown_cols)
+    if encoder:
         df = encode_labels(df, encoder)
     return df, encoder, medians
+
+
+def fit_clean_constants(raw: DataFrame, median_cols: Sequence[str], label_cols: Sequence[str],
+                        target: str, exact_median: bool = True, max_labels: int = 100_000
+                        ) -> tuple[dict[str, float], dict[str, list[str]]]:
+    """Every fitted constant of the cleaning stage in ONE aggregate job:
+    medians over all rows (before the target filter) and the label sets of
+    the filled nominal columns over the labelled rows.  ``collect_set`` is
+    merged map-side per task, so only distinct labels travel; the set size
+    is checked before use."""
+    aggs = [median_expr(c, exact_median).alias(f"m__{c}") for c in median_cols]
+    labelled = F.col(target).isNotNull()
+    aggs += [F.collect_set(F.when(labelled, F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))))
+             .alias(f"l__{c}") for c in label_cols]
+    if not aggs:
+        return {}, {}
+    row = raw.agg(*aggs).first()
+    medians = {c: row[f"m__{c}"] for c in median_cols if row[f"m__{c}"] is not None}
+    encoder = {}
+    for c in label_cols:
+        labels = set(row[f"l__{c}"] or [])
+        if len(labels) > max_labels:
+            raise ValueError(f"{c}: more than {max_labels} categories; use label_code_table")
+        labels.add(UNKNOWN)
+        encoder[c] = sorted(labels)
+    return medians, encoder

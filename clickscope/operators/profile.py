@@ -185,20 +185,22 @@ def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Full pairwise-complete correlation matrix in long form.
 
-    d(d+1)/2 ``corr`` aggregates in one pass (not ``ml.stat.Correlation``,
-    which needs complete rows), mirrored to d*d cells.
+    Each row is exploded to its d(d+1)/2 (pair, x, y) triples, which feed a
+    partial ``corr`` aggregate in the same stage: only (task x pair) buffers
+    are shuffled.  (One wide aggregate of d(d+1)/2 ``corr`` columns was ~3x
+    slower: it outgrows whole-stage codegen.)  Not ``ml.stat.Correlation``,
+    which needs complete rows.  Mirrored to d*d cells at the end.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    structs = []
-    for a, b in pairs:
-        v = r6(_nan_null(F.col(f"{a}__{b}")))
-        structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                v.alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
-                                    v.alias("corr")))
-    return _inline(wide, structs)
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])))
+    c = long.groupBy("a", "b").agg(r6(_nan_null(F.corr("x", "y"))).alias("corr"))
+    upper = c.select(F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "corr")
+    lower = (c.filter(F.col("a") != F.col("b"))
+             .select(F.col("b").alias("feature_a"), F.col("a").alias("feature_b"), "corr"))
+    return upper.unionByName(lower)
 
 
 def top_corr(df: DataFrame, cols: Sequence[str], target: str, k: int = 5) -> DataFrame:

@@ -8,9 +8,12 @@ prunes the scans to the six event columns and two customer columns.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickscope.session import stage_table
 from clickscope.sources.tables import read_table
 
 # Raw session columns in schema order (null-rule position = index).
@@ -82,8 +85,14 @@ def sessions_from_events(events: DataFrame, customer: DataFrame,
 
 
 def load_sessions(spark: SparkSession, sf_dir: str, with_nulls: bool = True) -> DataFrame:
-    return sessions_from_events(read_table(spark, sf_dir, "events"),
-                                read_table(spark, sf_dir, "customer"), with_nulls)
+    """The session table as an ingest-stage output: derived from the events
+    once per application and written to the shared checkpoint folder, so the
+    profiling/cleaning/drift stages (several jobs each) never re-aggregate the
+    events."""
+    return stage_table(spark, ("sessions", os.path.abspath(sf_dir), with_nulls),
+                       lambda: sessions_from_events(read_table(spark, sf_dir, "events"),
+                                                    read_table(spark, sf_dir, "customer"),
+                                                    with_nulls))
 
 
 def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

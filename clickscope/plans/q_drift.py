@@ -3,6 +3,8 @@ seeded random split of the processed sessions (the reference's own caller)."""
 
 from __future__ import annotations
 
+import os
+
 
 
 from clickscope.operators import drift as D
@@ -13,7 +15,7 @@ from clickscope.plans.q_clean import processed_sessions
 from clickscope.plans.q_split import RANKED_CTES
 from clickscope.plans.oracle import with_ctes
 from clickscope.plans.registry import register
-from clickscope.session import cut_lineage
+from clickscope.session import stage_table
 
 FEATURES = tuple(c for c in SESSION_FEATURES if c != TARGET)
 NOMINAL = ("gender", "device_type")
@@ -27,8 +29,9 @@ TAGGED_CTES = RANKED_CTES + ["""tagged AS (
 def tagged_sessions(spark, sf_dir):
     """Processed sessions tagged reference/current, written once to the shared
     checkpoint folder (the drift statistics read them in several passes)."""
-    return cut_lineage(S.random_split(processed_sessions(spark, sf_dir, keep_id=True),
-                                      "session_id", 0.3, 42))
+    return stage_table(spark, ("drift_sides", os.path.abspath(sf_dir)),
+                       lambda: S.random_split(processed_sessions(spark, sf_dir, keep_id=True),
+                                              "session_id", 0.3, 42))
 
 
 def _mean_shift_sql():

@@ -13,7 +13,7 @@ from clickscope.operators import split as S
 from clickscope.plans.fixtures import SESSION_FEATURES, TARGET
 from clickscope.plans.q_clean import processed_sessions
 from clickscope.plans.registry import register
-from clickscope.session import cut_lineage, ensure_checkpoint_dir
+from clickscope.session import cut_lineage, ensure_checkpoint_dir, stage_table
 
 FEATURES = [c for c in SESSION_FEATURES if c != TARGET]
 
@@ -22,8 +22,10 @@ def _split(spark, sf_dir):
     """Labelled, split sessions, written once to the shared checkpoint folder:
     fitting and cross-validation run many jobs over it, and none of them
     should re-run the session derivation."""
-    df = ML.with_label(processed_sessions(spark, sf_dir, keep_id=True), TARGET)
-    return cut_lineage(S.stratified_split(df, "session_id", TARGET, 0.2, 42))
+    def build():
+        df = ML.with_label(processed_sessions(spark, sf_dir, keep_id=True), TARGET)
+        return S.stratified_split(df, "session_id", TARGET, 0.2, 42)
+    return stage_table(spark, ("model_split", os.path.abspath(sf_dir)), build)
 
 
 def _train_test(spark, sf_dir):
