@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import epoch_micros, r6
+from clickscope.session import cut_lineage
 
 PREFIX = "prediction:"
 CACHE_SCHEMA = "cache_key string, written_at_us long, probability double, prediction int"
@@ -94,8 +95,8 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
 
 def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id_col: str,
                    score: Callable[[DataFrame], DataFrame], ttl_seconds: int = 3600,
-                   cache: DataFrame | None = None, model_version: str | None = "v1"
-                   ) -> tuple[DataFrame, DataFrame]:
+                   cache: DataFrame | None = None, model_version: str | None = "v1",
+                   materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """K1: score requests through the cache.
 
     ``score(df)`` must add ``probability`` (double) and ``prediction`` (int)
@@ -106,6 +107,10 @@ def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id
     keyed = (requests.withColumn("cache_key", cache_key(key_cols, model_version))
              .withColumn("t_us", epoch_micros(ts_col)))
     anchored = anchor_requests(keyed, "cache_key", "t_us", id_col, ttl_seconds, cache)
+    if materialize:
+        # two consumers below: write the fold output once instead of running
+        # the Python fold per consumer
+        anchored = cut_lineage(anchored, "cache-fold")
     # Misses only are scored (the fold already separated them)
     misses = anchored.filter(~F.col("cached")).select("request_id")
     scored = score(keyed.join(misses, keyed[id_col] == misses["request_id"], "left_semi"))
