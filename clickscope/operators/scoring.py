@@ -70,11 +70,17 @@ def _fold(ttl_us: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
 
 def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col: str,
                     ttl_seconds: int = 3600, cache: DataFrame | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None,
+                    hot_key_rows: int | None = 1_000_000) -> DataFrame:
     """K2: (request_id, cache_key, t_us, cached, anchor_us) for every request.
 
     ``cache`` (K3: may be None = cache unavailable/empty) holds live entries
     ``(cache_key, written_at_us, ...)`` that act as anchors written earlier.
+
+    Keys with more than ``hot_key_rows`` requests (and at most one cache entry,
+    not later than their first request) take the exact parallel path of
+    :mod:`clickscope.operators.cache_hot`; all other keys are folded per key
+    after a hash repartition.  ``hot_key_rows=None`` folds everything.
     """
     req = requests.select(F.col(id_col).cast("long").alias("request_id"),
                           F.col(key_col).alias("cache_key"),
@@ -84,13 +90,31 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
         seeds = cache.select(F.lit(None).cast("long").alias("request_id"), "cache_key",
                              F.col("written_at_us").alias("t_us"), F.lit(True).alias("is_seed"))
         req = req.unionByName(seeds)
+    ttl_us = ttl_seconds * 1_000_000
+    hot = None
+    if hot_key_rows is not None:
+        stats = req.groupBy("cache_key").agg(
+            F.count_if(~F.col("is_seed")).alias("n"), F.count_if("is_seed").alias("n_seed"),
+            F.min(F.when(~F.col("is_seed"), F.col("t_us"))).alias("first_t"),
+            F.max(F.when(F.col("is_seed"), F.col("t_us"))).alias("seed_t"))
+        # at most (rows / hot_key_rows) keys: a small frame by construction
+        hot = stats.filter((F.col("n") > hot_key_rows) & (
+            (F.col("n_seed") == 0) | ((F.col("n_seed") == 1) & (F.col("seed_t") <= F.col("first_t"))))
+        ).select("cache_key")
+        if hot.limit(1).count() == 0:
+            hot = None
+    cold = req if hot is None else req.join(hot, "cache_key", "left_anti")
     n = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (req.repartition(n, "cache_key")
+    ordered = (cold.repartition(n, "cache_key")
                .sortWithinPartitions("cache_key", "t_us", F.desc("is_seed"), "request_id"))
     out = ordered.mapInPandas(
-        _fold(ttl_seconds * 1_000_000),
+        _fold(ttl_us),
         "request_id long, cache_key string, t_us long, is_seed boolean, cached boolean, anchor_us long")
-    return out.filter(~F.col("is_seed")).drop("is_seed")
+    out = out.filter(~F.col("is_seed")).drop("is_seed")
+    if hot is not None:
+        from clickscope.operators.cache_hot import anchor_parallel
+        out = out.unionByName(anchor_parallel(req.join(hot, "cache_key", "left_semi"), ttl_us))
+    return out
 
 
 def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id_col: str,

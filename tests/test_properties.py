@@ -97,3 +97,25 @@ def test_cache_fold_equals_brute_force_replay(spark, reqs):
     got = {r["request_id"]: r["cached"] for r in
            K.anchor_requests(df, "cache_key", "t_us", "rid", 3600, partitions=3).collect()}
     assert got == _replay(events, 3600 * 1_000_000)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 30_000)), min_size=1, max_size=60),
+       st.booleans())
+def test_parallel_hot_key_anchoring_equals_replay(spark, reqs, with_seed):
+    """Every key forced through the pointer-doubling path (hot_key_rows=0)."""
+    events = [(i, k, t * 1_000_000) for i, (k, t) in enumerate(reqs)]
+    df = spark.createDataFrame(events, "rid long, cache_key string, t_us long")
+    cache = None
+    replay_in = list(events)
+    if with_seed:
+        first = min(t for _, k, t in events if k == reqs[0][0])
+        seed_t = max(0, first - 1_800_000_000)
+        cache = spark.createDataFrame([(reqs[0][0], seed_t, 0.5, 1)], K.CACHE_SCHEMA)
+        replay_in = [(-1, reqs[0][0], seed_t)] + events
+    got = {r["request_id"]: r["cached"] for r in
+           K.anchor_requests(df, "cache_key", "t_us", "rid", 3600, cache=cache,
+                             hot_key_rows=0).collect()}
+    want = _replay(replay_in, 3600 * 1_000_000)
+    want.pop(-1, None)
+    assert got == want
