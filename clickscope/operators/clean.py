@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
@@ -103,9 +103,15 @@ def label_code_table(df: DataFrame, cols: Sequence[str], add_unknown: bool = Tru
             F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"),
             F.lit(UNKNOWN).alias("label"))
         long = long.unionByName(extra)
-    w = Window.partitionBy("feature").orderBy("label")
-    return (long.distinct()
-            .select("feature", "label", (F.dense_rank().over(w) - 1).cast("int").alias("code")))
+    # code = number of distinct labels before this one.  Spark orders strings
+    # by their UTF-8 bytes, so the leading two bytes are a monotone bucket:
+    # exact ranks via running totals, no single task per feature
+    from clickscope.functions.windows import running_totals
+    d = long.distinct().withColumn(
+        "__b", F.conv(F.rpad(F.substring(F.hex(F.col("label")), 1, 4), 4, "0"), 16, 10)
+        .cast("int"))
+    r = running_totals(d, ["feature"], "__b", ["label"], {}, row_number="__rn")
+    return r.select("feature", "label", (F.col("__rn") - 1).cast("int").alias("code"))
 
 
 def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: str = "ad_clicked",

@@ -144,10 +144,19 @@ def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     cnt = long.groupBy("feature", "category").agg(
         F.count_if(F.col(side_col) == REF).alias("o_r"),
         F.count_if(F.col(side_col) == CUR).alias("o_c"))
-    rank = F.row_number().over(Window.partitionBy("feature").orderBy(
-        F.desc(F.col("o_r") + F.col("o_c")), "category"))
-    cnt = (cnt.withColumn("category", F.when(rank < max_categories, F.col("category"))
-                          .otherwise(F.lit("__other__")))
+    # exact top-(max-1) categories per feature without ranking every distinct
+    # category in one task: top-k inside 64 hash buckets, then over the
+    # bucket winners (the global top-k is contained in their union)
+    keep = max_categories - 1
+    order = [F.desc(F.col("o_r") + F.col("o_c")), "category"]
+    bucketed = cnt.withColumn("__hb", F.abs(F.hash("category")) % 64)
+    local = bucketed.withColumn("__r", F.row_number().over(
+        Window.partitionBy("feature", "__hb").orderBy(*order))).filter(F.col("__r") <= keep)
+    top = (local.withColumn("__g", F.row_number().over(Window.partitionBy("feature").orderBy(*order)))
+           .filter(F.col("__g") <= keep).select("feature", "category", F.lit(True).alias("__top")))
+    cnt = (cnt.join(top, ["feature", "category"], "left")
+           .withColumn("category", F.when(F.col("__top"), F.col("category"))
+                       .otherwise(F.lit("__other__")))
            .groupBy("feature", "category").agg(F.sum("o_r").alias("o_r"), F.sum("o_c").alias("o_c")))
     w = Window.partitionBy("feature")
     R, C = F.sum("o_r").over(w), F.sum("o_c").over(w)
@@ -168,14 +177,17 @@ def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
 
 
 def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
-        alert: float = PSI_ALERT, floor: float = PSI_FLOOR) -> DataFrame:
+        alert: float = PSI_ALERT, floor: float = PSI_FLOOR, exact: bool = True) -> DataFrame:
     """Population stability index over reference-side decile bins.
 
     Bin = number of reference edges strictly below the value (0..9).  Shares
     are floored at ``floor``; PSI = sum (c - r) * ln(c / r).
     """
     ref = tagged.filter(F.col(side_col) == REF)
-    edges_wide = ref.agg(*[F.percentile(c, list(PSI_PROBS)).alias(c) for c in cols])
+    # exact deciles keep a map of distinct values; exact=False bounds memory
+    pct = (lambda c: F.percentile(c, list(PSI_PROBS))) if exact else \
+        (lambda c: F.percentile_approx(c, list(PSI_PROBS), 10000).cast("array<double>"))
+    edges_wide = ref.agg(*[pct(c).alias(c) for c in cols])
     edges = edges_wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("edges")) for c in cols])))
     long = (tagged.select(side_col, F.inline(F.array(*[

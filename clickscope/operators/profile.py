@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6
@@ -111,8 +111,9 @@ def value_shares(df: DataFrame, col: str, dropna: bool = False) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     if dropna:
         counts = counts.filter(F.col("value").isNotNull())
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select("value", "n", r6(F.col("n") * 100.0 / total).alias("percent"))
+    # the total is one fitted scalar: no window over all distinct values
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.select("value", "n", r6(F.col("n") * 100.0 / F.lit(total)).alias("percent"))
 
 
 def crosstab_margins(df: DataFrame, cat_cols: Sequence[str], target: str) -> DataFrame:
@@ -257,7 +258,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
 
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], target: str,
-                  whisker: float = 1.5) -> DataFrame:
+                  whisker: float = 1.5, exact: bool = True) -> DataFrame:
     """Per (feature, class): quartiles, IQR whiskers (most extreme data
     point inside q1-1.5*IQR / q3+1.5*IQR), outlier count.
 
@@ -266,8 +267,9 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], target: str,
     wide aggregate.  Unpivot only the few result rows.
     """
     lab = df.filter(F.col(target).isNotNull())
-    q = lab.groupBy(target).agg(*[F.percentile(c, list(QUARTILES)).alias(f"{c}__q")
-                                  for c in cols])
+    pct = (lambda c: F.percentile(c, list(QUARTILES))) if exact else \
+        (lambda c: F.percentile_approx(c, list(QUARTILES), 10000).cast("array<double>"))
+    q = lab.groupBy(target).agg(*[pct(c).alias(f"{c}__q") for c in cols])
     j = lab.join(q, target)  # one row per class; AQE broadcasts it after measuring
     aggs = []
     for c in cols:

@@ -134,3 +134,26 @@ def test_random_split_size(spark, n, frac):
     df = spark.range(n).withColumnRenamed("id", "k")
     got = S.random_split(df, "k", frac, 42).filter(F.col("side") == "current").count()
     assert got == math.ceil(frac * n - 1e-9)
+
+
+def test_label_codes_follow_byte_order(spark):
+    vals = ["b", "a", "ab", "Z", "é", "a", None, "zz", "Unknown"]
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    got = {r["label"]: r["code"] for r in C.label_code_table(df, ["c"]).collect()}
+    labels = sorted({v for v in vals if v is not None} | {"Unknown"},
+                    key=lambda x: x.encode("utf-8"))
+    assert got == {lab: i for i, lab in enumerate(labels)}
+
+
+def test_chi2_category_cap_pools_the_tail(spark):
+    import numpy as np
+    counts = {"a": (50, 10), "b": (30, 30), "c": (5, 1), "d": (2, 6), "e": (1, 1)}
+    rows = [(cat, side) for cat, (r, c) in counts.items()
+            for side, n in ((D.REF, r), (D.CUR, c)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "g string, side string")
+    got = D.chi2_test(df, ["g"], max_categories=3).first()
+    # kept: the two largest (a: 60, b: 60); pooled: c, d, e -> (8, 8)
+    obs = np.array([[50, 10], [30, 30], [8, 8]], dtype=float)
+    exp = obs.sum(1, keepdims=True) * obs.sum(0, keepdims=True) / obs.sum()
+    assert got["dof"] == 2
+    assert abs(got["chi2"] - round(float(((obs - exp) ** 2 / exp).sum()), 6)) < 1e-6
