@@ -38,12 +38,16 @@ def median_expr(c: str, exact: bool = True, accuracy: int = 10000) -> Column:
     return F.percentile_approx(c, 0.5, accuracy)
 
 
-def fit_medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str, float]:
-    """A4/P6 fit: all medians in ONE aggregate pass (partial aggregation per
-    task, one small final merge)."""
+def fit_medians(df: DataFrame, cols: Sequence[str], exact: bool = True,
+                distinct_counts: dict[str, int] | None = None) -> dict[str, float]:
+    """A4/P6 fit: all medians in one aggregate pass; exact medians of
+    high-cardinality columns by distributed selection
+    (:func:`clickscope.functions.quantiles.quantile_columns`)."""
     if not cols:
         return {}
-    row = df.agg(*[median_expr(c, exact).alias(c) for c in cols]).first()
+    from clickscope.functions.quantiles import quantile_columns
+    q = quantile_columns(df, cols, [0.5], exact=exact, distinct_counts=distinct_counts)
+    row = df.agg(*[q[c][0].alias(c) for c in cols]).first()
     return {c: row[c] for c in cols if row[c] is not None}
 
 
@@ -141,19 +145,22 @@ def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: st
 def fit_clean_constants(raw: DataFrame, median_cols: Sequence[str], label_cols: Sequence[str],
                         target: str, exact_median: bool = True, max_labels: int = 100_000
                         ) -> tuple[dict[str, float], dict[str, list[str]]]:
-    """Every fitted constant of the cleaning stage in ONE aggregate job:
+    """The fitted constants of the cleaning stage in two aggregate jobs:
     medians over all rows (before the target filter) and the label sets of
     the filled nominal columns over the labelled rows.  ``collect_set`` is
     merged map-side per task, so only distinct labels travel; the set size
     is checked before use."""
-    aggs = [median_expr(c, exact_median).alias(f"m__{c}") for c in median_cols]
+    # job 1: label sets + distinct estimates of the median columns;
+    # job 2: the medians (exact map when bounded, else distributed selection)
+    aggs = [F.approx_count_distinct(c).alias(f"d__{c}") for c in median_cols]
     labelled = F.col(target).isNotNull()
     aggs += [F.collect_set(F.when(labelled, F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))))
              .alias(f"l__{c}") for c in label_cols]
     if not aggs:
         return {}, {}
     row = raw.agg(*aggs).first()
-    medians = {c: row[f"m__{c}"] for c in median_cols if row[f"m__{c}"] is not None}
+    medians = fit_medians(raw, median_cols, exact_median,
+                          {c: row[f"d__{c}"] for c in median_cols}) if median_cols else {}
     encoder = {}
     for c in label_cols:
         labels = set(row[f"l__{c}"] or [])

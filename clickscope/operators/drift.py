@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6
+from clickscope.functions.quantiles import quantile_columns
 from clickscope.functions.windows import grouped_quantile_bucket, running_totals
 
 REF, CUR = "reference", "current"
@@ -184,10 +185,8 @@ def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     are floored at ``floor``; PSI = sum (c - r) * ln(c / r).
     """
     ref = tagged.filter(F.col(side_col) == REF)
-    # exact deciles keep a map of distinct values; exact=False bounds memory
-    pct = (lambda c: F.percentile(c, list(PSI_PROBS))) if exact else \
-        (lambda c: F.percentile_approx(c, list(PSI_PROBS), 10000).cast("array<double>"))
-    edges_wide = ref.agg(*[pct(c).alias(c) for c in cols])
+    dec = quantile_columns(ref, cols, PSI_PROBS, exact=exact)
+    edges_wide = ref.agg(*[dec[c].alias(c) for c in cols])
     edges = edges_wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("edges")) for c in cols])))
     long = (tagged.select(side_col, F.inline(F.array(*[

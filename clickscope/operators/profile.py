@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6
+from clickscope.functions.quantiles import quantile_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -42,13 +43,12 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
 
     Not ``df.summary()``: its quartiles are approximate.
     """
+    quart = quantile_columns(df, cols, QUARTILES, group=group, exact=exact)
     aggs = []
     for c in cols:
-        q = (F.percentile(c, list(QUARTILES)) if exact
-             else F.percentile_approx(c, list(QUARTILES), 10000))
         aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(c).alias(f"{c}__max")]
+                 quart[c].alias(f"{c}__q"), F.max(c).alias(f"{c}__max")]
     wide = df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
     lead = [F.col(group)] if group else []
     return wide.select(*lead, F.inline(F.array(*[F.struct(
@@ -267,9 +267,8 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], target: str,
     wide aggregate.  Unpivot only the few result rows.
     """
     lab = df.filter(F.col(target).isNotNull())
-    pct = (lambda c: F.percentile(c, list(QUARTILES))) if exact else \
-        (lambda c: F.percentile_approx(c, list(QUARTILES), 10000).cast("array<double>"))
-    q = lab.groupBy(target).agg(*[pct(c).alias(f"{c}__q") for c in cols])
+    quart = quantile_columns(lab, cols, QUARTILES, group=target, exact=exact)
+    q = lab.groupBy(target).agg(*[quart[c].alias(f"{c}__q") for c in cols])
     j = lab.join(q, target)  # one row per class; AQE broadcasts it after measuring
     aggs = []
     for c in cols:

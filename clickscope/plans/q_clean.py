@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6
+from clickscope.functions.quantiles import quantile_columns
 from clickscope.operators import clean as C
 from clickscope.operators import profile as P
 from clickscope.plans.fixtures import SESSION_FEATURES, TARGET, raw_sessions
@@ -61,4 +62,5 @@ def q_click_rate_by_category(spark, sf_dir):
 def q_median_fill(spark, sf_dir):
     """A4/P5: the fitted median (over all rows, before the target filter)."""
     raw = raw_sessions(spark, sf_dir)
-    return raw.agg(r6(F.median("avg_session_time")).alias("avg_session_time_median"))
+    med = quantile_columns(raw, ["avg_session_time"], [0.5])["avg_session_time"][0]
+    return raw.agg(r6(med).alias("avg_session_time_median"))
