@@ -21,6 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Below this many rows per window partition one sorted task is cheaper than
+# the two-level plan (a size-checked strategy choice, like a broadcast limit).
+SINGLE_TASK_ROWS = 2_000_000
+
 
 def search_bucket(x: Column, splits: Sequence[float]) -> Column:
     """Number of ``splits`` strictly below ``x`` as a balanced CASE tree
@@ -51,14 +55,19 @@ def quantile_splits(df: DataFrame, col: str, n_buckets: int,
 
 
 def grouped_quantile_bucket(df: DataFrame, group_col: str, col: str, n_buckets: int,
-                            accuracy: int = 10000) -> Column:
+                            accuracy: int = 10000,
+                            single_task_rows: int | None = None) -> Column | None:
     """Bucket expression with per-group quantile splits (few groups, e.g. the
-    features of a drift report): ``CASE group WHEN g THEN tree_g END``."""
-    if n_buckets <= 1:
-        return F.lit(0)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    rows = (df.groupBy(group_col).agg(F.percentile_approx(col, probs, accuracy).alias("q"))
+    features of a drift report): ``CASE group WHEN g THEN tree_g END``.
+    One job gets the cut points and the group sizes; ``None`` (no buckets)
+    when every group fits one task."""
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
+    rows = (df.groupBy(group_col).agg(F.percentile_approx(col, probs, accuracy).alias("q"),
+                                      F.count(F.lit(1)).alias("n"))
             .collect())
+    if n_buckets <= 1 or all(r["n"] <= limit for r in rows):
+        return None
     expr = F.lit(0)
     for r in rows:
         expr = F.when(F.col(group_col) == F.lit(r[0]),
@@ -66,7 +75,7 @@ def grouped_quantile_bucket(df: DataFrame, group_col: str, col: str, n_buckets:
     return expr
 
 
-def running_totals(df: DataFrame, partition_cols: Sequence[str], bucket: str,
+def running_totals(df: DataFrame, partition_cols: Sequence[str], bucket: str | None,
                    order_cols: Sequence[Column | str], sums: dict[str, Column],
                    inclusive: bool = True, row_number: str | None = None) -> DataFrame:
     """Add exact running sums (and optionally a 1-based row number) in
@@ -80,6 +89,13 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str], bucket: str,
     vals = dict(sums)
     if row_number:
         vals[row_number] = F.lit(1)
+    if bucket is None:
+        # checked-small input: one window per partition group, no offsets
+        w = Window.partitionBy(*pcols).orderBy(*order_cols)
+        frame = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if inclusive
+                 else w.rowsBetween(Window.unboundedPreceding, -1))
+        return df.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(k)
+                                for k, c in vals.items()])
     base = df.select("*", *[c.alias(f"__v_{k}") for k, c in vals.items()])
     per_bucket = base.groupBy(*pcols, bucket).agg(
         *[F.sum(f"__v_{k}").alias(f"__t_{k}") for k in vals])

@@ -70,7 +70,8 @@ def ks_pvalue_sql(lam: str = "lam", terms: int = 100) -> str:
 
 
 def ks_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
-            alpha: float = 0.05, n_buckets: int = 16) -> DataFrame:
+            alpha: float = 0.05, n_buckets: int = 16,
+            single_task_rows: int | None = None) -> DataFrame:
     """D3: two-sample Kolmogorov-Smirnov per numeric column.
 
     (feature, value) pairs are pre-aggregated to per-side counts (map-side
@@ -83,9 +84,12 @@ def ks_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     d = long.groupBy("feature", "value").agg(
         F.count_if(F.col(side_col) == REF).alias("n_r"),
         F.count_if(F.col(side_col) == CUR).alias("n_c"))
-    d = d.withColumn("__b", grouped_quantile_bucket(d, "feature", "value", n_buckets))
-    r = running_totals(d, ["feature"], "__b", ["value"], {"cum_r": F.col("n_r"),
-                                                          "cum_c": F.col("n_c")})
+    b = grouped_quantile_bucket(d, "feature", "value", n_buckets,
+                                single_task_rows=single_task_rows)
+    if b is not None:
+        d = d.withColumn("__b", b)
+    r = running_totals(d, ["feature"], "__b" if b is not None else None, ["value"],
+                       {"cum_r": F.col("n_r"), "cum_c": F.col("n_c")})
     # Spark names are case-insensitive: totals must not be called N_r/N_c
     tot = d.groupBy("feature").agg(F.sum("n_r").alias("tot_r"), F.sum("n_c").alias("tot_c"))
     gap = F.abs(F.col("cum_r") / F.col("tot_r") - F.col("cum_c") / F.col("tot_c"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6, safe_div
-from clickscope.functions.windows import quantile_splits, running_totals, search_bucket
+from clickscope.functions.windows import SINGLE_TASK_ROWS, running_totals, search_bucket
 
 DEFAULT_BUCKETS = 64
 
@@ -90,7 +90,8 @@ def class_report(scored: DataFrame, label: str = "label", pred: str = "predictio
 
 
 def score_steps(scored: DataFrame, label: str = "label", score: str = "score",
-                groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """One row per distinct (group, score) with pos/neg counts, exact totals
     strictly below the score (``pos_below``/``neg_below``) and group totals
     ``P``/``N``.  The basis of ROC, PR, AUC and AP."""
@@ -98,23 +99,29 @@ def score_steps(scored: DataFrame, label: str = "label", score: str = "score",
     d = (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
          .groupBy(*g, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                  F.count_if(F.col(label) == 0).alias("neg")))
-    splits = quantile_splits(d, score, n_buckets)
-    d = d.withColumn("__b", search_bucket(F.col(score), splits))
-    r = running_totals(d, g, "__b", [score], {"pos_below": F.col("pos"),
-                                              "neg_below": F.col("neg")}, inclusive=False)
+    # one job: size of the distinct-score table, class totals, cut points
+    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
+    t = d.agg(F.count(F.lit(1)).alias("rows"), F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+              F.percentile_approx(score, probs, 10000).alias("q")).first()
+    small = (t["rows"] or 0) <= single_task_rows
+    bucket = None if small else "__b"
+    if not small:
+        d = d.withColumn("__b", search_bucket(F.col(score), sorted(set(t["q"] or []))))
+    r = running_totals(d, g, bucket, [score], {"pos_below": F.col("pos"),
+                                               "neg_below": F.col("neg")}, inclusive=False)
     if g:
         tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
         r = r.join(tot, g)  # one row per group; AQE broadcasts after measuring
     else:
-        t = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
         r = r.withColumn("P", F.lit(t["P"] or 0)).withColumn("N", F.lit(t["N"] or 0))
-    return r.drop("__b")
+    return r.drop("__b") if bucket else r
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
-            groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+            single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Exact ROC-AUC (ties count one half), rank-sum form."""
-    s = score_steps(scored, label, score, groups, n_buckets)
+    s = score_steps(scored, label, score, groups, n_buckets, single_task_rows)
     g = list(groups)
     agg = s.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)).alias("__num"),
@@ -126,10 +133,11 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int = DEFAULT_BUCKETS,
+              single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E5: one point per distinct score (predict 1 when score >= threshold)
     plus the origin (threshold null)."""
-    s = score_steps(scored, label, score, (), n_buckets)
+    s = score_steps(scored, label, score, (), n_buckets, single_task_rows)
     tp = (F.col("P") - F.col("pos_below")).cast("long")
     fp = (F.col("N") - F.col("neg_below")).cast("long")
     pts = s.select(F.col(score).alias("threshold"), tp.alias("tp"), fp.alias("fp"),
@@ -142,10 +150,11 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def pr_curve(scored: DataFrame, label: str = "label", score: str = "score",
-             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             n_buckets: int = DEFAULT_BUCKETS,
+             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E6 points: precision/recall per distinct threshold plus the end point
     (recall 0, precision 1, threshold null)."""
-    s = score_steps(scored, label, score, (), n_buckets)
+    s = score_steps(scored, label, score, (), n_buckets, single_task_rows)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     pts = s.select(F.col(score).alias("threshold"),
@@ -158,9 +167,10 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score",
-                      groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                      single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """AP = sum over distinct thresholds of (pos_at_threshold / P) * precision."""
-    s = score_steps(scored, label, score, groups, n_buckets)
+    s = score_steps(scored, label, score, groups, n_buckets, single_task_rows)
     g = list(groups)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")

@@ -16,33 +16,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import hash_bucket, hash_order_key
-from clickscope.functions.windows import running_totals
+from clickscope.functions.windows import SINGLE_TASK_ROWS, running_totals
 
 DEFAULT_BITS = 8
-
-
-def _ranked(df: DataFrame, key: str, strata: list[str], seed: int, bits: int) -> DataFrame:
-    h = hash_order_key(key, seed)
-    base = df.withColumn("__h", h).withColumn("__b", hash_bucket(F.col("__h"), bits))
-    ranked = running_totals(base, strata, "__b", ["__h", key], {}, row_number="__rank")
-    if not strata:
-        # one fitted scalar (the row count), no join needed
-        return ranked.withColumn("__n", F.lit(df.count()))
-    sizes = base.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
-    # one row per stratum (a handful for a class label): AQE broadcasts it
-    # after measuring it at run time
-    return ranked.join(sizes, strata)
+MAX_STRATA = 10_000
+
+
+def _ranked(df: DataFrame, key: str, strata: list[str], seed: int, bits: int,
+            single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Adds ``__rank`` (1-based, hash order inside the stratum) and ``__n``
+    (stratum size).  One job counts the strata (a handful of class labels);
+    the sizes become literals, and decide the window strategy: one sorted
+    task per stratum when it is small, hash buckets beyond that."""
+    base = df.withColumn("__h", hash_order_key(key, seed))
+    counts = (base.groupBy(*strata).agg(F.count(F.lit(1)).alias("__c")).limit(MAX_STRATA + 1)
+              .collect())
+    if len(counts) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata")
+    n_max = max([r["__c"] for r in counts] or [0])
+    bucket = None
+    if n_max > single_task_rows:
+        base = base.withColumn("__b", hash_bucket(F.col("__h"), bits))
+        bucket = "__b"
+    ranked = running_totals(base, strata, bucket, ["__h", key], {}, row_number="__rank")
+    size = F.lit(None).cast("long")
+    for r in counts:
+        cond = F.lit(True)
+        for c in strata:
+            cond = cond & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
+        size = F.when(cond, F.lit(r["__c"])).otherwise(size)
+    return ranked.withColumn("__n", size)
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                      seed: int = 42, mode: str = "exact", bits: int = DEFAULT_BITS,
-                     split_col: str = "split") -> DataFrame:
+                     split_col: str = "split",
+                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """SP1: per class, the first ``floor(f * n_class + 0.5)`` rows in hash
     order are 'test', the rest 'train'."""
     if mode == "hash":
         u = _unit(hash_order_key(key, seed))
         return df.withColumn(split_col, F.when(u < test_fraction, "test").otherwise("train"))
-    r = _ranked(df, key, [label], seed, bits)
+    r = _ranked(df, key, [label], seed, bits, single_task_rows)
     cut = F.floor(F.lit(test_fraction) * F.col("__n") + F.lit(0.5))
     return (r.withColumn(split_col, F.when(F.col("__rank") <= cut, "test").otherwise("train"))
             .drop("__h", "__b", "__rank", "__n"))
@@ -50,23 +65,25 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float =
 
 def random_split(df: DataFrame, key: str, fraction: float = 0.3, seed: int = 42,
                  names: tuple[str, str] = ("reference", "current"), mode: str = "exact",
-                 bits: int = DEFAULT_BITS, side_col: str = "side") -> DataFrame:
+                 bits: int = DEFAULT_BITS, side_col: str = "side",
+                 single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """SP2: not stratified; the first ``ceil(fraction * n)`` rows in hash order
     form the second side (``names[1]``), the rest the first."""
     if mode == "hash":
         u = _unit(hash_order_key(key, seed))
         return df.withColumn(side_col, F.when(u < fraction, names[1]).otherwise(names[0]))
-    r = _ranked(df, key, [], seed, bits)
+    r = _ranked(df, key, [], seed, bits, single_task_rows)
     cut = F.ceil(F.lit(fraction) * F.col("__n") - F.lit(1e-9))
     return (r.withColumn(side_col, F.when(F.col("__rank") <= cut, names[1]).otherwise(names[0]))
             .drop("__h", "__b", "__rank", "__n"))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int = 42,
-                     bits: int = DEFAULT_BITS, fold_col: str = "fold") -> DataFrame:
+                     bits: int = DEFAULT_BITS, fold_col: str = "fold",
+                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """SP3: ``fold = (rank - 1) mod k`` inside each class in hash order, so
     every fold holds each class within one row of its share."""
-    r = _ranked(df, key, [label], seed, bits)
+    r = _ranked(df, key, [label], seed, bits, single_task_rows)
     return (r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int"))
             .drop("__h", "__b", "__rank", "__n"))
 

@@ -69,7 +69,7 @@ def test_auc_matches_pairwise_definition(spark):
     pos = [s for l, s in rows if l == 1]
     neg = [s for l, s in rows if l == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    assert M.roc_auc(df, n_buckets=3).first()["auc"] == round(want, 6)
+    assert M.roc_auc(df, n_buckets=3, single_task_rows=0).first()["auc"] == round(want, 6)
 
 
 def test_ttl_anchoring_is_counted_from_the_write(spark):
@@ -106,7 +106,7 @@ def test_ks_statistic_and_pvalue(spark):
     a = [float(v) for v in range(10)]
     b = [float(v) + 5 for v in range(10)]
     df = spark.createDataFrame([(v, D.REF) for v in a] + [(v, D.CUR) for v in b], "x double, side string")
-    r = D.ks_test(df, ["x"], n_buckets=4).first()
+    r = D.ks_test(df, ["x"], n_buckets=4, single_task_rows=0).first()
     assert r["ks_stat"] == 0.5
     assert 0.0 <= r["p_value"] <= 1.0
 

@@ -18,7 +18,7 @@ SETTINGS = settings(max_examples=8, deadline=None,
 @given(st.lists(st.integers(0, 1), min_size=2, max_size=60))
 def test_stratified_split_disjoint_cover_and_balanced(spark, labels):
     df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "k long, y int")
-    out = S.stratified_split(df, "k", "y", 0.2, 7, bits=3).collect()
+    out = S.stratified_split(df, "k", "y", 0.2, 7, bits=3, single_task_rows=0).collect()
     assert sorted(r["k"] for r in out) == list(range(len(labels)))  # disjoint + covers
     for cls in (0, 1):
         n = labels.count(cls)
@@ -30,7 +30,7 @@ def test_stratified_split_disjoint_cover_and_balanced(spark, labels):
 @given(st.lists(st.integers(0, 1), min_size=3, max_size=60))
 def test_folds_cover_and_balance(spark, labels):
     df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "k long, y int")
-    out = S.stratified_folds(df, "k", "y", 3, 42, bits=2).collect()
+    out = S.stratified_folds(df, "k", "y", 3, 42, bits=2, single_task_rows=0).collect()
     assert len(out) == len(labels)
     for cls in (0, 1):
         sizes = [sum(1 for r in out if r["y"] == cls and r["fold"] == f) for f in range(3)]
@@ -57,8 +57,8 @@ def test_running_totals_equal_brute_force(spark, rows, nb):
 def test_auc_symmetry_and_confusion_sum(spark, rows):
     df = spark.createDataFrame([(l, float(s), int(s > 3)) for l, s in rows],
                                "label int, score double, prediction int")
-    a = M.roc_auc(df, n_buckets=3).first()["auc"]
-    b = M.roc_auc(df.withColumn("score", -F.col("score")), n_buckets=3).first()["auc"]
+    a = M.roc_auc(df, n_buckets=3, single_task_rows=0).first()["auc"]
+    b = M.roc_auc(df.withColumn("score", -F.col("score")), n_buckets=3, single_task_rows=0).first()["auc"]
     if a is None:
         assert b is None
     else:
@@ -71,7 +71,7 @@ def test_auc_symmetry_and_confusion_sum(spark, rows):
        st.lists(st.floats(-100, 100, allow_nan=False), min_size=2, max_size=40))
 def test_ks_in_unit_interval_and_psi_self_zero(spark, a, b):
     df = spark.createDataFrame([(x, D.REF) for x in a] + [(x, D.CUR) for x in b], "x double, side string")
-    r = D.ks_test(df, ["x"], n_buckets=3).first()
+    r = D.ks_test(df, ["x"], n_buckets=3, single_task_rows=0).first()
     assert 0.0 <= r["ks_stat"] <= 1.0 and 0.0 <= r["p_value"] <= 1.0
     same = spark.createDataFrame([(x, s) for x in a for s in (D.REF, D.CUR)], "x double, side string")
     assert D.psi(same, ["x"]).first()["psi"] == 0.0
