@@ -160,9 +160,15 @@ def q_boxplot_stats(spark, sf_dir):
     return P.boxplot_stats(_raw(spark, sf_dir), list(BOX_FEATURES), TARGET)
 
 
-@register("head_rows", with_ctes(RAW_CTES, "SELECT * FROM raw ORDER BY session_id LIMIT 5"))
+@register("head_rows", with_ctes(RAW_CTES, "SELECT session_id, " + ", ".join(
+    c if c in NOMINAL else f"ROUND({c}, 6) AS {c}" for c in SESSION_FEATURES)
+    + " FROM raw ORDER BY session_id LIMIT 5"))
 def q_head_rows(spark, sf_dir):
-    return P.head_rows(_raw(spark, sf_dir), ["session_id"], 5)
+    """O1: first rows under a total order (floats rounded: sums may differ in
+    the last bit between engines)."""
+    df = P.head_rows(_raw(spark, sf_dir), ["session_id"], 5)
+    return df.select("session_id", *[F.col(c) if c in NOMINAL else F.round(c, 6).alias(c)
+                                     for c in SESSION_FEATURES])
 
 
 @register("table_shape", with_ctes(RAW_CTES,
