@@ -145,27 +145,35 @@ def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: st
 def fit_clean_constants(raw: DataFrame, median_cols: Sequence[str], label_cols: Sequence[str],
                         target: str, exact_median: bool = True, max_labels: int = 100_000
                         ) -> tuple[dict[str, float], dict[str, list[str]]]:
-    """The fitted constants of the cleaning stage in two aggregate jobs:
-    medians over all rows (before the target filter) and the label sets of
-    the filled nominal columns over the labelled rows.  ``collect_set`` is
-    merged map-side per task, so only distinct labels travel; the set size
-    is checked before use."""
-    # job 1: label sets + distinct estimates of the median columns;
-    # job 2: the medians (exact map when bounded, else distributed selection)
-    aggs = [F.approx_count_distinct(c).alias(f"d__{c}") for c in median_cols]
-    labelled = F.col(target).isNotNull()
-    aggs += [F.collect_set(F.when(labelled, F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))))
-             .alias(f"l__{c}") for c in label_cols]
-    if not aggs:
+    """The fitted constants of the cleaning stage: medians over all rows
+    (before the target filter) and the label sets of the filled nominal
+    columns over the labelled rows.
+
+    Job 1 estimates distinct counts of every column (HyperLogLog, fixed
+    memory), so a high-cardinality nominal column fails before any set is
+    built; job 2 reads the distinct (column, label) pairs with a limit; job 3
+    takes the medians (exact map when bounded, else distributed selection).
+    """
+    cols = list(dict.fromkeys([*median_cols, *label_cols]))
+    if not cols:
         return {}, {}
-    row = raw.agg(*aggs).first()
-    medians = fit_medians(raw, median_cols, exact_median,
-                          {c: row[f"d__{c}"] for c in median_cols}) if median_cols else {}
-    encoder = {}
+    est = raw.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
     for c in label_cols:
-        labels = set(row[f"l__{c}"] or [])
-        if len(labels) > max_labels:
-            raise ValueError(f"{c}: more than {max_labels} categories; use label_code_table")
-        labels.add(UNKNOWN)
-        encoder[c] = sorted(labels)
+        if (est[c] or 0) > max_labels:
+            raise ValueError(f"{c}: about {est[c]} categories (> {max_labels}); use label_code_table")
+    encoder: dict[str, list[str]] = {}
+    if label_cols:
+        labelled = raw.filter(F.col(target).isNotNull())
+        pairs = (labelled.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("f"),
+                     F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("v"))
+            for c in label_cols]))).distinct().limit(len(label_cols) * (max_labels + 1)).collect())
+        for c in label_cols:
+            labels = {r["v"] for r in pairs if r["f"] == c}
+            if len(labels) > max_labels:
+                raise ValueError(f"{c}: more than {max_labels} categories; use label_code_table")
+            labels.add(UNKNOWN)
+            encoder[c] = sorted(labels)
+    medians = (fit_medians(raw, list(median_cols), exact_median,
+                           {c: est[c] for c in median_cols}) if median_cols else {})
     return medians, encoder
