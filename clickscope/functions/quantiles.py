@@ -119,7 +119,8 @@ def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             continue
         if group is None:
             q = exact_quantiles(df, c, probs)
-            out[c] = F.first(F.array(*[F.lit(v).cast("double") for v in q]))
+            # a constant (no aggregate buffer: the wide aggregate stays hash-based)
+            out[c] = F.array(*[F.lit(v).cast("double") for v in q])
         else:
             expr = F.lit(None).cast("array<double>")
             for r in pre:
@@ -128,5 +129,5 @@ def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 q = exact_quantiles(part, c, probs)
                 cond = F.col(group).isNull() if g is None else F.col(group) == F.lit(g)
                 expr = F.when(cond, F.array(*[F.lit(v).cast("double") for v in q])).otherwise(expr)
-            out[c] = F.first(expr)
+            out[c] = expr  # an expression of the grouping column only
     return out

@@ -32,15 +32,19 @@ def sessions_from_events(events: DataFrame, customer: DataFrame,
                          with_nulls: bool = True) -> DataFrame:
     """events x customer -> one row per (user_id, day).
 
-    Plan: partial+final hash aggregate on (user_id, day) (map-side combine
-    makes a hot user cheap), then the customer join on the aggregated rows
+    Plan: partial+final *hash* aggregate on (user_id, day) (map-side combine
+    makes a hot user cheap; every buffer is fixed-width), then the customer join on the aggregated rows
     (the optimizer broadcasts customer only when its measured size is below
     ``autoBroadcastJoinThreshold``), then one window per user over at most
     one row per day.
     """
     et = F.col("event_type")
+    # the device index is parsed per row so that the aggregation buffer holds
+    # only fixed-width values (min_by over a string forces a sort-based
+    # aggregate: a full sort of the events before the partial aggregation)
     per_day = (events
-               .select("event_id", "user_id", "event_type", "value", "props",
+               .select("event_id", "user_id", "event_type", "value",
+                       (F.get_json_object("props", "$.k").cast("long") % 3).alias("dev_idx"),
                        F.to_date("ts").alias("session_date"))
                .groupBy("user_id", "session_date")
                .agg(F.sum("value").alias("time_on_site"),
@@ -51,13 +55,12 @@ def sessions_from_events(events: DataFrame, customer: DataFrame,
                     F.count_if(et == "error").alias("n_error"),
                     F.count_if(et == "click").alias("n_click"),
                     F.count(F.lit(1)).alias("n_events"),
-                    F.min_by("props", "event_id").alias("first_props")))
+                    F.min_by("dev_idx", "event_id").alias("dev_idx")))
     cust = customer.select(F.col("c_custkey").alias("user_id"),
                            F.col("c_mktsegment").alias("gender"))
     by_user = Window.partitionBy("user_id").orderBy("session_date")
     earlier = by_user.rowsBetween(Window.unboundedPreceding, -1)
-    k = F.get_json_object("first_props", "$.k").cast("long")
-    dev = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (k % 3 + 1).cast("int"))
+    dev = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (F.col("dev_idx") + 1).cast("int"))
     s = (per_day.join(cust, "user_id")
          .select(
              (F.col("user_id") * 100 + F.dayofmonth("session_date")).alias(ID),
