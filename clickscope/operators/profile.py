@@ -276,12 +276,12 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], target: str,
         lo = q1 - F.lit(whisker) * (q3 - q1)
         hi = q3 + F.lit(whisker) * (q3 - q1)
         x = F.col(c)
-        aggs += [F.first(F.col(f"{c}__q")).alias(f"{c}__q"),
-                 F.min(F.when(x >= lo, x)).alias(f"{c}__wlo"),
+        # numeric buffers only (the quartile arrays rejoin after the aggregate)
+        aggs += [F.min(F.when(x >= lo, x)).alias(f"{c}__wlo"),
                  F.max(F.when(x <= hi, x)).alias(f"{c}__whi"),
                  F.count_if((x < lo) | (x > hi)).alias(f"{c}__out"),
                  F.count(x).alias(f"{c}__n")]
-    wide = j.groupBy(target).agg(*aggs)
+    wide = j.groupBy(target).agg(*aggs).join(q, target)
     return _inline(wide, [F.struct(
         F.lit(c).alias("feature"), F.col(target).alias(target),
         F.col(f"{c}__n").cast("long").alias("n"),

@@ -98,9 +98,8 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
     _run(agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", scratch(spark, "moments-ckpt")))
     # each update carries the full aggregate of its window: keep the last one
-    last = spark.read.parquet(log).groupBy("window_start", "event_type").agg(
-        F.max_by(F.struct("n", "mean_value", "std_value"), "batch_id").alias("v"))
-    return last.select("window_start", "event_type", "v.n", "v.mean_value", "v.std_value")
+    return spark.read.parquet(log).groupBy("window_start", "event_type").agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in ("n", "mean_value", "std_value")])
 
 
 def window_drift(moments: DataFrame, reference: DataFrame, value_col: str = "value",
