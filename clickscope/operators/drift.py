@@ -121,27 +121,51 @@ def erfc_sql(z: str) -> str:
     return f"({t} * exp(-({z}) * ({z}) + {poly}))"
 
 
-def chi2_pvalue_sql(x: str = "chi2", k: str = "dof", max_terms: int = 25) -> str:
-    """Upper tail of the chi-square distribution for integer dof <= 2*max_terms+1,
-    as SQL text (closed form series; log-gamma constants are literals)."""
-    h = f"({x} / 2.0)"
-    even = " + ".join(
-        f"CASE WHEN {i} <= {k} / 2.0 - 1 THEN exp(-{h} + {i} * ln({h}) - {math.lgamma(i + 1)!r}) ELSE 0 END"
-        for i in range(0, max_terms + 1))
-    odd = " + ".join(
-        f"CASE WHEN {i} <= ({k} - 1) / 2.0 THEN exp(-{h} + {i - 0.5} * ln({h}) - {math.lgamma(i + 0.5)!r}) ELSE 0 END"
-        for i in range(1, max_terms + 1))
-    return (f"CASE WHEN {k} IS NULL OR {k} < 1 THEN NULL WHEN {x} <= 0 THEN 1.0 "
+def chi2_pvalue_sql(x: str = "chi2", k: str = "dof") -> str:
+    """Upper tail Q(k/2, x/2) of the chi-square distribution for any integer
+    dof, as Spark SQL text.  Closed-form series (even dof: Poisson sum; odd
+    dof: erfc plus half-integer terms) folded with ``aggregate`` over
+    ``sequence``: each term is the previous one times h/i in log space, so no
+    log-gamma function is needed and nothing overflows.  JVM-side, one
+    expression per feature row; the fold has dof/2 steps."""
+    h = f"(CAST({x} AS DOUBLE) / 2.0)"
+    m_even = f"CAST({k} DIV 2 AS INT)"
+    m_odd = f"CAST(({k} - 1) DIV 2 AS INT)"
+    step = "named_struct('lt', a.lt + ln({h}) - ln({d}), 's', a.s + exp(a.lt))"
+    even = (f"aggregate(sequence(1, {m_even}), named_struct('lt', -{h}, 's', CAST(0 AS DOUBLE)), "
+            f"(a, i) -> {step.format(h=h, d='i')}, a -> a.s)")
+    odd_start = f"-{h} + 0.5 * ln({h}) - {math.lgamma(1.5)!r}"
+    odd = (f"CASE WHEN {k} < 3 THEN CAST(0 AS DOUBLE) ELSE "
+           f"aggregate(sequence(1, {m_odd}), named_struct('lt', {odd_start}, 's', CAST(0 AS DOUBLE)), "
+           f"(a, i) -> {step.format(h=h, d='i + 0.5')}, a -> a.s) END")
+    return (f"CASE WHEN {k} IS NULL OR {k} < 1 OR {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1.0 "
             f"WHEN {k} % 2 = 0 THEN least(greatest({even}, 0.0), 1.0) "
             f"ELSE least(greatest({erfc_sql(f'sqrt({h})')} + {odd}, 0.0), 1.0) END")
 
 
-def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
-              alpha: float = 0.05, max_categories: int = 50) -> DataFrame:
-    """Chi-square test of category x side per nominal column.
+def chi2_pvalue_duck(x: str = "chi2", k: str = "dof") -> str:
+    """The same upper tail as DuckDB SQL for the oracle, written
+    independently: each series term from ``lgamma`` directly."""
+    h = f"(CAST({x} AS DOUBLE) / 2.0)"
+    even = (f"list_sum(list_transform(range(0, CAST({k} // 2 AS BIGINT)), "
+            f"lambda i: exp(-{h} + i * ln({h}) - lgamma(i + 1))))")
+    odd = (f"coalesce(list_sum(list_transform(range(1, CAST(({k} - 1) // 2 + 1 AS BIGINT)), "
+           f"lambda i: exp(-{h} + (i - 0.5) * ln({h}) - lgamma(i + 0.5)))), 0.0)")
+    return (f"CASE WHEN {k} IS NULL OR {k} < 1 OR {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1.0 "
+            f"WHEN {k} % 2 = 0 THEN least(greatest({even}, 0.0), 1.0) "
+            f"ELSE least(greatest({erfc_sql(f'sqrt({h})')} + {odd}, 0.0), 1.0) END")
 
-    Categories beyond the ``max_categories - 1`` most frequent are pooled as
-    '__other__' so the statistic and its dof stay bounded.
+
+def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
+              alpha: float = 0.05) -> DataFrame:
+    """Chi-square test of category x side per nominal column, over every
+    category (no pooling, no cap).
+
+    (feature, category) counts are aggregated map-side; per-feature side
+    totals come from a second aggregate of one row per feature (a size fixed
+    by the caller's column list, so broadcasting it is bounded); the
+    statistic is a plain grouped sum, so no task ever holds a feature's
+    whole category list.
     """
     long = tagged.select(side_col, F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
@@ -149,31 +173,15 @@ def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     cnt = long.groupBy("feature", "category").agg(
         F.count_if(F.col(side_col) == REF).alias("o_r"),
         F.count_if(F.col(side_col) == CUR).alias("o_c"))
-    # exact top-(max-1) categories per feature without ranking every distinct
-    # category in one task: top-k inside 64 hash buckets, then over the
-    # bucket winners (the global top-k is contained in their union)
-    keep = max_categories - 1
-    order = [F.desc(F.col("o_r") + F.col("o_c")), "category"]
-    bucketed = cnt.withColumn("__hb", F.abs(F.hash("category")) % 64)
-    local = bucketed.withColumn("__r", F.row_number().over(
-        Window.partitionBy("feature", "__hb").orderBy(*order))).filter(F.col("__r") <= keep)
-    top = (local.withColumn("__g", F.row_number().over(Window.partitionBy("feature").orderBy(*order)))
-           .filter(F.col("__g") <= keep).select("feature", "category", F.lit(True).alias("__top")))
-    cnt = (cnt.join(top, ["feature", "category"], "left")
-           .withColumn("category", F.when(F.col("__top"), F.col("category"))
-                       .otherwise(F.lit("__other__")))
-           .groupBy("feature", "category").agg(F.sum("o_r").alias("o_r"), F.sum("o_c").alias("o_c")))
-    w = Window.partitionBy("feature")
-    R, C = F.sum("o_r").over(w), F.sum("o_c").over(w)
-    e = cnt.withColumn("R", R).withColumn("C", C).withColumn("t", F.col("o_r") + F.col("o_c"))
+    tot = cnt.groupBy("feature").agg(F.sum("o_r").alias("R"), F.sum("o_c").alias("C"),
+                                     (F.count(F.lit(1)) - 1).alias("dof"))
+    e = cnt.join(F.broadcast(tot), "feature").withColumn("t", F.col("o_r") + F.col("o_c"))
     e = (e.withColumn("e_r", F.col("t") * F.col("R") / (F.col("R") + F.col("C")))
           .withColumn("e_c", F.col("t") * F.col("C") / (F.col("R") + F.col("C"))))
     term = ((F.col("o_r") - F.col("e_r")) ** 2 / F.col("e_r")
             + (F.col("o_c") - F.col("e_c")) ** 2 / F.col("e_c"))
-    s = e.groupBy("feature").agg(
-        F.sum(term).alias("chi2"), (F.count(F.lit(1)) - 1).alias("dof"),
-        F.first("R").alias("n_ref"), F.first("C").alias("n_cur"))
-    s = s.withColumn("chi2", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("chi2")))
+    s = e.groupBy("feature", "R", "C", "dof").agg(F.sum(term).alias("chi2")).select(
+        "feature", "dof", F.when((F.col("R") > 0) & (F.col("C") > 0), F.col("chi2")).alias("chi2"))
     s = s.withColumn("p_value", F.expr(chi2_pvalue_sql("chi2", "dof")))
     return s.select("feature", r6("chi2").alias("chi2"), F.col("dof").cast("long").alias("dof"),
                     r6("p_value").alias("p_value"),

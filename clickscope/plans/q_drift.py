@@ -92,8 +92,8 @@ def _chi2_sql():
                     + power(o_c - (o_r + o_c) * C / (R + C), 2) / ((o_r + o_c) * C / (R + C))) AS chi2,
                   COUNT(*) - 1 AS dof FROM ce GROUP BY feature)"""],
         f"""SELECT feature, ROUND(chi2, 6) AS chi2, CAST(dof AS BIGINT) AS dof,
-       ROUND({D.chi2_pvalue_sql('chi2', 'dof')}, 6) AS p_value,
-       {D.chi2_pvalue_sql('chi2', 'dof')} < 0.05 AS drift_detected, 'p_value' AS direction FROM cs""")
+       ROUND({D.chi2_pvalue_duck('chi2', 'dof')}, 6) AS p_value,
+       {D.chi2_pvalue_duck('chi2', 'dof')} < 0.05 AS drift_detected, 'p_value' AS direction FROM cs""")
 
 
 @register("drift_chi2", _chi2_sql())

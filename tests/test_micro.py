@@ -145,18 +145,48 @@ def test_label_codes_follow_byte_order(spark):
     assert got == {lab: i for i, lab in enumerate(labels)}
 
 
-def test_chi2_category_cap_pools_the_tail(spark):
+def test_chi2_uses_every_category(spark):
     import numpy as np
-    counts = {"a": (50, 10), "b": (30, 30), "c": (5, 1), "d": (2, 6), "e": (1, 1)}
+    rng = np.random.default_rng(7)
+    counts = {f"c{i:03d}": (int(rng.integers(1, 40)), int(rng.integers(1, 40))) for i in range(120)}
     rows = [(cat, side) for cat, (r, c) in counts.items()
             for side, n in ((D.REF, r), (D.CUR, c)) for _ in range(n)]
     df = spark.createDataFrame(rows, "g string, side string")
-    got = D.chi2_test(df, ["g"], max_categories=3).first()
-    # kept: the two largest (a: 60, b: 60); pooled: c, d, e -> (8, 8)
-    obs = np.array([[50, 10], [30, 30], [8, 8]], dtype=float)
+    got = D.chi2_test(df, ["g"]).first()
+    obs = np.array(list(counts.values()), dtype=float)
     exp = obs.sum(1, keepdims=True) * obs.sum(0, keepdims=True) / obs.sum()
-    assert got["dof"] == 2
-    assert abs(got["chi2"] - round(float(((obs - exp) ** 2 / exp).sum()), 6)) < 1e-6
+    stat = float(((obs - exp) ** 2 / exp).sum())
+    assert got["dof"] == 119
+    assert abs(got["chi2"] - round(stat, 6)) < 1e-6
+    assert abs(got["p_value"] - _chi2_tail_by_integration(stat, 119)) < 1e-6
+
+
+def _chi2_tail_by_integration(x, k):
+    """Brute force: integrate the chi-square density from x outwards."""
+    import numpy as np
+    t = np.linspace(x, x + 40 * math.sqrt(2 * k) + 200, 400001)
+    logpdf = (k / 2 - 1) * np.log(t) - t / 2 - (k / 2) * math.log(2) - math.lgamma(k / 2)
+    return float(np.trapezoid(np.exp(logpdf), t))
+
+
+@pytest.mark.parametrize("x,k", [(0.5, 1), (2.0, 2), (7.3, 3), (30.0, 40), (95.0, 101),
+                                 (1030.0, 1000), (4950.0, 5001)])
+def test_chi2_pvalue_any_dof_matches_integration(spark, x, k):
+    df = spark.createDataFrame([(x, k)], "chi2 double, dof long")
+    got = df.select(F.expr(D.chi2_pvalue_sql("chi2", "dof"))).first()[0]
+    assert abs(got - _chi2_tail_by_integration(x, k)) < 1e-6
+
+
+def test_chi2_pvalue_duckdb_form_agrees(spark):
+    import duckdb
+    pairs = [(3.841459, 1), (5.991465, 2), (7.3, 3), (95.0, 101), (1030.0, 1000), (0.0, 4)]
+    df = spark.createDataFrame(pairs, "chi2 double, dof long")
+    got = [r[0] for r in df.select(F.expr(D.chi2_pvalue_sql("chi2", "dof"))).collect()]
+    con = duckdb.connect()
+    for (x, k), g in zip(pairs, got):
+        d = con.execute(f"SELECT {D.chi2_pvalue_duck('chi2', 'dof')} FROM "
+                        f"(SELECT {x}::DOUBLE AS chi2, {k}::BIGINT AS dof)").fetchone()[0]
+        assert abs(g - d) < 1e-9
 
 
 def test_distributed_exact_quantiles_match_interpolation(spark, monkeypatch):
