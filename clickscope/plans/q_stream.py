@@ -49,6 +49,18 @@ def q_stream_scoring(spark, sf_dir):
     return resp.withColumn("probability", r6("probability"))
 
 
+@register("stream_scoring_state", FOLD_SQL + """
+SELECT f.event_id AS request_id, f.cache_key, NOT f.miss AS cached, ROUND(a.p, 6) AS probability,
+       CAST(a.p >= 0.5 AS INTEGER) AS prediction
+FROM fold f JOIN answers a ON a.cache_key = f.cache_key AND a.anchor = f.anchor""")
+def q_stream_scoring_state(spark, sf_dir):
+    """K5 with keyed streaming state (applyInPandasWithState, event-time
+    timeout); equals K1."""
+    resp = ST.stream_scoring_stateful(spark, sf_dir, ["event_type", "user_id"],
+                                      K.logistic_score("value"), TTL, model_version=None)
+    return resp.withColumn("probability", r6("probability"))
+
+
 @register("stream_validate", f"""
 SELECT COUNT(*) AS n_rows,
        COUNT(*) FILTER (WHERE value >= 0 AND event_type IN ({", ".join(repr(t) for t in ST.KNOWN_EVENT_TYPES)}))
