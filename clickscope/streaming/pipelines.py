@@ -117,12 +117,18 @@ def window_drift(moments: DataFrame, reference: DataFrame, value_col: str = "val
 
 
 def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
-                   score, ttl_seconds: int = 3600, model_version: str | None = "v1"
-                   ) -> DataFrame:
+                   score, ttl_seconds: int = 3600, model_version: str | None = "v1",
+                   lateness_seconds: int = 3600) -> DataFrame:
     """Every micro-batch is scored through the cache table left by the
     previous batches (K1 with ``cache=``), responses appended, and a new cache
     version written (latest entry per key).  Equals the batch answer when
-    files arrive in time order."""
+    files arrive in time order.
+
+    Entries that expired more than ``lateness_seconds`` before the batch's
+    latest request are not carried into the next version, so the cache table
+    holds the keys live within TTL + lateness, not every key ever seen.
+    (:func:`stream_scoring_stateful` keeps the same entries in the state
+    store, updated incrementally instead of rewritten per batch.)"""
     out = scratch(spark, "responses")
     cache_root = scratch(spark, "cache")
 
@@ -133,6 +139,10 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
         resp, new_cache = K.cached_scoring(batch, key_cols, "ts", "event_id", score,
                                            ttl_seconds, cache, model_version)
         resp.write.mode("overwrite").parquet(_batch_path(out, batch_id))
+        latest = batch.agg(F.max(epoch_micros("ts"))).first()[0]
+        if latest is not None:
+            horizon = latest - (lateness_seconds + ttl_seconds) * 1_000_000
+            new_cache = new_cache.filter(F.col("written_at_us") > F.lit(horizon))
         new_cache.write.mode("overwrite").parquet(os.path.join(cache_root, f"v{batch_id}"))
 
     _run(read_events_stream(spark, sf_dir).writeStream.foreachBatch(sink)

@@ -35,3 +35,14 @@ def test_stateful_stream_scoring_equals_batch(spark, split_events, ttl):
     if ttl > 86400:
         # with a 30-day TTL, later micro-batches must hit entries written by earlier ones
         assert got.filter("cached").count() > 0
+
+
+def test_foreach_batch_stream_scoring_equals_batch(spark, split_events):
+    ttl = 86400 * 30
+    got = ST.stream_scoring(spark, split_events, KEYS, K.logistic_score("value"), ttl, None)
+    ev = spark.read.parquet(split_events)
+    want, _ = K.cached_scoring(ev, KEYS, "ts", "event_id", K.logistic_score("value"), ttl,
+                               None, None)
+    want = want.select(*got.columns)
+    assert got.exceptAll(want).count() == 0
+    assert want.exceptAll(got).count() == 0
