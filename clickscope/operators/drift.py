@@ -189,6 +189,40 @@ def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
                     F.lit("p_value").alias("direction"))
 
 
+def pvalue_summary(tagged: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                   side_col: str = "side", alpha: float = 0.05) -> DataFrame:
+    """One p-value test per column -- two-sample KS for ``numeric``,
+    chi-square for ``categorical`` (nominal codes and 0/1 columns, the target
+    and a model's prediction included) -- in the reference's record shape:
+    feature, ref_mean, curr_mean, mean_diff, drift_detected (p < alpha; no
+    p-value means no drift), plus the method and the p-value itself.
+
+    The two tests and the side means are the grouped passes of
+    :func:`ks_test`, :func:`chi2_test` and one wide aggregate; they meet on
+    frames of one row per feature.
+    """
+    tests = []
+    if numeric:
+        tests.append(ks_test(tagged, numeric, side_col, alpha)
+                     .select("feature", F.lit("ks").alias("method"), "p_value", "drift_detected"))
+    if categorical:
+        tests.append(chi2_test(tagged, categorical, side_col, alpha)
+                     .select("feature", F.lit("chi2").alias("method"), "p_value", "drift_detected"))
+    t = tests[0]
+    for x in tests[1:]:
+        t = t.unionByName(x)
+    m = _side_moments(tagged, [*numeric, *categorical], side_col)
+    means = m.groupBy("feature").agg(
+        F.max(F.when(F.col(side_col) == REF, F.col("mean"))).alias("ref_mean"),
+        F.max(F.when(F.col(side_col) == CUR, F.col("mean"))).alias("curr_mean"))
+    diff = F.abs(F.col("curr_mean") - F.col("ref_mean"))
+    return t.join(means, "feature").select(
+        "feature", "method", r6("ref_mean").alias("ref_mean"), r6("curr_mean").alias("curr_mean"),
+        r6(diff).alias("mean_diff"), "p_value",
+        F.coalesce(F.col("drift_detected"), F.lit(False)).alias("drift_detected"),
+        F.lit("p_value").alias("direction"))
+
+
 def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
         alert: float = PSI_ALERT, floor: float = PSI_FLOOR, exact: bool = True) -> DataFrame:
     """Population stability index over reference-side decile bins.

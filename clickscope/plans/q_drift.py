@@ -51,11 +51,11 @@ def q_drift_mean_shift(spark, sf_dir):
     return D.mean_shift(tagged_sessions(spark, sf_dir), FEATURES)
 
 
-def _ks_sql():
+def _ks_ctes(cols):
     long = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, side FROM tagged WHERE {c} IS NOT NULL"
-        for c in NUMERIC)
-    return with_ctes(TAGGED_CTES + [
+        for c in cols)
+    return [
         f"kl AS ({long})",
         """kd AS (SELECT feature, value, COUNT(*) FILTER (WHERE side = 'reference') AS n_r,
                   COUNT(*) FILTER (WHERE side = 'current') AS n_c FROM kl GROUP BY feature, value)""",
@@ -66,7 +66,11 @@ def _ks_sql():
         """ks AS (SELECT feature, MAX(ABS(cum_r / N_r - cum_c / N_c)) AS ks_stat,
                   CAST(MAX(N_r) AS DOUBLE) AS n_ref, CAST(MAX(N_c) AS DOUBLE) AS n_cur FROM kc GROUP BY feature)""",
         """kp AS (SELECT *, (sqrt(n_ref * n_cur / (n_ref + n_cur)) + 0.12
-                  + 0.11 / sqrt(n_ref * n_cur / (n_ref + n_cur))) * ks_stat AS lam FROM ks)"""],
+                  + 0.11 / sqrt(n_ref * n_cur / (n_ref + n_cur))) * ks_stat AS lam FROM ks)"""]
+
+
+def _ks_sql():
+    return with_ctes(TAGGED_CTES + _ks_ctes(NUMERIC),
         f"""SELECT feature, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
        ROUND(ks_stat, 6) AS ks_stat, ROUND({D.ks_pvalue_sql('lam')}, 6) AS p_value,
        {D.ks_pvalue_sql('lam')} < 0.05 AS drift_detected, 'p_value' AS direction FROM kp""")
@@ -77,11 +81,11 @@ def q_drift_ks(spark, sf_dir):
     return D.ks_test(tagged_sessions(spark, sf_dir), NUMERIC)
 
 
-def _chi2_sql():
+def _chi2_ctes(cols):
     long = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, side FROM tagged WHERE {c} IS NOT NULL"
-        for c in NOMINAL)
-    return with_ctes(TAGGED_CTES + [
+        for c in cols)
+    return [
         f"cl AS ({long})",
         """cc AS (SELECT feature, category, COUNT(*) FILTER (WHERE side = 'reference') AS o_r,
                   COUNT(*) FILTER (WHERE side = 'current') AS o_c FROM cl GROUP BY feature, category)""",
@@ -90,7 +94,11 @@ def _chi2_sql():
         """cs AS (SELECT feature,
                   SUM(power(o_r - (o_r + o_c) * R / (R + C), 2) / ((o_r + o_c) * R / (R + C))
                     + power(o_c - (o_r + o_c) * C / (R + C), 2) / ((o_r + o_c) * C / (R + C))) AS chi2,
-                  COUNT(*) - 1 AS dof FROM ce GROUP BY feature)"""],
+                  COUNT(*) - 1 AS dof FROM ce GROUP BY feature)"""]
+
+
+def _chi2_sql():
+    return with_ctes(TAGGED_CTES + _chi2_ctes(NOMINAL),
         f"""SELECT feature, ROUND(chi2, 6) AS chi2, CAST(dof AS BIGINT) AS dof,
        ROUND({D.chi2_pvalue_duck('chi2', 'dof')}, 6) AS p_value,
        {D.chi2_pvalue_duck('chi2', 'dof')} < 0.05 AS drift_detected, 'p_value' AS direction FROM cs""")
@@ -157,3 +165,32 @@ def q_drift_side_describe(spark, sf_dir):
     return P.describe(tagged_sessions(spark, sf_dir), FEATURES, group="side")
 
 
+
+
+# The 0/1 columns of the processed table, tested as categories by D2.
+BINARY = ("discount_seen", "returning_user", "bounce_rate", "purchase")
+D2_NUMERIC = tuple(c for c in NUMERIC if c not in BINARY)
+D2_CATEGORICAL = (*NOMINAL, *BINARY, TARGET)
+
+
+def _pvalue_summary_sql():
+    means = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, AVG({c}) FILTER (WHERE side = 'reference') AS rm,
+  AVG({c}) FILTER (WHERE side = 'current') AS cm FROM tagged""" for c in (*D2_NUMERIC, *D2_CATEGORICAL))
+    ks_p = D.ks_pvalue_sql("lam")
+    chi_p = D.chi2_pvalue_duck("chi2", "dof")
+    return with_ctes(TAGGED_CTES + _ks_ctes(D2_NUMERIC) + _chi2_ctes(D2_CATEGORICAL) + [
+        f"""tests AS (SELECT feature, 'ks' AS method, {ks_p} AS p FROM kp
+                  UNION ALL SELECT feature, 'chi2' AS method, {chi_p} AS p FROM cs)""",
+        f"dm AS ({means})"],
+        """SELECT t.feature, t.method, ROUND(rm, 6) AS ref_mean, ROUND(cm, 6) AS curr_mean,
+       ROUND(ABS(cm - rm), 6) AS mean_diff, ROUND(p, 6) AS p_value,
+       COALESCE(p < 0.05, FALSE) AS drift_detected, 'p_value' AS direction
+FROM tests t JOIN dm USING (feature)""")
+
+
+@register("drift_pvalue_summary", _pvalue_summary_sql())
+def q_drift_pvalue_summary(spark, sf_dir):
+    """Per-column p-value drift record over every processed column,
+    target included (KS numeric, chi-square nominal and 0/1)."""
+    return D.pvalue_summary(tagged_sessions(spark, sf_dir), D2_NUMERIC, D2_CATEGORICAL)

@@ -102,3 +102,19 @@ def q_latest_run_metrics(spark, sf_dir):
         "eval_accuracy": b["accuracy"], "eval_precision": b["precision"],
         "eval_recall": b["recall"], "eval_f1": b["f1"], "eval_roc_auc": auc})
     return MON.latest_run_metrics(spark.read.parquet(runs_path))
+
+
+@register("drift_prediction_summary")
+def q_drift_prediction_summary(spark, sf_dir):
+    """D2 as the reference runs it: the fitted forest predicts both drift
+    sides, and the model's ``prediction`` column is tested with the data
+    columns and the target (p-value per column, reference record shape)."""
+    from clickscope.operators import drift as D
+    from clickscope.plans.q_drift import D2_CATEGORICAL, D2_NUMERIC, tagged_sessions
+    model, _ = _fit(spark, sf_dir)
+    tagged = tagged_sessions(spark, sf_dir)
+    scored = model.transform(tagged).select(
+        *tagged.columns, F.col("prediction").cast("int").alias("prediction"))
+    # the forest's output feeds several grouped passes: write it once
+    scored = cut_lineage(scored, "drift-scored")
+    return D.pvalue_summary(scored, D2_NUMERIC, (*D2_CATEGORICAL, "prediction"))

@@ -219,3 +219,19 @@ def test_distributed_exact_quantiles_match_interpolation(spark, monkeypatch):
     b = {r["g"]: r["q"] for r in df.groupBy("g").agg(ref["x"].alias("q")).collect()}
     for g in a:
         assert all(abs(x - y) < 1e-9 for x, y in zip(a[g], b[g]))
+
+
+def test_pvalue_summary_record_per_column(spark):
+    rows = ([(float(i), i % 2, D.REF) for i in range(40)]
+            + [(float(i) + 30.0, 1, D.CUR) for i in range(40)])
+    df = spark.createDataFrame(rows, "x double, flag int, side string")
+    got = {r["feature"]: r for r in D.pvalue_summary(df, ["x"], ["flag"]).collect()}
+    assert set(got) == {"x", "flag"}
+    assert (got["x"]["method"], got["flag"]["method"]) == ("ks", "chi2")
+    assert got["x"]["ref_mean"] == 19.5 and got["x"]["curr_mean"] == 49.5
+    assert got["x"]["mean_diff"] == 30.0
+    # shifted by 30 of 40 values and a flag that is always 1 on the current side
+    assert got["x"]["drift_detected"] and got["flag"]["drift_detected"]
+    same = D.pvalue_summary(df.filter(F.col("side") == D.REF).unionByName(
+        df.filter(F.col("side") == D.REF).withColumn("side", F.lit(D.CUR))), ["x"], ["flag"])
+    assert not any(r["drift_detected"] for r in same.collect())
