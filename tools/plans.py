@@ -27,6 +27,10 @@ NOTES = {
     "(checked-small input) or per-bucket offsets beyond 2M rows.",
     "drift_psi": "reference deciles (one row per feature, broadcast by code bound); "
     "(feature, bin, side) counts by partial aggregation.",
+    "drift_chi2": "every category kept: (feature, category, side) counts by partial "
+    "aggregation; side totals and dof from a one-row-per-feature aggregate (broadcast by code "
+    "bound) instead of a window over all categories of a feature; exact any-dof p-value "
+    "folded JVM-side.",
     "rowcount_deviation": "scan reads only ts; the single-partition window runs on one row "
     "per day.",
 }
@@ -45,7 +49,8 @@ def main() -> None:
     registry.load_all()
     plans = {"sessions (ingest stage)": sessions_from_events(
         read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "customer"))}
-    for q in ("click_rate_by_category", "roc_auc", "drift_psi", "rowcount_deviation"):
+    for q in ("click_rate_by_category", "roc_auc", "drift_psi", "drift_chi2",
+              "rowcount_deviation"):
         plans[q] = registry.QUERIES[q](spark, sf_dir)
     out = ["# Physical plans (generated by tools/plans.py at " + os.path.basename(sf_dir) + ")", ""]
     for name, df in plans.items():
