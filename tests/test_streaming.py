@@ -46,3 +46,17 @@ def test_foreach_batch_stream_scoring_equals_batch(spark, split_events):
     want = want.select(*got.columns)
     assert got.exceptAll(want).count() == 0
     assert want.exceptAll(got).count() == 0
+
+
+def test_window_moments_over_several_files_equal_batch(spark, split_events):
+    from pyspark.sql import functions as F
+    got = ST.window_moments(spark, split_events, "7 days", "1 day")
+    ev = spark.read.parquet(split_events)
+    week = F.date_from_unix_date((F.floor(F.unix_date(F.to_date("ts")) / 7) * 7).cast("int"))
+    want = ev.groupBy(week.alias("window_start"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"),
+        F.stddev_samp("value").alias("std_value"))
+    r = lambda df: df.select("window_start", "event_type", "n",
+                             F.round("mean_value", 6).alias("m"), F.round("std_value", 6).alias("s"))
+    assert r(got).exceptAll(r(want)).count() == 0
+    assert r(want).exceptAll(r(got)).count() == 0
