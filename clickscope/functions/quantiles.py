@@ -31,8 +31,18 @@ BUCKETS = 1000
 MAX_DEPTH = 8
 
 
-def _select(x: DataFrame, n: int, ranks: Sequence[int], depth: int = 0) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of column ``x`` (no nulls)."""
+def _cut_stats(x: DataFrame):
+    """One job: row count, approximate bucket cut points, min and max."""
+    probs = [i / BUCKETS for i in range(1, BUCKETS)]
+    return x.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx("x", probs, 10 * BUCKETS).alias("q"),
+                 F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+
+
+def _select(x: DataFrame, n: int, ranks: Sequence[int], depth: int = 0,
+            stats=None) -> dict[int, float]:
+    """Exact k-th smallest values (0-based ranks) of column ``x`` (no nulls).
+    ``stats``: the :func:`_cut_stats` row of ``x`` when the caller has it."""
     if n <= READ_LIMIT or depth >= MAX_DEPTH:
         vals = (x.groupBy("x").agg(F.count(F.lit(1)).alias("c")).orderBy("x").collect()
                 if n <= READ_LIMIT else None)
@@ -47,9 +57,7 @@ def _select(x: DataFrame, n: int, ranks: Sequence[int], depth: int = 0) -> dict[
                 i += 1
             seen += c
         return out
-    probs = [i / BUCKETS for i in range(1, BUCKETS)]
-    row = x.agg(F.percentile_approx("x", probs, 10 * BUCKETS).alias("q"),
-                F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    row = stats if stats is not None else _cut_stats(x)
     if row["lo"] == row["hi"]:
         return {r: row["lo"] for r in ranks}
     splits = sorted(set(row["q"]))
@@ -78,12 +86,14 @@ def _select(x: DataFrame, n: int, ranks: Sequence[int], depth: int = 0) -> dict[
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """Linear-interpolated quantiles of ``col`` (nulls ignored), exact."""
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    n = x.count()
+    # the count comes with the cut points of the first level: one scan, not two
+    stats = _cut_stats(x)
+    n = stats["n"]
     if n == 0:
         return [None for _ in probs]
     pos = [p * (n - 1) for p in probs]
     ranks = sorted({r for q in pos for r in (math.floor(q), math.ceil(q))})
-    v = _select(x, n, ranks)
+    v = _select(x, n, ranks, stats=stats)
     out = []
     for q in pos:
         lo, hi = math.floor(q), math.ceil(q)
