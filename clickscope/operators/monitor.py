@@ -29,6 +29,25 @@ def table_counts(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> Data
     return out
 
 
+def frame_counts(frames: dict) -> DataFrame:
+    """A1 over stage tables: row count per named frame; ``None`` (a stage that
+    was never written) counts 0, as a missing table does in the reference.
+    One aggregate per frame; each is a footer/partial-count job."""
+    spark = SparkSession.getActiveSession()
+    parts = []
+    for name, df in frames.items():
+        if df is None:
+            parts.append(spark.range(1).select(F.lit(name).alias("table_name"),
+                                               F.lit(0).cast("long").alias("n_rows")))
+        else:
+            parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"))
+                         .select(F.lit(name).alias("table_name"), "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def health_rollup(status: DataFrame, ok_col: str = "healthy") -> DataFrame:
     """All components healthy (AND); count of unhealthy ones."""
     return status.agg(F.bool_and(ok_col).alias("all_healthy"),

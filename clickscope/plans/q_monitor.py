@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from clickscope.operators import drift as D
 from clickscope.operators import monitor as MON
 from clickscope.plans.q_drift import FEATURES, _mean_shift_sql, tagged_sessions
+from clickscope.plans.oracle import CLEAN_CTES, with_ctes
+from clickscope.plans.q_clean import processed_sessions
+from clickscope.plans.fixtures import raw_sessions
 from clickscope.plans.registry import register
 
 # The tables the pipeline depends on.
@@ -42,3 +45,13 @@ def q_drift_report(spark, sf_dir):
     s = D.mean_shift(tagged_sessions(spark, sf_dir), FEATURES)
     # format the unrounded means: recompute them without the 6-place rounding
     return MON.drift_report_rows(s)
+
+
+@register("stage_row_counts", with_ctes(CLEAN_CTES, """
+SELECT 'raw_sessions' AS table_name, COUNT(*) AS n_rows FROM raw
+UNION ALL SELECT 'processed_sessions' AS table_name, COUNT(*) AS n_rows FROM processed"""))
+def q_stage_row_counts(spark, sf_dir):
+    """A1 as the reference's database probe: raw and processed stage rows
+    (the difference is the unlabelled rows dropped by P3)."""
+    return MON.frame_counts({"raw_sessions": raw_sessions(spark, sf_dir),
+                             "processed_sessions": processed_sessions(spark, sf_dir)})

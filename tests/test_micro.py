@@ -235,3 +235,10 @@ def test_pvalue_summary_record_per_column(spark):
     same = D.pvalue_summary(df.filter(F.col("side") == D.REF).unionByName(
         df.filter(F.col("side") == D.REF).withColumn("side", F.lit(D.CUR))), ["x"], ["flag"])
     assert not any(r["drift_detected"] for r in same.collect())
+
+
+def test_frame_counts_missing_stage_is_zero(spark):
+    from clickscope.operators import monitor as MON
+    got = {r["table_name"]: r["n_rows"] for r in
+           MON.frame_counts({"a": spark.range(7), "b": None}).collect()}
+    assert got == {"a": 7, "b": 0}
