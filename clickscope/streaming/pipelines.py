@@ -13,6 +13,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import DataFrame, SparkSession
@@ -168,36 +169,38 @@ def _anchor_state_fn(ttl_us: int):
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(
-            ["t_us", "request_id"], kind="stable")
+        chunks = list(pdfs)
+        rows = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        # numpy columns only (per-group pandas calls are the cost of this step)
+        rid = rows["request_id"].to_numpy()
+        t = rows["t_us"].to_numpy()
+        own_p = rows["probability"].to_numpy()
+        own_c = rows["prediction"].to_numpy()
+        if len(t) > 1:
+            order = np.lexsort((rid, t))
+            rid, t, own_p, own_c = rid[order], t[order], own_p[order], own_c[order]
         anchor, prob, pred = state.get if state.exists else (None, None, None)
-        cached, probs, preds = [], [], []
-        for t, p, c in zip(rows["t_us"].tolist(), rows["probability"].tolist(),
-                           rows["prediction"].tolist()):
-            if anchor is None or t >= anchor + ttl_us:
-                anchor, prob, pred = t, p, c
-                cached.append(False)
-            elif t < anchor:
-                # older than the live entry (arrived out of order): answered
-                # by the model, the entry is kept
-                cached.append(False)
-                probs.append(p)
-                preds.append(c)
-                continue
-            else:
-                cached.append(True)
-            probs.append(prob)
-            preds.append(pred)
-        state.update((int(anchor), float(prob), int(pred)))
-        expiry_ms = (int(anchor) + ttl_us) // 1000
+        n = len(t)
+        cached = np.zeros(n, dtype=bool)
+        probs = own_p.astype("float64", copy=True)
+        preds = own_c.astype("int32", copy=True)
+        for i in range(n):
+            ti = int(t[i])
+            if anchor is None or ti >= anchor + ttl_us:
+                anchor, prob, pred = ti, float(own_p[i]), int(own_c[i])
+            elif ti >= anchor:
+                cached[i] = True
+                probs[i], preds[i] = prob, pred
+            # else: older than the live entry (arrived out of order): answered
+            # by the model, the entry is kept
+        state.update((anchor, prob, pred))
+        expiry_ms = (anchor + ttl_us) // 1000
         if expiry_ms > state.getCurrentWatermarkMs():
             state.setTimeoutTimestamp(expiry_ms)
         else:
             state.remove()
-        yield pd.DataFrame({"request_id": rows["request_id"].astype("int64"),
-                            "cache_key": rows["cache_key"], "t_us": rows["t_us"].astype("int64"),
-                            "cached": cached, "probability": probs,
-                            "prediction": pd.Series(preds, dtype="int32")})
+        yield pd.DataFrame({"request_id": rid, "cache_key": key[0], "t_us": t,
+                            "cached": cached, "probability": probs, "prediction": preds})
     return fn
 
 
