@@ -255,8 +255,19 @@ def stream_validate(spark: SparkSession, sf_dir: str, watermark: str = "1 hour")
         batch.select("event_id", "passed", F.concat_ws(",", "failed_rules").alias("failed_rules")) \
             .write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
-    _run(flagged.writeStream.foreachBatch(sink)
-         .option("checkpointLocation", scratch(spark, "validate-ckpt")))
+    q = _run(flagged.writeStream.foreachBatch(sink)
+             .option("checkpointLocation", scratch(spark, "validate-ckpt")))
     v = spark.read.parquet(out)
     return v.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("passed").alias("n_passed"),
-                 F.count_if(~F.col("passed")).alias("n_quarantined"))
+                 F.count_if(~F.col("passed")).alias("n_quarantined")
+                 ).withColumn("n_late_dropped", F.lit(late_rows_dropped(q)).cast("long"))
+
+
+def late_rows_dropped(query) -> int:
+    """Rows the stateful operators dropped as later than the watermark, from
+    the query's own progress reports (``recentProgress`` keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches: enough for an
+    ``availableNow`` run; a long-running query reads the same field per
+    batch from its progress log)."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
+               for op in p.stateOperators)

@@ -60,3 +60,30 @@ def test_window_moments_over_several_files_equal_batch(spark, split_events):
                              F.round("mean_value", 6).alias("m"), F.round("std_value", 6).alias("s"))
     assert r(got).exceptAll(r(want)).count() == 0
     assert r(want).exceptAll(r(got)).count() == 0
+
+
+def test_stream_validate_counts_rows_later_than_the_watermark(spark, sf_dir, tmp_path):
+    """Files 0 and 1 hold the later half of the events, file 2 (read last)
+    the earlier half.  Spark filters late rows against the watermark of the
+    previous batch, so rows of file 2 older than (max seen in files 0-1) -
+    1 hour are dropped in batch 2 and counted; all others are validated."""
+    import datetime as dt
+    import os
+
+    import pyarrow.compute as pc
+    t = pq.read_table(f"{sf_dir}/events.parquet").sort_by([("ts", "ascending"),
+                                                           ("event_id", "ascending")])
+    half = t.num_rows // 2
+    q = half // 2
+    late_part, first = t.slice(0, half), t.slice(half)
+    parts = [t.slice(half, q), t.slice(half + q), late_part]
+    for i, part in enumerate(parts):
+        f = tmp_path / f"events-{i:03d}.parquet"
+        pq.write_table(part, str(f))
+        os.utime(f, (1_000_000 * (i + 1), 1_000_000 * (i + 1)))   # read in this order
+    watermark = pc.max(first["ts"]).as_py() - dt.timedelta(hours=1)
+    n_late = sum(1 for v in late_part["ts"].to_pylist() if v <= watermark)
+    assert n_late > 0
+    got = ST.stream_validate(spark, str(tmp_path)).first()
+    assert got["n_late_dropped"] == n_late
+    assert got["n_rows"] == t.num_rows - n_late
