@@ -219,6 +219,8 @@ def stream_scoring_stateful(spark: SparkSession, sf_dir: str, key_cols: Sequence
     stored one (hit), which gives exactly the K1 responses for time-ordered
     files.  A key's rows within one micro-batch meet in one group, bounded by
     ``files_per_trigger``.  The sink is the exactly-once Parquet file sink.
+    Requests later than ``watermark`` would be dropped by Spark before the
+    state step; the run fails if that happened (none is lost silently).
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
     out = scratch(spark, "responses-state")
@@ -233,8 +235,15 @@ def stream_scoring_stateful(spark: SparkSession, sf_dir: str, key_cols: Sequence
     resp = scored.groupBy("cache_key").applyInPandasWithState(
         _anchor_state_fn(ttl_seconds * 1_000_000), RESPONSE_SCHEMA, STATE_SCHEMA,
         "append", GroupStateTimeout.EventTimeTimeout)
-    _run(resp.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", scratch(spark, "scoring-state-ckpt")).outputMode("append"))
+    q = _run(resp.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", scratch(spark, "scoring-state-ckpt"))
+             .outputMode("append"))
+    late = late_rows_dropped(q)
+    if late:
+        # a request must never vanish: requests later than the watermark are
+        # not answered by the stateful operator, so fail loudly
+        raise RuntimeError(f"{late} requests arrived later than the {watermark} watermark; "
+                           "raise `watermark` to the largest lateness of the source")
     return spark.read.parquet(out).select("request_id", "cache_key", "cached",
                                           "probability", "prediction")
 

@@ -87,3 +87,18 @@ def test_stream_validate_counts_rows_later_than_the_watermark(spark, sf_dir, tmp
     got = ST.stream_validate(spark, str(tmp_path)).first()
     assert got["n_late_dropped"] == n_late
     assert got["n_rows"] == t.num_rows - n_late
+
+
+def test_stateful_scoring_fails_instead_of_losing_late_requests(spark, sf_dir, tmp_path):
+    import os
+    t = pq.read_table(f"{sf_dir}/events.parquet").sort_by([("ts", "ascending"),
+                                                           ("event_id", "ascending")])
+    half = t.num_rows // 2
+    q = half // 2
+    for i, part in enumerate([t.slice(half, q), t.slice(half + q), t.slice(0, half)]):
+        f = tmp_path / f"events-{i:03d}.parquet"
+        pq.write_table(part, str(f))
+        os.utime(f, (1_000_000 * (i + 1), 1_000_000 * (i + 1)))
+    with pytest.raises(RuntimeError, match="later than"):
+        ST.stream_scoring_stateful(spark, str(tmp_path), KEYS, K.logistic_score("value"),
+                                   3600, None, watermark="1 hour")
