@@ -66,6 +66,18 @@ def q_cv_tune(spark, sf_dir):
     return ML.grid_search(folds, FEATURES, ML.GRID_PRESET, "random_forest")
 
 
+@register("tuned_train_score")
+def q_tuned_train_score(spark, sf_dir):
+    """The training pipeline chained as the reference's stages run: grid
+    search over 3 stratified folds (M1) -> best parameters -> forest fitted
+    on the training side with them (M2) -> test-side scores (M6)."""
+    train, test = _train_test(spark, sf_dir)
+    folds = cut_lineage(S.stratified_folds(train.drop("split"), "session_id", TARGET, 3, 42))
+    best = ML.grid_search(folds, FEATURES, ML.GRID_PRESET, "random_forest").first()
+    model = ML.fit(train, FEATURES, "random_forest", ML.parse_params(best["params"]))
+    return ML.score(model, test, keep=["session_id"])
+
+
 @register("random_search")
 def q_random_search(spark, sf_dir):
     """M5: one seeded point per algorithm (logistic, forest, boosted trees), 3 folds."""

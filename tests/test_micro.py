@@ -242,3 +242,9 @@ def test_frame_counts_missing_stage_is_zero(spark):
     got = {r["table_name"]: r["n_rows"] for r in
            MON.frame_counts({"a": spark.range(7), "b": None}).collect()}
     assert got == {"a": 7, "b": 0}
+
+
+def test_parse_params_round_trip():
+    from clickscope.operators import model as ML
+    assert ML.parse_params("maxDepth=5,numTrees=10,stepSize=0.1,x=a") == \
+        {"maxDepth": 5, "numTrees": 10, "stepSize": 0.1, "x": "a"}
