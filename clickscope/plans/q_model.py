@@ -130,3 +130,36 @@ def q_drift_prediction_summary(spark, sf_dir):
     # the forest's output feeds several grouped passes: write it once
     scored = cut_lineage(scored, "drift-scored")
     return D.pvalue_summary(scored, D2_NUMERIC, (*D2_CATEGORICAL, "prediction"))
+
+
+@register("model_request_scoring")
+def q_model_request_scoring(spark, sf_dir):
+    """The scoring service path (E-2) over every session as a request: the
+    12 typed request fields, nominal defaults 'Unknown' (V6), unseen labels
+    to 'Unknown' and label codes from the fitted encoder (F2/F3), the forest
+    saved and loaded back (S5), scored through the TTL result cache keyed on
+    the request fields (F8, K1/K2; only misses reach the model)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from clickscope.operators import clean as C
+    from clickscope.operators import scoring as K
+    from clickscope.plans.fixtures import load_sessions, raw_sessions
+    model, _ = _fit(spark, sf_dir)
+    path = os.path.join(ensure_checkpoint_dir(spark), "clickscope-runs", f"model-{uuid.uuid4().hex}")
+    ML.save_model(model, path)
+    served = ML.load_model(path)
+    _, encoder, _ = C.clean_sessions(raw_sessions(spark, sf_dir))
+    requests = C.fill_constant(
+        load_sessions(spark, sf_dir).select(
+            "session_id", F.col("session_date").cast("timestamp_ntz").alias("requested_at"),
+            *FEATURES),
+        {c: C.UNKNOWN for c in encoder})
+
+    def score(df):
+        out = served.transform(C.encode_labels(df, encoder))
+        return (out.withColumn("probability", vector_to_array("probability")[1])
+                .withColumn("prediction", F.col("prediction").cast("int")))
+
+    resp, _ = K.cached_scoring(requests, FEATURES, "requested_at", "session_id", score,
+                               ttl_seconds=3600, cache=None, model_version="v1")
+    return K.rounded(resp)

@@ -32,5 +32,5 @@ def test_every_query_has_oracle_or_is_model_or_lineage():
     rows_only = set(E.queries()) - set(ORACLE)
     assert rows_only <= {"session_obt", "rf_train_score", "model_eval", "cv_tune", "random_search",
                          "feature_importance", "latest_run_metrics", "drift_prediction_summary",
-                         "tuned_train_score",
+                         "tuned_train_score", "model_request_scoring",
                          "landing_listing"}
