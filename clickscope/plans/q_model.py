@@ -33,9 +33,23 @@ def _train_test(spark, sf_dir):
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
+_MODELS: dict = {}
+
+
 def _fit(spark, sf_dir, params=None):
+    """The training stage's model, fitted once per application and saved to
+    the shared checkpoint folder (S5); evaluation, drift and the scoring path
+    load it, as the reference's stages hand over the saved model file."""
     train, test = _train_test(spark, sf_dir)
-    return ML.fit(train, FEATURES, "random_forest", params), test
+    k = (spark.sparkContext.applicationId, os.path.abspath(sf_dir),
+         repr(sorted((params or {}).items())))
+    path = _MODELS.get(k)
+    if path is None:
+        path = os.path.join(ensure_checkpoint_dir(spark), "clickscope-models",
+                            f"rf-{uuid.uuid4().hex}")
+        ML.save_model(ML.fit(train, FEATURES, "random_forest", params), path)
+        _MODELS[k] = path
+    return ML.load_model(path), test
 
 
 @register("rf_train_score")
