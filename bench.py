@@ -24,7 +24,7 @@ HEADLINE = (
     "crosstab_margins", "corr_matrix", "histogram30", "boxplot_stats", "validate_split",
     "standardize", "stratified_split", "stratified_folds", "roc_auc", "pr_curve",
     "subgroup_metrics", "auc_drop_weekly", "drift_mean_shift", "drift_ks", "drift_chi2",
-    "drift_psi", "cached_scoring", "rf_train_score", "stream_drift_windows", "stream_scoring_state",
+    "drift_psi", "drift_pvalue_summary", "cached_scoring", "rf_train_score", "stream_drift_windows", "stream_scoring_state",
 )
 
 
