@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscope.llm import language_id
+from clickscope.llm import jaccard_join, language_id
 from clickscope.llm.tables import read
 
 
@@ -17,7 +17,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read(spark, sf_dir, "documents")).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op8_language_id": op8_language_id,
 }
 ORACLE: dict[str, str] = {}

@@ -141,7 +141,28 @@ def shingle_sets(words: Words, k: int, lower: bool = True) -> tuple[np.ndarray,
 
 
 def _whole(h: np.ndarray) -> np.uint64:
-    s = np.uint64(len(h))
-    for t, x in enumerate(h):
-        s = s + x * _GRAM[32 + t % 32]
-    return mix(np.array([s], np.uint64))[0]
+    terms = h * _GRAM[32 + np.arange(len(h)) % 32]
+    return mix(np.array([terms.sum(dtype=np.uint64)]) + np.uint64(len(h)))[0]
+
+
+def minimizers(words: Words, h: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and word positions of the smallest k-word gram of every ``w``
+    consecutive ones (leftmost of equals; of a document with fewer grams, of
+    all): two texts that share ``w + k - 1`` words in a row share one."""
+    g, at = words.grams(h, k)
+    if not len(g):
+        return g, at
+    doc = words.doc[at]
+    n = len(g)
+    pad = np.concatenate([g, np.full(w - 1, np.uint64(2**64 - 1))])
+    odoc = np.concatenate([doc, np.full(w - 1, -1)])
+    best, where = g.copy(), np.arange(n)
+    for t in range(1, w):
+        less = (pad[t:n + t] < best) & (odoc[t:n + t] == doc)
+        best = np.where(less, pad[t:n + t], best)
+        where = np.where(less, np.arange(t, n + t), where)
+    full = odoc[w - 1:] == doc
+    first = np.ones(n, dtype=bool)
+    first[1:] = doc[1:] != doc[:-1]
+    chosen = np.unique(where[full | first])
+    return g[chosen], at[chosen]
