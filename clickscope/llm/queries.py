@@ -5,12 +5,45 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickscope.llm import jaccard_join, language_id
+from clickscope.llm import (decontamination, jaccard_join, language_id, sentencepiece_codec, sharding, substring_dedup,
+                            token_output)
 from clickscope.llm.tables import read
+from clickscope.session import ensure_checkpoint_dir
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "byte_start")
+
+
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = os.path.join(ensure_checkpoint_dir(spark), "clickscope-tables", f"tokens-{uuid.uuid4().hex[:16]}")
+    token_output.write(read(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return token_output.summary(spark, path)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(read(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +55,12 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_token_output": op3_token_output,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op9_decontamination": op9_decontamination,
     "op8_language_id": op8_language_id,
 }
 ORACLE: dict[str, str] = {}
