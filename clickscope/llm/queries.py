@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import (decontamination, jaccard_join, language_id, sentencepiece_codec, sharding, substring_dedup,
-                            token_output)
+from clickscope.llm import (chat_formatting, decontamination, html_extraction, jaccard_join, language_id, quality_rules,
+                            sentencepiece_codec, sharding, substring_dedup, token_output)
 from clickscope.llm.tables import read
 from clickscope.session import ensure_checkpoint_dir
 
@@ -34,10 +34,18 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.summary(spark, path)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.passages(read(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_formatting.render(read(spark, sf_dir, "conversations"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), with_ids=False)
 
@@ -54,13 +62,24 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(read(spark, sf_dir, "documents")).drop("text_key")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_sharding": op1_sharding,
-    "op2_jaccard_join": op2_jaccard_join,
-    "op3_token_output": op3_token_output,
-    "op5_substring_dedup": op5_substring_dedup,
-    "op7_sentencepiece": op7_sentencepiece,
-    "op9_decontamination": op9_decontamination,
-    "op8_language_id": op8_language_id,
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_sharding, op2_jaccard_join, op3_token_output, op4_quality_rules, op5_substring_dedup,
+    op6_chat_formatting, op7_sentencepiece, op8_language_id, op9_decontamination, op10_html_extraction)}
+
+ORACLE: dict[str, str] = {
+    "op6_chat_formatting": """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY turn) AS l, count(*) AS n FROM t GROUP BY conv_id),
+p AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, n, unnest(range(1, n)) AS k FROM c)),
+d AS (SELECT l, any_value(n) AS n, min(conv_id) AS conv_id FROM c GROUP BY l),
+m AS (SELECT * FROM d ANTI JOIN p USING (l)),
+x AS (SELECT conv_id, n, l, unnest(range(0, (n + 199) // 200)) AS part FROM m)
+SELECT conv_id, n AS n_turns, CAST(part AS INTEGER) AS part,
+       list_aggregate(list_transform(l[part * 200 + 1:part * 200 + 200], lambda e: '<|im_start|>' || replace(coalesce(e.r, 'unknown'), '<|', '< |') || chr(10)
+           || replace(coalesce(e.t, ''), '<|', '< |') || '<|im_end|>' || chr(10)), 'string_agg', '') AS rendered
+FROM x""",
 }
-ORACLE: dict[str, str] = {}
