@@ -29,7 +29,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_model_or_lineage():
-    rows_only = set(E.queries()) - set(ORACLE)
+    llm = set(E.llm_queries.QUERIES) | {"pipeline"} if E.llm_queries else set()
+    rows_only = set(E.queries()) - set(ORACLE) - llm
     assert rows_only <= {"session_obt", "rf_train_score", "model_eval", "cv_tune", "random_search",
                          "feature_importance", "latest_run_metrics", "drift_prediction_summary",
                          "tuned_train_score", "model_request_scoring",
