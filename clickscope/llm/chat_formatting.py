@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickscope.session import cut_lineage
+
 RANGE_TURNS = 256
 
 
@@ -63,7 +65,7 @@ def maximal(turns: DataFrame) -> DataFrame:
 def render(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", part_turns: int = 200) -> DataFrame:
     """``conv, n_turns, part`` (from 0), ``rendered`` of every maximal
     conversation."""
-    turns = numbered(conversations, conv, turn, role, text)
+    turns = cut_lineage(numbered(conversations, conv, turn, role, text), "turns")
     keep = maximal(turns)
     places = turns.join(keep, "conv").select("conv", "n_turns", F.col("turn").alias("__turn"), "a", "b", "pos")
     said = conversations.where(F.col(conv).isNotNull()).select(
