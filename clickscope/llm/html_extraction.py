@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.llm.tables import bounded_batches
 from clickscope.session import cut_lineage
 
 GAMMA = 0.9
@@ -268,7 +269,7 @@ def host_of(url: str | None) -> str:
 def style_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
     """``host, page, path`` with ``style`` (child sequence of the element) and
     the hash of a ``text`` that it owns (null: it owns none)."""
-    src = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.xxhash64(html_col).alias("page"))
+    src = bounded_batches(pages).select(F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.xxhash64(html_col).alias("page"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.tables import row_key, small_side
+from clickscope.llm.tables import bounded_batches, row_key, small_side
 from clickscope.llm.textops import slices
 from clickscope.session import cut_lineage
 
@@ -59,7 +59,7 @@ def trigrams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def fit_models(df: DataFrame, text: str, label: str, fit_rows: int = 600) -> tuple[list[str], np.ndarray]:
     """Languages with at least 20 labelled rows (the ``MAX_LANGS`` most common)
     and their log trigram probabilities, from about ``fit_rows`` rows each."""
-    labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
+    labelled = bounded_batches(df).where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
     counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGS).collect()
     top = max((r["count"] for r in counts), default=0)
     share = {r["label"]: fit_rows / r["count"] for r in counts if r["count"] >= min(20, top)}

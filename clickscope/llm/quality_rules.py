@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.tables import small_side
+from clickscope.llm.tables import bounded_batches, small_side
 from clickscope.llm.textops import Words, distinct_in_doc, mix, slices
 from clickscope.llm.textops import _BYTE, _SPACE, _powers
 from clickscope.session import cut_lineage
@@ -105,7 +105,7 @@ def repeated_words(words: Words, h: np.ndarray, k: int = WINDOW) -> np.ndarray:
 
 def measures(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep``, the base measures and one column per rule."""
-    src = df.select(*keep, F.col(text).alias("__text"))
+    src = bounded_batches(df.select(*keep, F.col(text).alias("__text")))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
+from clickscope.llm.tables import bounded_batches
+
 MARK = "▁"
-TABLE_CHUNKS = 800_000
-STEP_CHARS = 2_000_000
+TABLE_CHUNKS = 300_000
+STEP_CHARS = 500_000
 _CHUNK = re.compile(" +[^ \n]*|\n[^ \n]*")
 
 
@@ -103,7 +105,7 @@ def chunk_table(model: str) -> ChunkTable:
 def round_trip(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True) -> DataFrame:
     """``keep`` columns, ``n_tokens`` (with the end id), ``ids_sha256`` and
     ``decoded_sha256``; with ``with_ids`` also the ``ids`` and ``decoded``."""
-    src = docs.select(*keep, F.col(text).alias("__text"))
+    src = bounded_batches(docs.select(*keep, F.col(text).alias("__text")))
     schema = StructType([src.schema[c] for c in keep]).add("n_tokens", LongType()).add("ids_sha256", StringType()).add("decoded_sha256", StringType())
     if with_ids:
         schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", StringType())

@@ -17,6 +17,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches set to few rows: a batch of
+    whole texts has to fit in a Python worker's memory."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 500), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        if not 0 < int(conf.get(key, "0").rstrip("b")) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written once, marked for broadcast if it is counted small; a
     larger one is left to a shuffled join."""

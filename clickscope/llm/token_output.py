@@ -33,10 +33,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickscope.llm.ordered import cut_points, offsets, part_of
+from clickscope.llm.tables import bounded_batches
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 500, 8_000, 64 << 10
 BLOCK_BYTES = 1 << 20
-TABLE_WORDS = 600_000
+TABLE_WORDS = 300_000
 #: Words that the tokenizer surely splits like _PARTS: ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _WORD = re.compile("[^ \t\n\r]+")
@@ -136,7 +137,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     key = F.xxhash64(text)
     tie = (F.shiftrightunsigned(key, 11) / 2.0**53)
     cuts = cut_points(docs, id_col)
-    src = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("key"), part_of(F.col(id_col), cuts, tie).alias("part"), F.col(text).alias("text"))
+    src = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), key.alias("key"), part_of(F.col(id_col), cuts, tie).alias("part"), F.col(text).alias("text"))
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
