@@ -22,7 +22,7 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     whole texts has to fit in a Python worker's memory."""
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 500), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
-        if not 0 < int(conf.get(key, "0").rstrip("b")) <= most:
+        if not 0 < int(conf.get(key).rstrip("b")) <= most:
             conf.set(key, str(most))
     return df
 
