@@ -37,25 +37,27 @@ from clickscope.llm.tables import bounded_batches
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 500, 8_000, 64 << 10
 BLOCK_BYTES = 1 << 20
-TABLE_WORDS = 300_000
-#: Words that the tokenizer surely splits like _PARTS: ASCII and Latin-1 letters.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+TABLE_PARTS = 500_000
+#: Texts of these characters split into the tokenizer's parts with _PARTS:
+#: ASCII and Latin-1 letters, on which its normaliser only lower-cases.
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-z0-9ß-öø-ÿ]+")
 _WORD = re.compile("[^ \t\n\r]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ]+")
 
 
 class WordEncoder:
-    """Ids of whole texts from a bounded table of distinct words.
+    """Ids of whole texts from a bounded table of distinct parts.
 
-    White space ends words in this tokenizer, so a text's ids are its words'
-    ids one after another; the words' parts are encoded once each."""
+    White space ends words in this tokenizer and its parts (runs of letters,
+    digits, runs of other characters) are encoded alone, so a text's ids are
+    its parts' ids one after another, each distinct part encoded once.  A word
+    with other characters is one key of the table (after a space)."""
 
     def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.ends = np.array([(self.tok.id_to_token(i) or "").endswith("</w>") for i in range(self.tok.get_vocab_size())])
 
@@ -79,27 +81,25 @@ class WordEncoder:
                 out += self._encode(group)
         return out
 
-    def learn(self, new: set[str]) -> None:
-        if len(self.words) + len(new) > TABLE_WORDS:
-            self.words, self.parts = {}, {}
-        split = {w: _PARTS.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
-        parts = list(set().union(*split.values()) - self.parts.keys())
-        self.parts.update(zip(parts, self._encode_parts(parts)))
-        self.words.update((w, b"".join(map(self.parts.__getitem__, p))) for w, p in split.items())
-        rest = list(new - split.keys())
-        self.words.update(zip(rest, self._encode(rest)))
+    @staticmethod
+    def split(text: str) -> list[str]:
+        if "<|" not in text and _PLAIN.fullmatch(text):
+            return _PARTS.findall(text.lower())
+        return [k for w in _WORD.findall(text) for k in (_PARTS.findall(w.lower()) if "<|" not in w and _PLAIN.fullmatch(w) else (" " + w,))]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 500):
-            split = [[w for w in re.split("[ \\t\\n\\r]+", t) if w] for t in texts[i:i + 500]]
-            every = set().union(*split)
-            new = every - self.words.keys()
-            if new:
-                if len(self.words) + len(new) > TABLE_WORDS:
-                    new = every
-                self.learn(new)
-            for words in split:
-                yield b"".join(map(self.words.__getitem__, words))
+            keys = [self.split(t) for t in texts[i:i + 500]]
+            every = set().union(*keys)
+            new = every - self.parts.keys()
+            if len(self.parts) + len(new) > TABLE_PARTS:
+                self.parts, new = {}, every
+            plain = [k for k in new if k[0] != " "]
+            odd = [k for k in new if k[0] == " "]
+            self.parts.update(zip(plain, self._encode_parts(plain)))
+            self.parts.update(zip(odd, self._encode([k[1:] for k in odd])))
+            for k in keys:
+                yield b"".join(map(self.parts.__getitem__, k))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
