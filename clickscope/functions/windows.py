@@ -103,7 +103,13 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str], bucket: str | N
         Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*pcols, bucket, *[
         F.coalesce(F.sum(f"__t_{k}").over(w_off), F.lit(0)).alias(f"__o_{k}") for k in vals])
-    joined = base.join(offsets, [*pcols, bucket])
+    # null-safe: a null partition value is a partition of its own
+    keys = [*pcols, bucket]
+    renamed = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], *[f"__o_{k}" for k in vals])
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & base[c].eqNullSafe(renamed[f"__k{i}"])
+    joined = base.join(renamed, same).drop(*[f"__k{i}" for i in range(len(keys))])
     w_in = Window.partitionBy(*pcols, bucket).orderBy(*order_cols)
     frame = (w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow) if inclusive
              else w_in.rowsBetween(Window.unboundedPreceding, -1))

@@ -44,7 +44,7 @@ def _side_moments(tagged: DataFrame, cols: Sequence[str], side_col: str) -> Data
 def mean_shift(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
                threshold: float = 0.1) -> DataFrame:
     """Drift iff |mean_cur - mean_ref| > threshold * std_ref; a zero or
-    null reference std means no drift.  One aggregate for both sides; the
+    null reference std means no drift, a side without values null.  One aggregate for both sides; the
     sides meet on the tiny (feature) frame (J4)."""
     m = _side_moments(tagged, cols, side_col)
     p = m.groupBy("feature").agg(
@@ -52,11 +52,12 @@ def mean_shift(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
         F.max(F.when(F.col(side_col) == CUR, F.col("mean"))).alias("curr_mean"),
         F.max(F.when(F.col(side_col) == REF, F.col("std"))).alias("ref_std"))
     diff = F.abs(F.col("curr_mean") - F.col("ref_mean"))
-    drift = F.when(F.col("ref_std") > 0, diff > F.lit(threshold) * F.col("ref_std")) \
-        .otherwise(F.lit(False))
+    # a side without values: not computed, which is null and never "no drift"
+    drift = F.when(diff.isNull(), F.lit(None).cast("boolean")).when(
+        F.col("ref_std") > 0, diff > F.lit(threshold) * F.col("ref_std")).otherwise(F.lit(False))
     return p.select("feature", r6("ref_mean").alias("ref_mean"), r6("curr_mean").alias("curr_mean"),
                     r6(diff).alias("mean_diff"), r6("ref_std").alias("ref_std"),
-                    F.coalesce(drift, F.lit(False)).alias("drift_detected"),
+                    drift.alias("drift_detected"),
                     F.lit("distance").alias("direction"))
 
 
@@ -92,13 +93,13 @@ def ks_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
                        {"cum_r": F.col("n_r"), "cum_c": F.col("n_c")})
     # Spark names are case-insensitive: totals must not be called N_r/N_c
     tot = d.groupBy("feature").agg(F.sum("n_r").alias("tot_r"), F.sum("n_c").alias("tot_c"))
-    gap = F.abs(F.col("cum_r") / F.col("tot_r") - F.col("cum_c") / F.col("tot_c"))
-    stat = (r.join(tot, "feature")  # one row per feature
+    gap = F.abs(F.try_divide("cum_r", "tot_r") - F.try_divide("cum_c", "tot_c"))
+    stat = (r.join(F.broadcast(tot), "feature")  # one row per feature
             .groupBy("feature").agg(F.max(gap).alias("ks_stat"),
                                     F.first("tot_r").alias("n_ref"), F.first("tot_c").alias("n_cur")))
     en = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
-    lam = (en + 0.12 + 0.11 / en) * F.col("ks_stat")
-    out = stat.withColumn("lam", lam).withColumn("p_value", F.expr(ks_pvalue_sql("lam")))
+    lam = (en + 0.12 + F.try_divide(F.lit(0.11), en)) * F.col("ks_stat")
+    out = stat.withColumn("lam", lam).withColumn("p_value", F.when(F.col("lam").isNotNull(), F.expr(ks_pvalue_sql("lam"))))
     return out.select("feature", F.col("n_ref").cast("long").alias("n_ref"),
                       F.col("n_cur").cast("long").alias("n_cur"),
                       r6("ks_stat").alias("ks_stat"), r6("p_value").alias("p_value"),
@@ -178,8 +179,8 @@ def chi2_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     e = cnt.join(F.broadcast(tot), "feature").withColumn("t", F.col("o_r") + F.col("o_c"))
     e = (e.withColumn("e_r", F.col("t") * F.col("R") / (F.col("R") + F.col("C")))
           .withColumn("e_c", F.col("t") * F.col("C") / (F.col("R") + F.col("C"))))
-    term = ((F.col("o_r") - F.col("e_r")) ** 2 / F.col("e_r")
-            + (F.col("o_c") - F.col("e_c")) ** 2 / F.col("e_c"))
+    term = (F.try_divide((F.col("o_r") - F.col("e_r")) ** 2, "e_r")
+            + F.try_divide((F.col("o_c") - F.col("e_c")) ** 2, "e_c"))
     s = e.groupBy("feature", "R", "C", "dof").agg(F.sum(term).alias("chi2")).select(
         "feature", "dof", F.when((F.col("R") > 0) & (F.col("C") > 0), F.col("chi2")).alias("chi2"))
     s = s.withColumn("p_value", F.expr(chi2_pvalue_sql("chi2", "dof")))
@@ -194,8 +195,8 @@ def pvalue_summary(tagged: DataFrame, numeric: Sequence[str], categorical: Seque
     """One p-value test per column -- two-sample KS for ``numeric``,
     chi-square for ``categorical`` (nominal codes and 0/1 columns, the target
     and a model's prediction included) -- in the reference's record shape:
-    feature, ref_mean, curr_mean, mean_diff, drift_detected (p < alpha; no
-    p-value means no drift), plus the method and the p-value itself.
+    feature, ref_mean, curr_mean, mean_diff, drift_detected (p < alpha; null
+    without a p-value), plus the method and the p-value itself.
 
     The two tests and the side means are the grouped passes of
     :func:`ks_test`, :func:`chi2_test` and one wide aggregate; they meet on
@@ -219,8 +220,7 @@ def pvalue_summary(tagged: DataFrame, numeric: Sequence[str], categorical: Seque
     return t.join(means, "feature").select(
         "feature", "method", r6("ref_mean").alias("ref_mean"), r6("curr_mean").alias("curr_mean"),
         r6(diff).alias("mean_diff"), "p_value",
-        F.coalesce(F.col("drift_detected"), F.lit(False)).alias("drift_detected"),
-        F.lit("p_value").alias("direction"))
+        "drift_detected", F.lit("p_value").alias("direction"))
 
 
 def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
@@ -248,8 +248,8 @@ def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
                         .alias("bin"))
     full = grid.join(cnt, ["feature", "bin"], "left").fillna(0, ["n_r", "n_c"])
     w = Window.partitionBy("feature")
-    r = F.greatest(F.col("n_r") / F.sum("n_r").over(w), F.lit(floor))
-    c = F.greatest(F.col("n_c") / F.sum("n_c").over(w), F.lit(floor))
+    # a side without values has no shares: null, not the floor
+    r, c = (F.when(F.sum(n).over(w) > 0, F.greatest(F.try_divide(F.col(n), F.sum(n).over(w)), F.lit(floor))) for n in ("n_r", "n_c"))
     out = (full.withColumn("term", (c - r) * F.log(c / r))
            .groupBy("feature").agg(F.sum("term").alias("psi")))
     return out.select("feature", r6("psi").alias("psi"), (F.col("psi") > alert).alias("drift_detected"),

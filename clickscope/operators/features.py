@@ -58,7 +58,7 @@ def session_obt(processed_filled: DataFrame, gender_labels: Sequence[str],
     df = one_hot(df, "device_type", device_labels, "device")
     df = engagement_score(df)
     return (df.select(
-        F.col("session_id").cast("int").alias("user_id"),
+        F.col("session_id").cast("long").alias("user_id"),
         F.col("age").cast("int").alias("age"),
         *[F.col(f"gender_{g}") for g in gender_labels],
         *[F.col(f"device_{d}") for d in device_labels],

@@ -193,4 +193,5 @@ def weekly_auc_drop(scored: DataFrame, date_col: str, label: str, score: str,
     out = per.join(n, "week_start").select(
         "week_start", "n", "auc", F.lit(base).cast("double").alias("baseline_auc"),
         r6(F.lit(base) - F.col("auc")).alias("auc_drop"))
-    return out.withColumn("alert", F.coalesce(F.col("auc_drop") > max_drop, F.lit(False)))
+    # without a baseline or an AUC nothing was compared: null
+    return out.withColumn("alert", F.col("auc_drop") > max_drop)

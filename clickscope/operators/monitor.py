@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,14 @@ from clickscope.sources.tables import read_table
 
 def table_counts(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFrame:
     """A1: row count per table (Parquet footers answer ``count(*)``); a table
-    that cannot be read counts 0."""
+    that is not there counts 0, any other failure is raised."""
     parts = []
     for n in names:
         try:
             df = read_table(spark, sf_dir, n)
-        except Exception:  # noqa: BLE001 - a missing table is a 0, not an error
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             parts.append(spark.range(1).select(F.lit(n).alias("table_name"),
                                                F.lit(0).cast("long").alias("n_rows")))
             continue

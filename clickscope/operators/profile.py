@@ -165,8 +165,8 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
         F.count_if(F.col(target) == 1).alias("n_positive"),
         F.count_if(F.col(target) == 0).alias("n_negative"),
     ).select("*",
-             r6(F.col("n_positive") * 100.0 / F.col("n_labelled")).alias("pct_positive"),
-             r6(F.col("n_negative") * 100.0 / F.col("n_labelled")).alias("pct_negative"))
+             r6(F.try_divide(F.col("n_positive") * F.lit(100.0), F.col("n_labelled"))).alias("pct_positive"),
+             r6(F.try_divide(F.col("n_negative") * F.lit(100.0), F.col("n_labelled"))).alias("pct_negative"))
 
 
 def _nan_null(c: Column) -> Column:

@@ -74,7 +74,7 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
                     hot_key_rows: int | None = 1_000_000) -> DataFrame:
     """K2: (request_id, cache_key, t_us, cached, anchor_us) for every request.
 
-    ``cache`` (K3: may be None = cache unavailable/empty) holds live entries
+    ``cache`` (may be None: empty) holds live entries
     ``(cache_key, written_at_us, ...)`` that act as anchors written earlier.
 
     Keys with more than ``hot_key_rows`` requests (and at most one cache entry,
@@ -104,9 +104,9 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
         if hot.limit(1).count() == 0:
             hot = None
     cold = req if hot is None else req.join(hot, "cache_key", "left_anti")
-    n = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (cold.repartition(n, "cache_key")
-               .sortWithinPartitions("cache_key", "t_us", F.desc("is_seed"), "request_id"))
+    # without a number the partition count stays adaptive
+    dealt = cold.repartition(partitions, "cache_key") if partitions else cold.repartition("cache_key")
+    ordered = (dealt.sortWithinPartitions("cache_key", "t_us", F.desc("is_seed"), "request_id"))
     out = ordered.mapInPandas(
         _fold(ttl_us),
         "request_id long, cache_key string, t_us long, is_seed boolean, cached boolean, anchor_us long")
@@ -120,16 +120,22 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
 def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id_col: str,
                    score: Callable[[DataFrame], DataFrame], ttl_seconds: int = 3600,
                    cache: DataFrame | None = None, model_version: str | None = "v1",
-                   materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+                   materialize: bool = True, cache_available: bool = True) -> tuple[DataFrame, DataFrame]:
     """K1: score requests through the cache.
 
     ``score(df)`` must add ``probability`` (double) and ``prediction`` (int)
     to the rows it gets (only the misses reach it).  Returns
     ``(responses, new_cache)``: responses are (request_id, cache_key, cached,
     probability, prediction); ``new_cache`` is the latest entry per key.
+    ``cache_available=False`` (K3): no lookup and no write, so every request
+    is scored, ``cached`` is false throughout and the new cache is empty.
     """
     keyed = (requests.withColumn("cache_key", cache_key(key_cols, model_version))
              .withColumn("t_us", epoch_micros(ts_col)))
+    if not cache_available:
+        own = score(keyed).select(F.col(id_col).cast("long").alias("request_id"), "cache_key", F.lit(False).alias("cached"),
+                                  F.col("probability").cast("double").alias("probability"), F.col("prediction").cast("int").alias("prediction"))
+        return own, requests.sparkSession.createDataFrame([], CACHE_SCHEMA)
     anchored = anchor_requests(keyed, "cache_key", "t_us", id_col, ttl_seconds, cache)
     if materialize:
         # two consumers below: write the fold output once instead of running

@@ -19,33 +19,34 @@ from clickscope.functions.columns import hash_bucket, hash_order_key
 from clickscope.functions.windows import SINGLE_TASK_ROWS, running_totals
 
 DEFAULT_BITS = 8
-MAX_STRATA = 10_000
+#: Counted strata up to which their sizes are broadcast.
+BROADCAST_STRATA = 100_000
 
 
 def _ranked(df: DataFrame, key: str, strata: list[str], seed: int, bits: int,
             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Adds ``__rank`` (1-based, hash order inside the stratum) and ``__n``
-    (stratum size).  One job counts the strata (a handful of class labels);
-    the sizes become literals, and decide the window strategy: one sorted
-    task per stratum when it is small, hash buckets beyond that."""
+    (stratum size).  The strata are counted and the counts joined back
+    (null-safe, any number of strata).  The largest stratum decides how the
+    ranks are computed: one sorted task per stratum while it is small, hash
+    buckets, as many as the stratum's rows ask for, beyond that; both give
+    the same ranks."""
     base = df.withColumn("__h", hash_order_key(key, seed))
-    counts = (base.groupBy(*strata).agg(F.count(F.lit(1)).alias("__c")).limit(MAX_STRATA + 1)
-              .collect())
-    if len(counts) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    n_max = max([r["__c"] for r in counts] or [0])
+    counts = base.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
+    n_strata, n_max = counts.agg(F.count(F.lit(1)), F.coalesce(F.max("__n"), F.lit(0))).first()
     bucket = None
     if n_max > single_task_rows:
+        bits = min(16, max(bits, (int(n_max) // max(1, single_task_rows)).bit_length() + 1))
         base = base.withColumn("__b", hash_bucket(F.col("__h"), bits))
         bucket = "__b"
     ranked = running_totals(base, strata, bucket, ["__h", key], {}, row_number="__rank")
-    size = F.lit(None).cast("long")
-    for r in counts:
-        cond = F.lit(True)
-        for c in strata:
-            cond = cond & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
-        size = F.when(cond, F.lit(r["__c"])).otherwise(size)
-    return ranked.withColumn("__n", size)
+    sizes = counts.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(strata)], "__n")
+    if n_strata <= BROADCAST_STRATA:               # keeps the ranked rows' order too
+        sizes = F.broadcast(sizes)
+    same = F.lit(True)
+    for i, c in enumerate(strata):
+        same = same & ranked[c].eqNullSafe(sizes[f"__s{i}"])
+    return (ranked.join(sizes, same) if strata else ranked.crossJoin(F.broadcast(sizes))).drop(*[f"__s{i}" for i in range(len(strata))])
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,

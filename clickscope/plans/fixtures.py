@@ -61,9 +61,9 @@ def sessions_from_events(events: DataFrame, customer: DataFrame,
     by_user = Window.partitionBy("user_id").orderBy("session_date")
     earlier = by_user.rowsBetween(Window.unboundedPreceding, -1)
     dev = F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (F.col("dev_idx") + 1).cast("int"))
-    s = (per_day.join(cust, "user_id")
+    s = (per_day.join(cust, "user_id", "left")  # an unknown customer keeps its sessions
          .select(
-             (F.col("user_id") * 100 + F.dayofmonth("session_date")).alias(ID),
+             (F.col("user_id") * 100_000_000 + F.date_format("session_date", "yyyyMMdd").cast("long")).alias(ID),
              "user_id", "session_date",
              (F.lit(13) + F.col("user_id") % 88).cast("double").alias("age"),
              "gender",

@@ -26,7 +26,7 @@ _SESS_DAY = """sess_day AS (
   FROM events GROUP BY user_id, CAST(ts AS DATE))"""
 
 _SESS_FULL = """sess_full AS (
-  SELECT d.user_id * 100 + day(d.session_date) AS session_id, d.user_id, d.session_date,
+  SELECT d.user_id * 100000000 + CAST(strftime(d.session_date, '%Y%m%d') AS BIGINT) AS session_id, d.user_id, d.session_date,
          CAST(13 + d.user_id % 88 AS DOUBLE) AS age,
          c.c_mktsegment AS gender,
          CASE CAST(json_extract_string(d.first_props, '$.k') AS BIGINT) % 3
@@ -42,7 +42,7 @@ _SESS_FULL = """sess_full AS (
          CAST(d.n_events = 1 AS DOUBLE) AS bounce_rate,
          CAST(d.n_purchase > 0 AS DOUBLE) AS purchase,
          CAST(d.n_click > 0 AS DOUBLE) AS ad_clicked
-  FROM sess_day d JOIN customer c ON d.user_id = c.c_custkey)"""
+  FROM sess_day d LEFT JOIN customer c ON d.user_id = c.c_custkey)"""
 
 _SESSIONS = ("sessions AS (\n  SELECT session_id, user_id, session_date,\n"
              + ",\n".join(f"         CASE WHEN {_rule(j)} THEN {c} END AS {c}"

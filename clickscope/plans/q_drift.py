@@ -42,8 +42,8 @@ def _mean_shift_sql():
   STDDEV_SAMP({c}) FILTER (WHERE side = 'reference') AS rs FROM tagged""")
     return with_ctes(TAGGED_CTES + ["ms AS (" + "\nUNION ALL\n".join(parts) + ")"], """
 SELECT feature, ROUND(rm, 6) AS ref_mean, ROUND(cm, 6) AS curr_mean, ROUND(ABS(cm - rm), 6) AS mean_diff,
-       ROUND(rs, 6) AS ref_std, COALESCE(CASE WHEN rs > 0 THEN ABS(cm - rm) > 0.1 * rs ELSE FALSE END, FALSE)
-       AS drift_detected, 'distance' AS direction FROM ms""")
+       ROUND(rs, 6) AS ref_std, CASE WHEN rm IS NULL OR cm IS NULL THEN NULL WHEN rs > 0 THEN ABS(cm - rm) > 0.1 * rs
+       ELSE FALSE END AS drift_detected, 'distance' AS direction FROM ms""")
 
 
 @register("drift_mean_shift", _mean_shift_sql())
@@ -194,3 +194,28 @@ def q_drift_pvalue_summary(spark, sf_dir):
     """Per-column p-value drift record over every processed column,
     target included (KS numeric, chi-square nominal and 0/1)."""
     return D.pvalue_summary(tagged_sessions(spark, sf_dir), D2_NUMERIC, D2_CATEGORICAL)
+
+
+def _empty_side_sql():
+    """Every statistic of a comparison with an empty current side is null."""
+    rows = [f"SELECT 'mean_shift' AS test, '{c}' AS feature FROM one" for c in FEATURES]
+    rows += [f"SELECT '{t}', '{c}' FROM one" for t in ("ks", "psi") for c in NUMERIC]
+    rows += [f"SELECT 'chi2', '{c}' FROM one" for c in NOMINAL]
+    return with_ctes(TAGGED_CTES + ["one AS (SELECT 1 FROM tagged WHERE side = 'reference' LIMIT 1)"],
+                     "SELECT test, feature, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS BOOLEAN) AS drift_detected FROM ("
+                     + "\nUNION ALL\n".join(rows) + ")")
+
+
+@register("drift_empty_side", _empty_side_sql())
+def q_drift_empty_side(spark, sf_dir):
+    """All tests against a current side without rows (that is the feature):
+    not computed, so null, never an error and never "no drift"."""
+    from pyspark.sql import functions as F
+    ref = tagged_sessions(spark, sf_dir).where(F.col("side") == D.REF)
+    parts = [(D.mean_shift(ref, FEATURES), "mean_shift", "mean_diff"), (D.ks_test(ref, NUMERIC), "ks", "p_value"),
+             (D.psi(ref, NUMERIC), "psi", "psi"), (D.chi2_test(ref, NOMINAL), "chi2", "p_value")]
+    rows = [df.select(F.lit(t).alias("test"), "feature", F.col(v).cast("double").alias("value"), "drift_detected") for df, t, v in parts]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

@@ -66,3 +66,33 @@ def q_cache_hit_rate(spark, sf_dir):
                                                       "event_type")
     return (resp.join(ev, "request_id").groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("n_requests"), F.count_if("cached").alias("n_cached")))
+
+
+CUT_SQL = "(SELECT (MIN(t) + MAX(t)) // 2 FROM req)"
+
+
+@register("cached_scoring_warm", FOLD_SQL + f"""
+SELECT f.event_id AS request_id, f.cache_key, NOT f.miss AS cached, ROUND(a.p, 6) AS probability,
+       CAST(a.p >= 0.5 AS INTEGER) AS prediction
+FROM fold f JOIN answers a ON a.cache_key = f.cache_key AND a.anchor = f.anchor WHERE f.t >= {CUT_SQL}""")
+def q_cached_scoring_warm(spark, sf_dir):
+    """Requests of the later half of the time span against the cache that the
+    earlier half left."""
+    req = _requests(spark, sf_dir).withColumn("t", epoch_micros("ts"))
+    lo, hi = req.agg(F.min("t"), F.max("t")).first()
+    cut = F.lit((lo + hi) // 2) if lo is not None else F.lit(0)
+    keys, score = ["event_type", "user_id"], K.logistic_score("value")
+    _, cache = K.cached_scoring(req.where(F.col("t") < cut).drop("t"), keys, "ts", "event_id", score, TTL, None, None)
+    resp, _ = K.cached_scoring(req.where(F.col("t") >= cut).drop("t"), keys, "ts", "event_id", score, TTL, cache, None)
+    return resp.withColumn("probability", r6("probability"))
+
+
+@register("scoring_no_cache", f"""
+SELECT event_id AS request_id, {KEY_SQL} AS cache_key, FALSE AS cached,
+       ROUND(1.0 / (1.0 + exp(-(value - 25.0) / 10.0)), 6) AS probability,
+       CAST(1.0 / (1.0 + exp(-(value - 25.0) / 10.0)) >= 0.5 AS INTEGER) AS prediction FROM events""")
+def q_scoring_no_cache(spark, sf_dir):
+    """K3: the cache cannot be reached: every request is scored."""
+    resp, _ = K.cached_scoring(_requests(spark, sf_dir), ["event_type", "user_id"], "ts", "event_id",
+                               K.logistic_score("value"), TTL, model_version=None, cache_available=False)
+    return resp.withColumn("probability", r6("probability"))

@@ -81,10 +81,29 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 _STAGES: dict = {}
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files below ``path`` (two levels)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+
+    def listing(at, depth):
+        if not fs.exists(at):
+            return
+        for st in fs.listStatus(at):
+            yield st.getPath().getName(), st.getLen(), st.getModificationTime()
+            if depth and st.isDirectory():
+                yield from listing(st.getPath(), depth - 1)
+
+    return tuple(sorted(listing(jvm.org.apache.hadoop.fs.Path(path), 1)))
+
+
 def stage_table(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """A pipeline stage output written once per Spark application and reused
-    by every later consumer (the ELT hand-off between stages)."""
-    k = (spark.sparkContext.applicationId,) + tuple(key)
+    """A pipeline stage output written once per Spark application and state of
+    its input, and reused by every later consumer (the ELT hand-off between
+    stages).  Folder names in ``key`` stand for the files in them: after a
+    change of the source the stage is built anew."""
+    files = tuple(folder_state(spark, x) for x in key if isinstance(x, str) and "/" in x)
+    k = (spark.sparkContext.applicationId, files) + tuple(key)
     hit = _STAGES.get(k)
     if hit is None:
         hit = cut_lineage(build(), name=str(key[0]))

@@ -46,13 +46,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_csv_folder(spark: SparkSession, path: str,
                     schema: T.StructType = RAW_SESSION_SCHEMA,
-                    mode: str = "PERMISSIVE") -> DataFrame:
+                    mode: str = "FAILFAST") -> DataFrame:
     """Header CSV with an explicit schema over the WHOLE folder.
 
-    Text null markers become null for string columns (F1); numeric columns
-    that fail to parse become null in PERMISSIVE mode, or fail the job with
-    ``mode="FAILFAST"``.
+    Text null markers become null for string columns (F1).  A malformed row
+    fails the job; with ``mode="PERMISSIVE"`` its text is kept in the column
+    ``_corrupt_record`` (null for good rows), so no value is lost unseen.
     """
+    if mode == "PERMISSIVE" and "_corrupt_record" not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     df = (spark.read.schema(schema).option("header", True).option("mode", mode)
           .option("nanValue", "NaN").csv(path))
     from clickscope.functions.columns import normalise_missing

@@ -65,16 +65,34 @@ def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if p.getFileSystem(conf).exists(p) else None
 
 
-def _run(stream_writer, trigger_available_now: bool = True, timeout_s: int = 600):
+def _run(stream_writer, trigger_available_now: bool = True) -> int:
+    """Runs the query to its end, however long the input is; returns the rows
+    that its stateful operators dropped as later than the watermark.  The
+    counts are taken per batch while the query runs: progress reports are kept
+    for the last batches only."""
     q = (stream_writer.trigger(availableNow=True) if trigger_available_now
          else stream_writer).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming query did not finish")
+    late: dict[int, int] = {}
+    most = 0
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(0.2)
+        reports = q.recentProgress
+        if late and reports and min(p.batchId for p in reports) > most + 1:
+            raise RuntimeError("progress reports were dropped before they were read; raise "
+                               "spark.sql.streaming.numRecentProgressUpdates")
+        for p in reports:
+            late[p.batchId] = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+            most = max(most, p.batchId)
     if q.exception():
         raise q.exception()
-    return q
+    return sum(late.values())
+
+
+def _refuse_late(late: int, watermark: str) -> None:
+    if late:
+        raise RuntimeError(f"{late} rows arrived later than the {watermark} watermark; "
+                           "raise `watermark` to the largest lateness of the source")
 
 
 def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
@@ -83,7 +101,8 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
 
     Update mode + watermark keeps state bounded; each micro-batch appends its
     updated window rows with the batch id, and the answer is the last version
-    of every window (a keyed upsert log, no complete-mode state).
+    of every window (a keyed upsert log, no complete-mode state).  The run
+    fails if rows came later than the watermark: the answer would lack them.
     """
     log = scratch(spark, "moments-log")
     agg = (read_events_stream(spark, sf_dir)
@@ -98,8 +117,8 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
                       "event_type", "n", "mean_value", "std_value")
          .write.mode("overwrite").parquet(_batch_path(log, batch_id)))
 
-    _run(agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", scratch(spark, "moments-ckpt")))
+    _refuse_late(_run(agg.writeStream.outputMode("update").foreachBatch(sink)
+                      .option("checkpointLocation", scratch(spark, "moments-ckpt"))), watermark)
     # each update carries the full aggregate of its window: keep the last one
     return spark.read.parquet(log).groupBy("window_start", "event_type").agg(
         *[F.max_by(c, "batch_id").alias(c) for c in ("n", "mean_value", "std_value")])
@@ -113,8 +132,8 @@ def window_drift(moments: DataFrame, reference: DataFrame, value_col: str = "val
                                               F.stddev_samp(value_col).alias("ref_std"))
     j = moments.join(ref, "event_type")  # one row per event type
     diff = F.abs(F.col("mean_value") - F.col("ref_mean"))
-    return j.withColumn("drift_detected", F.coalesce(
-        F.when(F.col("ref_std") > 0, diff > threshold * F.col("ref_std")), F.lit(False)))
+    return j.withColumn("drift_detected", F.when(diff.isNull(), F.lit(None).cast("boolean")).when(
+        F.col("ref_std") > 0, diff > threshold * F.col("ref_std")).otherwise(F.lit(False)))
 
 
 def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
@@ -132,6 +151,7 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
     store, updated incrementally instead of rewritten per batch.)"""
     out = scratch(spark, "responses")
     cache_root = scratch(spark, "cache")
+    newest: dict[int, int] = {}                    # latest request up to a batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # the cache left by the previous batch is found on the shared file
@@ -140,8 +160,13 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
         resp, new_cache = K.cached_scoring(batch, key_cols, "ts", "event_id", score,
                                            ttl_seconds, cache, model_version)
         resp.write.mode("overwrite").parquet(_batch_path(out, batch_id))
-        latest = batch.agg(F.max(epoch_micros("ts"))).first()[0]
+        before = max((v for k, v in newest.items() if k < batch_id), default=None)
+        latest, oldest = batch.agg(F.max(epoch_micros("ts")), F.min(epoch_micros("ts"))).first()
+        if before is not None and oldest is not None and oldest < before - lateness_seconds * 1_000_000:
+            raise RuntimeError(f"requests of batch {batch_id} arrived more than {lateness_seconds} s late; "
+                               "raise `lateness_seconds` to the largest lateness of the source")
         if latest is not None:
+            newest[batch_id] = max(latest, before or latest)
             horizon = latest - (lateness_seconds + ttl_seconds) * 1_000_000
             new_cache = new_cache.filter(F.col("written_at_us") > F.lit(horizon))
         new_cache.write.mode("overwrite").parquet(os.path.join(cache_root, f"v{batch_id}"))
@@ -235,15 +260,12 @@ def stream_scoring_stateful(spark: SparkSession, sf_dir: str, key_cols: Sequence
     resp = scored.groupBy("cache_key").applyInPandasWithState(
         _anchor_state_fn(ttl_seconds * 1_000_000), RESPONSE_SCHEMA, STATE_SCHEMA,
         "append", GroupStateTimeout.EventTimeTimeout)
-    q = _run(resp.writeStream.format("parquet").option("path", out)
+    late = _run(resp.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", scratch(spark, "scoring-state-ckpt"))
              .outputMode("append"))
-    late = late_rows_dropped(q)
-    if late:
-        # a request must never vanish: requests later than the watermark are
-        # not answered by the stateful operator, so fail loudly
-        raise RuntimeError(f"{late} requests arrived later than the {watermark} watermark; "
-                           "raise `watermark` to the largest lateness of the source")
+    # a request must never vanish: requests later than the watermark are not
+    # answered by the stateful operator, so fail loudly
+    _refuse_late(late, watermark)
     return spark.read.parquet(out).select("request_id", "cache_key", "cached",
                                           "probability", "prediction")
 
@@ -264,19 +286,10 @@ def stream_validate(spark: SparkSession, sf_dir: str, watermark: str = "1 hour")
         batch.select("event_id", "passed", F.concat_ws(",", "failed_rules").alias("failed_rules")) \
             .write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
-    q = _run(flagged.writeStream.foreachBatch(sink)
+    late = _run(flagged.writeStream.foreachBatch(sink)
              .option("checkpointLocation", scratch(spark, "validate-ckpt")))
     v = spark.read.parquet(out)
     return v.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("passed").alias("n_passed"),
                  F.count_if(~F.col("passed")).alias("n_quarantined")
-                 ).withColumn("n_late_dropped", F.lit(late_rows_dropped(q)).cast("long"))
-
+                 ).withColumn("n_late_dropped", F.lit(late).cast("long"))
 
-def late_rows_dropped(query) -> int:
-    """Rows the stateful operators dropped as later than the watermark, from
-    the query's own progress reports (``recentProgress`` keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` batches: enough for an
-    ``availableNow`` run; a long-running query reads the same field per
-    batch from its progress log)."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
-               for op in p.stateOperators)

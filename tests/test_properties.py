@@ -119,3 +119,60 @@ def test_parallel_hot_key_anchoring_equals_replay(spark, reqs, with_seed):
     want = _replay(replay_in, 3600 * 1_000_000)
     want.pop(-1, None)
     assert got == want
+
+
+def test_null_strata_survive_forced_buckets(spark):
+    """Bucketed ranks keep every row, null strata included, and agree with the
+    one-task plan."""
+    from pyspark.sql import functions as F
+
+    from clickscope.operators import split as S
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 3).alias("label"))
+    for make in (lambda n: S.stratified_split(df, "id", "label", 0.2, 7, single_task_rows=n),
+                 lambda n: S.stratified_folds(df, "id", "label", 3, 7, single_task_rows=n)):
+        one, many = (sorted(make(n).collect(), key=lambda r: r["id"]) for n in (1_000_000, 1))
+        assert len(one) == 1000 and one == many
+
+
+def test_many_strata(spark):
+    from pyspark.sql import functions as F
+
+    from clickscope.operators import split as S
+    df = spark.range(24_000).select("id", (F.col("id") % 12_000).alias("label"))
+    got = S.stratified_split(df, "id", "label", 0.5, 7).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 12_000, "test": 12_000}
+
+
+def test_empty_sides_are_null_not_errors(spark):
+    from pyspark.sql import functions as F
+
+    from clickscope.operators import drift as D
+    from clickscope.operators import profile as P
+    base = spark.range(50).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).cast("string").alias("c"))
+    for side in (D.REF, D.CUR):
+        t = base.withColumn("side", F.lit(side))
+        for out in (D.mean_shift(t, ["x"]), D.ks_test(t, ["x"]), D.psi(t, ["x"]), D.chi2_test(t, ["c"]),
+                    D.pvalue_summary(t.withColumn("c", F.col("c").cast("double")), ["x"], ["c"])):
+            assert all(r["drift_detected"] is None for r in out.collect())
+    r = P.class_counts(base.withColumn("y", F.lit(None).cast("double")), "y").first()
+    assert r["n_labelled"] == 0 and r["pct_positive"] is None
+
+
+def test_stage_follows_its_source(spark, tmp_path):
+    from clickscope.session import stage_table
+    d = str(tmp_path)
+    spark.range(10).write.parquet(f"{d}/t.parquet")
+    build = lambda: spark.read.parquet(f"{d}/t.parquet")
+    assert stage_table(spark, ("s", d), build).count() == 10
+    spark.range(20).write.mode("append").parquet(f"{d}/t.parquet")
+    assert stage_table(spark, ("s", d), build).count() == 30
+
+
+def test_unavailable_cache_scores_everything(spark):
+    import datetime as dt
+
+    from clickscope.operators import scoring as K
+    rows = [(i, 1, dt.datetime(2024, 1, 1, 0, 0, i), 3.0) for i in range(3)]
+    req = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, value double")
+    resp, cache = K.cached_scoring(req, ["user_id"], "ts", "event_id", K.logistic_score("value"), cache_available=False)
+    assert [r["cached"] for r in resp.collect()] == [False] * 3 and cache.count() == 0
