@@ -3,8 +3,9 @@
 Evidence for a row: the likelihood of its whole text under byte-trigram models
 (one per language), the language its markup declares, the address suffix and
 the host.  Declared values and hosts enter as grouped counts: each row adds
-its text posterior to its host, suffix and declared value; a host's language
-prior is smoothed towards its suffix, a suffix's towards the corpus.
+its vote (text posterior times a fixed trust in what it declares) to its host,
+suffix and declared value; a host's language prior is smoothed towards its
+suffix, a suffix's towards the corpus.
 
 Trigram models are fitted on labelled rows, about ``fit_rows`` per language
 (rows with the smallest hashes); everything else counts every row.
@@ -31,6 +32,8 @@ from clickscope.session import cut_lineage
 
 BUCKETS = 1 << 13
 MAX_LANGS = 200
+#: How far a declared language is believed before any count.
+TRUST = 0.9
 
 _CLASS = np.full(256, 32, dtype=np.uint8)          # anything else: a gap
 for _c in range(97, 123):
@@ -39,30 +42,26 @@ _CLASS[128:] = np.arange(128, 256)                  # bytes of other scripts
 
 
 def trigrams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every byte trigram with at least two letter bytes, and the row
-    it belongs to."""
-    c = _CLASS[buf].astype(np.uint32)
-    if len(c) < 3:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    """Bucket of every byte trigram with at least two letter bytes, or with one
+    between gaps, and the row it belongs to.  A text stands between gaps."""
+    row_of = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    c = np.full(len(buf) + 2 * len(offs), 32, np.uint32)
+    c[np.arange(len(buf)) + 2 * (row_of + 1)] = _CLASS[buf]
     letter = (c != 32).astype(np.uint8)
-    ok = letter[:-2] + letter[1:-1] + letter[2:] >= 2
-    cut = offs[1:-1]
-    for back in (1, 2):                            # trigrams over a row's edge
-        at = cut[(cut >= back) & (cut - back < len(ok))] - back
-        ok[at] = False
-    at = np.flatnonzero(ok)
+    around = letter[:-2] + letter[2:]
+    at = np.flatnonzero((around + letter[1:-1] >= 2) | ((around == 0) & (letter[1:-1] == 1)))
     code = c[at] * np.uint32(65536) + c[at + 1] * np.uint32(256) + c[at + 2]
     bucket = ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(51)).astype(np.int64)
-    return bucket, np.searchsorted(offs, at, side="right") - 1
+    return bucket, np.searchsorted(offs + 2 * np.arange(len(offs)), at, side="right") - 1
 
 
 def fit_models(df: DataFrame, text: str, label: str, fit_rows: int = 600) -> tuple[list[str], np.ndarray]:
-    """Languages with at least 20 labelled rows (the ``MAX_LANGS`` most common)
+    """Languages with at least 5 labelled rows (the ``MAX_LANGS`` most common)
     and their log trigram probabilities, from about ``fit_rows`` rows each."""
     labelled = bounded_batches(df).where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
     counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGS).collect()
     top = max((r["count"] for r in counts), default=0)
-    share = {r["label"]: fit_rows / r["count"] for r in counts if r["count"] >= min(20, top)}
+    share = {r["label"]: fit_rows / r["count"] for r in counts if r["count"] >= min(5, top)}
     langs = sorted(share)
     if not langs:
         return [], np.empty((0, BUCKETS), np.float32)
@@ -101,7 +100,7 @@ def text_posteriors(df: DataFrame, text: str, models: np.ndarray, saturation: in
             for lo, hi, buf, offs in slices(b.column(text)):
                 g, row = trigrams(buf, offs)
                 n[lo:hi] = np.bincount(row, minlength=hi - lo)
-                ll = np.stack([np.bincount(row, weights=m[g], minlength=hi - lo) for m in models], axis=1)
+                ll = np.stack([np.bincount(row, weights=m[g], minlength=hi - lo) for m in models], axis=1).astype(np.float64)
                 ll *= (np.minimum(n[lo:hi], saturation) / np.maximum(n[lo:hi], 1))[:, None]
                 e = np.exp(ll - ll.max(axis=1, keepdims=True))
                 out[lo:hi] = e / e.sum(axis=1, keepdims=True)
@@ -134,8 +133,12 @@ def identify(df: DataFrame, text: str = "text", declared: str | Column = "lang",
     scored = cut_lineage(text_posteriors(rows, "__text", models), "language")
     n = range(len(langs))
     total = lambda: [F.sum(F.when(F.col("__grams") > 0, F.col(f"c{i}"))).alias(f"c{i}") for i in n]
-    pairs = cut_lineage(scored.select("__host", "__said", "__grams", *[F.col("__post")[i].alias(f"c{i}") for i in n])
-                        .groupBy("__host", "__said").agg(*total()).na.fill(0.0, [f"c{i}" for i in n]), "evidence")
+    # a row's vote: its text posterior, and what it declares at a fixed trust
+    other = (1 - TRUST) / max(1, len(langs) - 1)
+    trust = [F.when(F.col("__said") == x, TRUST).when(F.col("__said").isin(langs), other).otherwise(1.0) for x in langs]
+    whole = sum((F.col("__post")[i] * trust[i] for i in n), F.lit(0.0))
+    votes = scored.select("__host", "__said", "__grams", *[(F.col("__post")[i] * trust[i] / whole).alias(f"c{i}") for i in n])
+    pairs = cut_lineage(votes.groupBy("__host", "__said").agg(*total()).na.fill(0.0, [f"c{i}" for i in n]), "evidence")
     row_sum = lambda p: sum((F.col(f"{p}{i}") for i in n), F.lit(0.0))
     sums = lambda p: [F.sum(f"c{i}").alias(f"{p}{i}") for i in n]
     world = pairs.agg(*sums("w")).first()
