@@ -142,6 +142,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         given = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if given:
+            given.precompute_compress(level=1)         # digested once, not per document
         press = zstandard.ZstdCompressor(level=1, dict_data=given, write_content_size=True)
         end, enc = np.array([end_id], "<u4").tobytes(), encoder(tokenizer)
         for b in batches:
