@@ -27,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,8 +35,9 @@ from clickscope.llm.ordered import cut_points, offsets, part_of
 from clickscope.llm.tables import bounded_batches
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 500, 8_000, 64 << 10
-BLOCK_BYTES = 1 << 20
-TABLE_PARTS = 500_000
+#: A reader holds a row group at a time, so blocks and row groups stay small.
+BLOCK_BYTES, GROUP_BYTES = 1 << 16, 8 << 20
+TABLE_PARTS, STEP_CHARS = 160_000, 1_000_000
 #: Texts of these characters split into the tokenizer's parts with _PARTS:
 #: ASCII and Latin-1 letters, on which its normaliser only lower-cases.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
@@ -51,7 +51,11 @@ class WordEncoder:
     White space ends words in this tokenizer and its parts (runs of letters,
     digits, runs of other characters) are encoded alone, so a text's ids are
     its parts' ids one after another, each distinct part encoded once.  A word
-    with other characters is one key of the table (after a space)."""
+    with other characters is one key of the table (after a space).
+
+    The table has two generations of ``TABLE_PARTS / 2`` entries: parts that
+    come again move to the young one, the old one is given up when the young
+    one is full."""
 
     def __init__(self, path: str):
         import os
@@ -59,6 +63,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.ends = np.array([(self.tok.id_to_token(i) or "").endswith("</w>") for i in range(self.tok.get_vocab_size())])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -87,19 +92,31 @@ class WordEncoder:
             return _PARTS.findall(text.lower())
         return [k for w in _WORD.findall(text) for k in (_PARTS.findall(w.lower()) if "<|" not in w and _PLAIN.fullmatch(w) else (" " + w,))]
 
+    def learn(self, every: set[str]) -> None:
+        """Afterwards the young generation holds all of ``every``."""
+        new = every - self.parts.keys()
+        if len(self.parts) + len(new) > TABLE_PARTS // 2:
+            self.old, self.parts, new = self.parts, {}, every
+        for k in new & self.old.keys():
+            self.parts[k] = self.old[k]
+        new = new - self.old.keys()
+        plain = [k for k in new if k[0] != " "]
+        odd = [k for k in new if k[0] == " "]
+        self.parts.update(zip(plain, self._encode_parts(plain)))
+        self.parts.update(zip(odd, self._encode([k[1:] for k in odd])))
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 500):
-            keys = [self.split(t) for t in texts[i:i + 500]]
-            every = set().union(*keys)
-            new = every - self.parts.keys()
-            if len(self.parts) + len(new) > TABLE_PARTS:
-                self.parts, new = {}, every
-            plain = [k for k in new if k[0] != " "]
-            odd = [k for k in new if k[0] == " "]
-            self.parts.update(zip(plain, self._encode_parts(plain)))
-            self.parts.update(zip(odd, self._encode([k[1:] for k in odd])))
+        i = 0
+        while i < len(texts):
+            j, chars = i, 0
+            while j < len(texts) and (j == i or chars + len(texts[j]) <= STEP_CHARS):
+                chars += len(texts[j])
+                j += 1
+            keys = [self.split(t) for t in texts[i:j]]
+            self.learn(set().union(*keys))
             for k in keys:
                 yield b"".join(map(self.parts.__getitem__, k))
+            i = j
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -181,7 +198,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     frames = src.mapInArrow(compress, "id long, key long, part long, frame binary, n long")
     dealt = frames.repartition("part").sortWithinPartitions("part", "id", "key")
     dealt.mapInArrow(pack, "part long, number long, first_id long, last_id long, ids array<long>, offsets array<long>, n_tokens array<long>, data binary, dictionary_hash long"
-                     ).write.mode("overwrite").parquet(f"{path}/blocks")
+                     ).write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
 
 
 def _dictionary(spark: SparkSession, path: str) -> bytes:

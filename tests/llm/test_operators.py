@@ -167,7 +167,10 @@ def test_token_output_round_trip(spark, edge, empty, tmp_path):
     assert token_output.summary(spark, f"{tmp_path}/b").count() == 0
 
 
-def test_word_table_equals_the_library():
+@pytest.mark.parametrize("table, step", [(160_000, 1_000_000), (60, 200)])
+def test_word_table_equals_the_library(monkeypatch, table, step):
+    monkeypatch.setattr(token_output, "TABLE_PARTS", table)
+    monkeypatch.setattr(token_output, "STEP_CHARS", step)
     enc = token_output.WordEncoder(path("word_bpe_49k.json"))
     r = random.Random(4)
     parts = ["'s", "'", "S", "a", "B", "é", "É", "1", ".", "!", " ", "\n", "\t", "\xa0", "\x85", "²", "ß", "Σ", "×", "<|", "endoftext", "|>", "日", "́", "\x0b", "\x1d"]
