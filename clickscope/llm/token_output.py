@@ -10,8 +10,8 @@ Spark's own committed writes on any store, and a filter on ``first_id`` and
 ``last_id`` reaches the scan when one document is wanted.
 
 The dictionary changes sizes, never ids: it is fitted on the ``SAMPLE_DOCS``
-documents with the smallest hashes of ids among those of at most
-``SAMPLE_CHARS`` characters.
+distinct texts with the smallest hashes among those of at most ``SAMPLE_CHARS``
+characters (fewer, if few texts are that short).
 
 Defined cases: a null text is an empty one and has only the end id; rows are
 ordered by id (nulls first), then by a hash of the text; repeated rows are
@@ -132,7 +132,10 @@ def encoder(path: str) -> WordEncoder:
 def train_dictionary(docs: DataFrame, tokenizer: str, text: str, end_id: int) -> bytes:
     """Shared dictionary; empty if the sample is too small to train on."""
     import zstandard
-    rows = (docs.where(F.length(text).between(1, SAMPLE_CHARS)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t")).limit(SAMPLE_DOCS).collect())
+    # about four times the sample lies under this hash: few texts leave a task
+    edge = -(2**63) + min(2**64 - 1, 2**64 * 4 * SAMPLE_DOCS // max(1, docs.count()))
+    short = docs.where(F.length(text).between(1, SAMPLE_CHARS)).select(F.col(text).alias("t"))
+    rows = short.where(F.xxhash64("t") <= F.lit(edge).cast("long")).distinct().orderBy(F.xxhash64("t")).limit(SAMPLE_DOCS).collect()
     end = np.array([end_id], "<u4").tobytes()
     samples = [x + end for x in encoder(tokenizer).encode([r["t"] for r in rows])]
     try:
