@@ -259,6 +259,33 @@ def test_repeated_passages(spark, edge, empty):
     assert substring_dedup.passages(empty).count() == 0 and substring_dedup.remove_passages(empty).count() == 0
 
 
+def test_repeats_whose_parts_stand_elsewhere(spark):
+    """X + Y repeats in two documents; X alone and Y alone, each too short to
+    count, stand in many documents with smaller ids."""
+    x, y = prose(60, 40, 100_000), prose(61, 40, 100_000)
+    rows = [(i, f"{prose(1000 + i, 30, 100_000)} {x if i % 2 else y} {prose(2000 + i, 30, 100_000)}") for i in range(1, 61)]
+    rows += [(i, f"{prose(3000 + i, 30, 100_000)} {x} {y} {prose(4000 + i, 30, 100_000)}") for i in (100, 101, 102)]
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(g["doc_id"], g["start_word"], g["end_word"], g["other_id"], g["n_matching"]) for g in got} >= {(i, 30, 110, 100, 80) for i in (101, 102)}
+    assert {g["doc_id"] for g in got} == {101, 102}
+
+
+def test_exact_repeats_match_brute_force(spark):
+    """Texts of few parts of 20 to 60 words: every window of 50 words that an
+    earlier document has is in a passage."""
+    r = random.Random(77)
+    parts = [prose(5000 + i, r.randrange(12, 45), 100_000).split() for i in range(14)]
+    texts = [sum((r.choice(parts) for _ in range(7)), []) for _ in range(60)]
+    covered, seen, want = collections.defaultdict(set), {}, set()
+    for g in substring_dedup.passages(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect():
+        covered[g["doc_id"]].update(range(g["start_word"], g["end_word"]))
+    for i, t in enumerate(texts):
+        windows = [tuple(t[p:p + 50]) for p in range(len(t) - 49)]
+        want.update((i, p + o) for p, w in enumerate(windows) if w in seen for o in range(50))
+        seen.update((w, i) for w in windows)
+    assert want and all(p in covered[i] for i, p in want)
+
+
 def test_chains_beat_no_order():
     """The Fenwick chaining finds the best chain of a brute-force search."""
     r = random.Random(12)
