@@ -16,8 +16,10 @@ seen on fewer than ``min_pages`` distinct pages prove nothing.
 
 What markup declares is prior knowledge: navigation, footers, forms, scripts,
 adverts, notices, comments (by tag, role, class or id words) have importance 0;
-plain text flow inside ``article`` or ``main`` has importance 1.  When a page
-declares such a main part, its text is the text inside.
+plain text flow inside ``article`` or ``main`` is in the tree as all else is,
+with ``FLOW_PRIOR`` of the weight of its content importance given to 1.  When a
+page declares such a main part, its text is the text inside; if all of it
+repeats (one article under several addresses) it stays.
 
 Pages are parsed tolerantly (unclosed and stray tags, comments, raw text).
 
@@ -43,6 +45,8 @@ from clickscope.llm.tables import bounded_batches
 from clickscope.session import cut_lineage
 
 GAMMA = 0.9
+#: Weight of the prior importance 1 of plain flow in a declared main part.
+FLOW_PRIOR = 0.3
 MAP_ROWS = 100_000
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
@@ -238,7 +242,7 @@ class Page:
         for e in range(len(self.tag) - 1, -1, -1):
             own, content = importance.get(paths[e], (1.0, 1.0))
             if self.flow[e]:
-                own = content = 1.0
+                own, content = (FLOW_PRIOR + (1 - FLOW_PRIOR) * x for x in (own, content))
             kids = [c for c in self.children[e] if not self.noise[c]]
             below = [score[c] for c in kids] + ([content] if e in owns else [])
             if not below:
@@ -252,10 +256,14 @@ class Page:
             gone[e] = gone[self.parent[e]] or low[e]
         kept = []
         for e, t in self.blocks:
-            content = 1.0 if self.flow[e] else importance.get(paths[e], (1.0, 1.0))[1]
+            content = importance.get(paths[e], (1.0, 1.0))[1]
+            if self.flow[e]:
+                content = FLOW_PRIOR + (1 - FLOW_PRIOR) * content
             if not gone[e] and content >= threshold:
-                kept.append(t)
-        return " ".join(kept)
+                kept.append((e, t))
+        if not kept:
+            kept = [b for b in self.blocks if self.flow[b[0]]]
+        return " ".join(t for _, t in kept)
 
 
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
@@ -284,8 +292,6 @@ def style_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
                 for e in texts:
                     used.update(doc.above(e))
                 for e in used:
-                    if doc.flow[e]:
-                        continue
                     style = " ".join(doc.label[c] for c in doc.children[e])
                     rows.update((host, page, paths[e], style, t) for t in texts.get(e, {None}))
             cols = list(zip(*rows)) or [[]] * 5

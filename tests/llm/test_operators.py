@@ -456,6 +456,17 @@ def test_site_style_tree_removes_what_repeats(spark):
         assert {r["page_id"]: r["text"] for r in html_extraction.extract(df, map_rows=limit).collect()} == exp
 
 
+def test_style_tree_acts_inside_the_main_part(spark):
+    """Repeated plain lists and sections of an article go; a page whose whole
+    article repeats keeps it."""
+    rows = [(i, f"http://d.example/{i}", f"<body><article><section><h4>Notice to all</h4></section><p>{prose(i, 30)}</p><ul><li>Home<li>Contact</ul></article></body>") for i in range(20)]
+    rows += [(100 + i, f"http://e.example/{i}", f"<body class=v{i}><article><p>{prose(7, 30)}</p></article></body>") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (html_extraction.MAP_ROWS, -1):
+        got = {r["page_id"]: r["text"] for r in html_extraction.extract(df, map_rows=limit).collect()}
+        assert got == {i: prose(i, 30) for i in range(20)} | {100 + i: prose(7, 30) for i in range(9)}
+
+
 def test_pages_equal_a_plain_reading(spark, sf_dir):
     pages = {r["page_id"]: r["html"] or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in queries.op10_html_extraction(spark, sf_dir).collect():
