@@ -232,6 +232,18 @@ def test_quality_rejects_symbol_spam(spark):
     assert sum(not g["kept"] for g in got if g["doc_id"] < 10_000) <= 60
 
 
+def test_quality_proves_cutoffs_from_few_rows(spark):
+    """700 good rows prove cutoffs for a stratum; one of 40 takes the pool's."""
+    r = random.Random(18)
+    rows = [(i, " ".join("word%d" % r.randrange(900) for _ in range(60)), "en" if i < 700 else "xx", 1) for i in range(740)]
+    rows += [(10_000 + i, " ".join("word%d ###" % r.randrange(900) for _ in range(60)), "en" if i % 2 else "xx", 0) for i in range(20)]
+    df = spark.createDataFrame([x[:3] for x in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(x[0], x[3], 0) for x in rows], "doc_id long, quality int, toxic int")
+    got = quality_rules.judge(df, labels).collect()
+    assert not any(g["kept"] for g in got if g["doc_id"] >= 10_000)
+    assert sum(not g["kept"] for g in got if g["doc_id"] < 10_000) <= 7
+
+
 # --- 5 substring dedup
 
 def test_repeated_passages(spark, edge, empty):
