@@ -152,8 +152,16 @@ def minimizers(words: Words, h: np.ndarray, k: int, w: int) -> tuple[np.ndarray,
     g, at = words.grams(h, k)
     if not len(g):
         return g, at
-    doc = words.doc[at]
+    chosen = smallest_of(g, words.doc[at], w)
+    return g[chosen], at[chosen]
+
+
+def smallest_of(g: np.ndarray, doc: np.ndarray, w: int) -> np.ndarray:
+    """Indices of the smallest of every ``w`` consecutive values of a document
+    (leftmost of equals; of a document with fewer, of all)."""
     n = len(g)
+    if not n:
+        return np.empty(0, np.int64)
     pad = np.concatenate([g, np.full(w - 1, np.uint64(2**64 - 1))])
     odoc = np.concatenate([doc, np.full(w - 1, -1)])
     best, where = g.copy(), np.arange(n)
@@ -164,5 +172,4 @@ def minimizers(words: Words, h: np.ndarray, k: int, w: int) -> tuple[np.ndarray,
     full = odoc[w - 1:] == doc
     first = np.ones(n, dtype=bool)
     first[1:] = doc[1:] != doc[:-1]
-    chosen = np.unique(where[full | first])
-    return g[chosen], at[chosen]
+    return np.unique(where[full | first])
