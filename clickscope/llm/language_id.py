@@ -8,7 +8,8 @@ suffix and declared value; a host's language prior is smoothed towards its
 suffix, a suffix's towards the corpus.
 
 Trigram models are fitted on labelled rows, about ``fit_rows`` per language
-(rows with the smallest hashes); everything else counts every row.
+(distinct texts with the smallest hashes, one row each); everything else counts
+every row.
 
 Defined cases: null or empty text, or a text without letters, has no language
 (``lang`` null, rejected); a null host or declared value is a value of its own;
@@ -57,18 +58,20 @@ def trigrams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def fit_models(df: DataFrame, text: str, label: str, fit_rows: int = 600) -> tuple[list[str], np.ndarray]:
     """Languages with at least 5 labelled rows (the ``MAX_LANGS`` most common)
-    and their log trigram probabilities, from about ``fit_rows`` rows each."""
+    and their log trigram probabilities, from about ``fit_rows`` distinct texts
+    each."""
     labelled = bounded_batches(df).where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
-    counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGS).collect()
+    texts = labelled.groupBy("label", F.xxhash64("text").alias("h")).count()
+    counts = texts.groupBy("label").agg(F.sum("count").alias("count"), F.count(F.lit(1)).alias("texts")).orderBy(F.desc("count"), "label").limit(MAX_LANGS).collect()
     top = max((r["count"] for r in counts), default=0)
-    share = {r["label"]: fit_rows / r["count"] for r in counts if r["count"] >= min(5, top)}
+    share = {r["label"]: fit_rows / r["texts"] for r in counts if r["count"] >= min(5, top)}
     langs = sorted(share)
     if not langs:
         return [], np.empty((0, BUCKETS), np.float32)
     limit = F.lit(0.0)
     for k, v in share.items():
         limit = F.when(F.col("label") == k, F.lit(min(1.0, v) * 2.0**62)).otherwise(limit)
-    chosen = labelled.where(F.abs(F.shiftright(F.xxhash64("text"), 1)) <= limit)
+    chosen = labelled.withColumn("h", F.xxhash64("text")).where(F.abs(F.shiftright("h", 1)) <= limit).dropDuplicates(["label", "h"])
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), BUCKETS), np.int64)

@@ -419,6 +419,18 @@ def test_language_prior_speaks_where_the_text_does_not(spark):
     assert got == {900: "aa", 901: "bb", 902: "bb"}
 
 
+def test_models_are_fitted_on_distinct_texts(spark):
+    """A text copied 20,000 times takes one row, not the language's sample."""
+    copies = spark.range(20_000).select(F.lit("zz").alias("lang"), F.lit("zzz qqq xxx").alias("text"))
+    rest = spark.createDataFrame([("zz", prose(i, 30)) for i in range(300)], "lang string, text string")
+    langs, models = language_id.fit_models(copies.unionByName(rest), "text", "lang", fit_rows=60)
+    import pyarrow as pa
+    (_, _, buf, offs), = textops.slices(pa.array([prose(0, 400), "zzz qqq xxx"]))
+    g, row = language_id.trigrams(buf, offs)
+    seen = [float(models[0][g[row == i]].mean()) for i in (0, 1)]
+    assert langs == ["zz"] and seen[0] > float(models[0].mean()) + 2 and seen[0] > seen[1]
+
+
 # --- 9 decontamination
 
 def test_masks_hit_windows_with_two_differences():
