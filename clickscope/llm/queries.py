@@ -59,7 +59,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.components(read(spark, sf_dir, "documents")).drop("text_key")
+    return jaccard_join.components(read(spark, sf_dir, "documents")).drop("text_key", "link_class")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,6 +146,13 @@ def test_keep_one(edge, empty):
     assert jaccard_join.keep_one(empty).count() == 0
 
 
+def test_keep_one_of_unlinked_texts_under_one_id(spark):
+    a, b = prose(80, 60, 100_000), prose(81, 60, 100_000)
+    rows = [(5, a), (5, b), (5, b), (7, b), (8, a), (9, prose(82, 60, 100_000))]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(5, a), (5, b), rows[5]])
+
+
 # --- 3 token output
 
 def test_token_output_round_trip(spark, edge, empty, tmp_path):
@@ -298,6 +305,17 @@ def test_exact_repeats_match_brute_force(spark):
     assert want and all(p in covered[i] for i, p in want)
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    p, q = prose(90, 80, 100_000), prose(91, 80, 100_000)
+    a, b = p + " " + prose(92, 40, 100_000), q + " " + prose(93, 40, 100_000)
+    rows = [(5, a), (5, b), (7, prose(94, 20, 100_000) + " " + q), (8, prose(95, 20, 100_000) + " " + p), (5, b), (9, a), (None, p), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(g["doc_id"], g["start_word"], g["end_word"], g["other_id"]) for g in substring_dedup.passages(df).collect()}
+    assert got == {(7, 20, 100, 5), (8, 20, 100, 5), (9, 0, 120, 5)}
+    left = collections.Counter((r["doc_id"], r["text"]) for r in substring_dedup.remove_passages(df, length=None).collect())
+    assert left[(5, a)] == 1 and left[(5, b)] == 2 and {i for i, _ in left} == {5, 7, 8, None, 6}
+
+
 def test_recall_of_substituted_passages(spark):
     """Passages of 60 and 100 words with every 6th to 12th word substituted
     (83 % equal and more): found over at least 90 % of their words."""
