@@ -26,12 +26,6 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, T.StringType) and f.name not in ex]
 
 
-def columns_except(df: DataFrame, exclude: Iterable[str]) -> list[str]:
-    """All columns but an exclusion list, in schema order."""
-    ex = set(exclude)
-    return [c for c in df.columns if c not in ex]
-
-
 def normalise_missing(df: DataFrame, markers: Iterable[str] | None = None) -> DataFrame:
     """NaN -> null for float columns, text null markers -> null for strings.
 

@@ -43,31 +43,19 @@ def search_bucket(x: Column, splits: Sequence[float]) -> Column:
     return build(0, len(splits))
 
 
-def quantile_splits(df: DataFrame, col: str, n_buckets: int,
-                    accuracy: int = 10000) -> list[float]:
-    """Approximate quantile cut points of ``col`` (a fitted constant of size
-    ``n_buckets - 1``); only used to spread work, never to change results."""
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(col, probs, accuracy).alias("q")).first()
-    return sorted(set(row["q"] or []))
-
-
-def grouped_quantile_bucket(df: DataFrame, group_col: str, col: str, n_buckets: int,
+def grouped_quantile_bucket(df: DataFrame, group_col: str, col: str, n_buckets: int | None = None,
                             accuracy: int = 10000,
                             single_task_rows: int | None = None) -> Column | None:
     """Bucket expression with per-group quantile splits (few groups, e.g. the
     features of a drift report): ``CASE group WHEN g THEN tree_g END``.
-    One job gets the cut points and the group sizes; ``None`` (no buckets)
-    when every group fits one task."""
+    ``None`` (no buckets) when every group fits one task; else as many buckets
+    as the largest group asks for, unless given."""
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    rows = (df.groupBy(group_col).agg(F.percentile_approx(col, probs, accuracy).alias("q"),
-                                      F.count(F.lit(1)).alias("n"))
-            .collect())
-    if n_buckets <= 1 or all(r["n"] <= limit for r in rows):
+    most = df.groupBy(group_col).count().agg(F.max("count")).first()[0] or 0
+    n = n_buckets or min(4096, 2 * -(-most // max(1, limit)))
+    if n <= 1 or most <= limit:
         return None
+    rows = df.groupBy(group_col).agg(F.percentile_approx(col, [i / n for i in range(1, n)], max(accuracy, 10 * n)).alias("q")).collect()
     expr = F.lit(0)
     for r in rows:
         expr = F.when(F.col(group_col) == F.lit(r[0]),

@@ -8,11 +8,18 @@ job each and then applied as literals, exactly like a Spark ML ``fit`` /
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.session import cut_lineage
+
 UNKNOWN = "Unknown"
+#: Label sets of at most so many labels become literals.
+LITERAL_LABELS = 128
+#: A code table is broadcast up to so many rows and bytes of text, both counted.
+BROADCAST_LABELS, BROADCAST_BYTES = 100_000, 8 << 20
 
 
 def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:
@@ -30,14 +37,6 @@ def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.fillna(values)
 
 
-def median_expr(c: str, exact: bool = True, accuracy: int = 10000) -> Column:
-    """Exact interpolated median (pandas/DuckDB ``median``) or a bounded-memory
-    approximation for continuous columns at scale."""
-    if exact:
-        return F.median(c)
-    return F.percentile_approx(c, 0.5, accuracy)
-
-
 def fit_medians(df: DataFrame, cols: Sequence[str], exact: bool = True,
                 distinct_counts: dict[str, int] | None = None) -> dict[str, float]:
     """A4/P6 fit: all medians in one aggregate pass; exact medians of
@@ -56,32 +55,52 @@ def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     return df.fillna({c: float(v) for c, v in medians.items()})
 
 
-def fit_label_encoder(df: DataFrame, cols: Sequence[str], add_unknown: bool = True,
-                      max_labels: int = 100_000) -> dict[str, list[str]]:
-    """F2 fit: sorted distinct classes per column (one distinct job per column).
-
-    ``'Unknown'`` is always added so unseen values can be mapped to it (F3).
-    The label list is a fitted constant; its size is checked so a mistaken
-    high-cardinality column fails loudly instead of flooding the driver.
-    """
-    enc = {}
-    for c in cols:
-        rows = df.select(c).distinct().limit(max_labels + 1).collect()
-        if len(rows) > max_labels:
-            raise ValueError(f"{c}: more than {max_labels} categories; use label_code_table")
-        labels = {r[0] for r in rows if r[0] is not None}
-        if add_unknown:
-            labels.add(UNKNOWN)
-        enc[c] = sorted(labels)
-    return enc
-
-
-def encode_labels(df: DataFrame, encoder: dict[str, list[str]]) -> DataFrame:
-    """F2/F3 transform: code = index in the sorted classes; unseen -> 'Unknown'.
-
-    The mapping is a literal map, so the lookup is a codegen'd hash probe, no
-    join and no shuffle.
-    """
+@dataclass(frozen=True)
+class LabelCodes:
+    """F2 fit: the written table ``(feature, label, code)``, and the number of
+    labels and bytes of each feature."""
+    table: DataFrame
+    sizes: dict[str, tuple[int, int]]
+
+    def add(self, df: DataFrame, col: str, out: str) -> DataFrame:
+        """F2/F3 transform: ``out`` is the code of ``col``; null and labels that
+        were not there at fit time get the code of ``'Unknown'`` (null without
+        that class).  The plan does not depend on the number of labels."""
+        rows, size = self.sizes[col]
+        codes = self.table.where(F.col("feature") == col)
+        unknown = codes.where(F.col("label") == UNKNOWN).select("code").first()
+        side = codes.select(F.col("label").alias("__label"), F.col("code").alias("__code"))
+        if rows <= BROADCAST_LABELS and size <= BROADCAST_BYTES:
+            side = F.broadcast(side)
+        joined = df.join(side, F.col(col).cast("string") == F.col("__label"), "left")
+        code = F.coalesce("__code", F.lit(unknown["code"] if unknown else None)).cast("int")
+        keep = [c for c in df.columns if c != out]
+        return joined.select(*[code.alias(c) if c == out else F.col(f"`{c}`") for c in (df.columns if out in df.columns else [*keep, out])])
+
+    def labels(self, col: str) -> list[str]:
+        """The labels of one feature in code order, for reports and small sets."""
+        if self.sizes[col][0] > LITERAL_LABELS:
+            raise ValueError(f"{col}: {self.sizes[col][0]} labels; read them from the table")
+        return [r["label"] for r in self.table.where(F.col("feature") == col).orderBy("code").collect()]
+
+
+def fit_label_codes(df: DataFrame, cols: Sequence[str], add_unknown: bool = True) -> LabelCodes:
+    """Codes of all labels of ``cols`` (nulls are no label), written once."""
+    table = cut_lineage(label_code_table(df, cols, add_unknown), "label-codes")
+    sizes = {c: (0, 0) for c in cols}
+    for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("label")).alias("b")).collect():
+        sizes[r["feature"]] = (r["n"], r["b"])
+    return LabelCodes(table, sizes)
+
+
+def encode_labels(df: DataFrame, encoder: LabelCodes | dict[str, list[str]]) -> DataFrame:
+    """F2/F3 transform in place of the columns: code = index in the sorted
+    classes; unseen -> 'Unknown'.  A dict holds short label lists, which become
+    a literal map: a codegen'd hash probe, no join."""
+    if isinstance(encoder, LabelCodes):
+        for c in encoder.sizes:
+            df = encoder.add(df, c, c)
+        return df
     out = df
     for c, labels in encoder.items():
         m = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
@@ -122,7 +141,7 @@ def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: st
                    unknown_cols: Iterable[str] = ("gender", "device_type"),
                    median_cols: Iterable[str] = ("avg_session_time",),
                    encode: bool = True, exact_median: bool = True
-                   ) -> tuple[DataFrame, dict[str, list[str]], dict[str, float]]:
+                   ) -> tuple[DataFrame, LabelCodes | dict[str, list[str]], dict[str, float]]:
     """The preprocessing stage: drop id (P1), fill nominal nulls with
     'Unknown' (P4), fill medians fitted on ALL rows before the target filter
     (P5), drop unlabelled rows (P3), label-encode (F2).
@@ -143,37 +162,29 @@ def clean_sessions(raw: DataFrame, id_col: str | None = "session_id", target: st
 
 
 def fit_clean_constants(raw: DataFrame, median_cols: Sequence[str], label_cols: Sequence[str],
-                        target: str, exact_median: bool = True, max_labels: int = 100_000
-                        ) -> tuple[dict[str, float], dict[str, list[str]]]:
+                        target: str, exact_median: bool = True
+                        ) -> tuple[dict[str, float], LabelCodes | dict[str, list[str]]]:
     """The fitted constants of the cleaning stage: medians over all rows
     (before the target filter) and the label sets of the filled nominal
     columns over the labelled rows.
 
     Job 1 estimates distinct counts of every column (HyperLogLog, fixed
-    memory), so a high-cardinality nominal column fails before any set is
-    built; job 2 reads the distinct (column, label) pairs with a limit; job 3
-    takes the medians (exact map when bounded, else distributed selection).
+    memory); up to ``LITERAL_LABELS`` labels are read as short lists (job 2),
+    more stay a written table; job 3 takes the medians (exact map when bounded,
+    else distributed selection).
     """
     cols = list(dict.fromkeys([*median_cols, *label_cols]))
     if not cols:
         return {}, {}
     est = raw.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    for c in label_cols:
-        if (est[c] or 0) > max_labels:
-            raise ValueError(f"{c}: about {est[c]} categories (> {max_labels}); use label_code_table")
-    encoder: dict[str, list[str]] = {}
+    encoder: LabelCodes | dict[str, list[str]] = {}
     if label_cols:
-        labelled = raw.filter(F.col(target).isNotNull())
-        pairs = (labelled.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("f"),
-                     F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("v"))
-            for c in label_cols]))).distinct().limit(len(label_cols) * (max_labels + 1)).collect())
-        for c in label_cols:
-            labels = {r["v"] for r in pairs if r["f"] == c}
-            if len(labels) > max_labels:
-                raise ValueError(f"{c}: more than {max_labels} categories; use label_code_table")
-            labels.add(UNKNOWN)
-            encoder[c] = sorted(labels)
+        filled = raw.filter(F.col(target).isNotNull()).select(*[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in label_cols])
+        if all((est[c] or 0) < LITERAL_LABELS // 2 for c in label_cols):
+            pairs = filled.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("v")) for c in label_cols]))).distinct().collect()
+            encoder = {c: sorted({r["v"] for r in pairs if r["f"] == c} | {UNKNOWN}) for c in label_cols}
+        else:
+            encoder = fit_label_codes(filled, label_cols)
     medians = (fit_medians(raw, list(median_cols), exact_median,
                            {c: est[c] for c in median_cols}) if median_cols else {})
     return medians, encoder

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clickscope.functions.columns import r6
 from clickscope.functions.quantiles import quantile_columns
 from clickscope.functions.windows import grouped_quantile_bucket, running_totals
+from clickscope.session import cut_lineage
 
 REF, CUR = "reference", "current"
 # Decile probabilities of the PSI bins, share floor, alert level.
@@ -71,7 +72,7 @@ def ks_pvalue_sql(lam: str = "lam", terms: int = 100) -> str:
 
 
 def ks_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
-            alpha: float = 0.05, n_buckets: int = 16,
+            alpha: float = 0.05, n_buckets: int | None = None,
             single_task_rows: int | None = None) -> DataFrame:
     """D3: two-sample Kolmogorov-Smirnov per numeric column.
 
@@ -85,6 +86,7 @@ def ks_test(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     d = long.groupBy("feature", "value").agg(
         F.count_if(F.col(side_col) == REF).alias("n_r"),
         F.count_if(F.col(side_col) == CUR).alias("n_c"))
+    d = cut_lineage(d, "ks-values")                # read for its cut points, its totals and its sums
     b = grouped_quantile_bucket(d, "feature", "value", n_buckets,
                                 single_task_rows=single_task_rows)
     if b is not None:
@@ -122,13 +124,36 @@ def erfc_sql(z: str) -> str:
     return f"({t} * exp(-({z}) * ({z}) + {poly}))"
 
 
+#: Degrees of freedom up to which the tail is summed; beyond, its uniform
+#: expansion is off by under 1e-6, at most this many steps before it.
+SERIES_DOF = 20_000
+# First coefficients of the expansion's correction around 0.
+_NEAR_ONE = (-1 / 3, 1 / 12, -2 / 135, 1 / 864, 1 / 2835)
+
+
+def chi2_tail_large_sql(x: str = "chi2", k: str = "dof") -> str:
+    """Upper tail for many degrees of freedom, in constant steps: the uniform
+    asymptotic expansion of the incomplete gamma function,
+    ``erfc(eta sqrt(a / 2)) / 2`` plus one correction, with ``a = dof / 2``,
+    ``mu = x / dof - 1`` and ``eta^2 / 2 = mu - ln(1 + mu)``."""
+    a, mu = f"(CAST({k} AS DOUBLE) / 2.0)", f"(CAST({x} AS DOUBLE) / CAST({k} AS DOUBLE) - 1.0)"
+    eta = f"(sign({mu}) * sqrt(greatest(2.0 * ({mu} - log1p({mu})), 0.0)))"
+    z = f"(abs({eta}) * sqrt({a} / 2.0))"
+    near = repr(_NEAR_ONE[-1])
+    for c in reversed(_NEAR_ONE[:-1]):
+        near = f"({c!r} + {eta} * {near})"
+    correction = f"(CASE WHEN abs({eta}) < 0.05 THEN {near} ELSE 1.0 / {mu} - 1.0 / {eta} END)"
+    normal = f"(CASE WHEN {eta} >= 0 THEN 0.5 * {erfc_sql(z)} ELSE 1.0 - 0.5 * {erfc_sql(z)} END)"
+    return f"({normal} + exp(-{z} * {z}) / sqrt({2 * math.pi!r} * {a}) * {correction})"
+
+
 def chi2_pvalue_sql(x: str = "chi2", k: str = "dof") -> str:
     """Upper tail Q(k/2, x/2) of the chi-square distribution for any integer
-    dof, as Spark SQL text.  Closed-form series (even dof: Poisson sum; odd
-    dof: erfc plus half-integer terms) folded with ``aggregate`` over
-    ``sequence``: each term is the previous one times h/i in log space, so no
-    log-gamma function is needed and nothing overflows.  JVM-side, one
-    expression per feature row; the fold has dof/2 steps."""
+    dof, as Spark SQL text.  Up to ``SERIES_DOF`` the closed-form series (even
+    dof: Poisson sum; odd dof: erfc plus half-integer terms) folded with
+    ``aggregate`` over ``sequence``: each term is the previous one times h/i in
+    log space, so no log-gamma function is needed and nothing overflows.
+    Beyond, :func:`chi2_tail_large_sql`: constant time and memory."""
     h = f"(CAST({x} AS DOUBLE) / 2.0)"
     m_even = f"CAST({k} DIV 2 AS INT)"
     m_odd = f"CAST(({k} - 1) DIV 2 AS INT)"
@@ -140,6 +165,7 @@ def chi2_pvalue_sql(x: str = "chi2", k: str = "dof") -> str:
            f"aggregate(sequence(1, {m_odd}), named_struct('lt', {odd_start}, 's', CAST(0 AS DOUBLE)), "
            f"(a, i) -> {step.format(h=h, d='i + 0.5')}, a -> a.s) END")
     return (f"CASE WHEN {k} IS NULL OR {k} < 1 OR {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1.0 "
+            f"WHEN {k} > {SERIES_DOF} THEN least(greatest({chi2_tail_large_sql(x, k)}, 0.0), 1.0) "
             f"WHEN {k} % 2 = 0 THEN least(greatest({even}, 0.0), 1.0) "
             f"ELSE least(greatest({erfc_sql(f'sqrt({h})')} + {odd}, 0.0), 1.0) END")
 
@@ -233,8 +259,8 @@ def psi(tagged: DataFrame, cols: Sequence[str], side_col: str = "side",
     ref = tagged.filter(F.col(side_col) == REF)
     dec = quantile_columns(ref, cols, PSI_PROBS, exact=exact)
     edges_wide = ref.agg(*[dec[c].alias(c) for c in cols])
-    edges = edges_wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("edges")) for c in cols])))
+    edges = cut_lineage(edges_wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("edges")) for c in cols]))), "psi-edges")
     long = (tagged.select(side_col, F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
         .filter(F.col("value").isNotNull()))

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from clickscope.functions.columns import r6, safe_div
 from clickscope.functions.windows import SINGLE_TASK_ROWS, running_totals, search_bucket
+from clickscope.operators.runlog import asof_join
+from clickscope.session import cut_lineage
 
-DEFAULT_BUCKETS = 64
+#: Most cut points of a running total (two buckets for each task's worth of rows).
+MOST_BUCKETS = 4096
 
 
 def _counts(label: Column, pred: Column) -> list[Column]:
@@ -90,7 +93,7 @@ def class_report(scored: DataFrame, label: str = "label", pred: str = "predictio
 
 
 def score_steps(scored: DataFrame, label: str = "label", score: str = "score",
-                groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                groups: Sequence[str] = (), n_buckets: int | None = None,
                 single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """One row per distinct (group, score) with pos/neg counts, exact totals
     strictly below the score (``pos_below``/``neg_below``) and group totals
@@ -99,14 +102,14 @@ def score_steps(scored: DataFrame, label: str = "label", score: str = "score",
     d = (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
          .groupBy(*g, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                  F.count_if(F.col(label) == 0).alias("neg")))
-    # one job: size of the distinct-score table, class totals, cut points
-    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    t = d.agg(F.count(F.lit(1)).alias("rows"), F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-              F.percentile_approx(score, probs, 10000).alias("q")).first()
-    small = (t["rows"] or 0) <= single_task_rows
-    bucket = None if small else "__b"
-    if not small:
-        d = d.withColumn("__b", search_bucket(F.col(score), sorted(set(t["q"] or []))))
+    d = cut_lineage(d, "score-steps")              # read for its size, its cut points and its totals
+    t = d.agg(F.count(F.lit(1)).alias("rows"), F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    bucket = None
+    if (t["rows"] or 0) > single_task_rows:
+        n = n_buckets or min(MOST_BUCKETS, 2 * -(-t["rows"] // max(1, single_task_rows)))
+        q = d.agg(F.percentile_approx(score, [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0]
+        bucket = "__b"
+        d = d.withColumn("__b", search_bucket(F.col(score), sorted(set(q or []))))
     r = running_totals(d, g, bucket, [score], {"pos_below": F.col("pos"),
                                                "neg_below": F.col("neg")}, inclusive=False)
     if g:
@@ -118,7 +121,7 @@ def score_steps(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
-            groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+            groups: Sequence[str] = (), n_buckets: int | None = None,
             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Exact ROC-AUC (ties count one half), rank-sum form."""
     s = score_steps(scored, label, score, groups, n_buckets, single_task_rows)
@@ -133,7 +136,7 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score",
-              n_buckets: int = DEFAULT_BUCKETS,
+              n_buckets: int | None = None,
               single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E5: one point per distinct score (predict 1 when score >= threshold)
     plus the origin (threshold null)."""
@@ -150,7 +153,7 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def pr_curve(scored: DataFrame, label: str = "label", score: str = "score",
-             n_buckets: int = DEFAULT_BUCKETS,
+             n_buckets: int | None = None,
              single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E6 points: precision/recall per distinct threshold plus the end point
     (recall 0, precision 1, threshold null)."""
@@ -167,7 +170,7 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score",
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score",
-                      groups: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                      groups: Sequence[str] = (), n_buckets: int | None = None,
                       single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """AP = sum over distinct thresholds of (pos_at_threshold / P) * precision."""
     s = score_steps(scored, label, score, groups, n_buckets, single_task_rows)
@@ -181,17 +184,21 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 
 
 def weekly_auc_drop(scored: DataFrame, date_col: str, label: str, score: str,
-                    max_drop: float = 0.05, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """AUC per 7-day window (epoch-aligned) against the first window's
-    AUC as the training baseline; alert when the drop exceeds ``max_drop``."""
+                    max_drop: float = 0.05, baselines: DataFrame | None = None) -> DataFrame:
+    """AUC per 7-day window (epoch-aligned) against a training AUC; alert
+    when the drop exceeds ``max_drop``.
+
+    ``baselines``: ``started_at, auc`` of the training runs (the run log); each
+    week is compared with the last run started by its first day, a week before
+    any run with none.  Without it the first week's AUC is the baseline."""
     week = F.date_from_unix_date((F.floor(F.unix_date(F.col(date_col)) / 7) * 7).cast("int"))
-    per = roc_auc(scored.withColumn("week_start", week), label, score, ["week_start"], n_buckets)
-    n = scored.withColumn("week_start", week).groupBy("week_start").agg(
-        F.count(F.lit(1)).alias("n"))
-    first = per.orderBy("week_start").select("auc").first()
-    base = first["auc"] if first else None
-    out = per.join(n, "week_start").select(
-        "week_start", "n", "auc", F.lit(base).cast("double").alias("baseline_auc"),
-        r6(F.lit(base) - F.col("auc")).alias("auc_drop"))
+    weekly = scored.withColumn("week_start", week)
+    n = weekly.groupBy("week_start").agg(F.count(F.lit(1)).alias("n"))
+    per = roc_auc(weekly, label, score, ["week_start"]).join(n, "week_start").select("week_start", "n", "auc")
+    if baselines is None:
+        per = cut_lineage(per, "weekly-auc")
+        baselines = per.orderBy("week_start").limit(1).select(F.col("week_start").alias("started_at"), "auc")
+    base = baselines.select("started_at", F.col("auc").alias("baseline_auc"))
+    out = asof_join(per, base, "week_start", "started_at", ["baseline_auc"]).withColumn("auc_drop", r6(F.col("baseline_auc") - F.col("auc")))
     # without a baseline or an AUC nothing was compared: null
     return out.withColumn("alert", F.col("auc_drop") > max_drop)

@@ -58,35 +58,15 @@ def health_rollup(status: DataFrame, ok_col: str = "healthy") -> DataFrame:
                       F.count(F.lit(1)).alias("n_components"))
 
 
-def latest_run(runs: DataFrame) -> DataFrame:
-    """The run with the latest start time (max_by, one aggregate)."""
-    return runs.agg(F.max_by("run_id", "started_at").alias("run_id"))
-
-
-def latest_run_metrics(runs: DataFrame, places: int = 4) -> DataFrame:
-    """O4 + F10 + F11: metrics of the latest run, names without 'eval_' and
-    upper-cased, values rounded."""
-    latest = latest_run(runs)
-    return (runs.join(latest, "run_id", "left_semi")
-            .select(F.upper(F.regexp_replace("key", "^eval_", "")).alias("metric"),
-                    F.round("value", places).alias("value")))
-
-
-def metrics_map(runs: DataFrame, places: int = 4) -> DataFrame:
-    """one map<string,double> per run from its (key, value) records."""
-    return runs.groupBy("run_id").agg(
-        F.transform_values(F.map_from_entries(F.collect_list(F.struct("key", "value"))),
-                           lambda k, v: F.round(v, places)).alias("metrics"))
-
-
 def drift_report_rows(summary: DataFrame) -> DataFrame:
     """F12 + F14: presentation rows of a drift summary (fixed-point text with
-    thousands separators, DRIFT/OK label)."""
+    thousands separators; a comparison that was not made is never `OK`)."""
     return summary.select(
         "feature",
         F.format_number("ref_mean", 2).alias("ref_mean_text"),
         F.format_number("curr_mean", 2).alias("curr_mean_text"),
-        F.when(F.col("drift_detected"), F.lit("DRIFT")).otherwise(F.lit("OK")).alias("status"))
+        F.when(F.col("drift_detected"), F.lit("DRIFT")).when(F.col("drift_detected").isNull(), F.lit("NOT COMPUTED"))
+        .otherwise(F.lit("OK")).alias("status"))
 
 
 def stamped(df: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ the explode feeds a map-side partial aggregate in the same stage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,25 +185,66 @@ def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
             .orderBy(F.desc_nulls_last("corr"), "feature"))
 
 
+def _pair_moments(cols: Sequence[str]):
+    """Per task: for every pair the rows with both values, the mean of the
+    first over them, and the (co)moments, as d x d matrix products of the
+    masked columns; batches are merged by the pairwise update formula."""
+    d = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, own, co = (np.zeros((d, d)) for _ in range(4))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in cols], axis=1)
+            has = ~np.isnan(x)
+            mask = has.astype(np.float64)
+            # about one of the values: small differences, and 0 for a constant
+            shift = np.where(has.any(axis=0), x[has.argmax(axis=0), np.arange(d)], 0.0)
+            x = np.where(has, x - shift, 0.0)
+            m = mask.T @ mask
+            one = np.maximum(m, 1)
+            s = (x.T @ mask) / one                                # [i, j]: mean of i where j is there
+            c = x.T @ x - m * s * s.T
+            q = (x * x).T @ mask - m * s * s
+            s = s + shift[:, None]
+            total = np.maximum(n + m, 1)
+            step = np.where(n > 0, s - mean, 0.0)
+            weight = n * m / total
+            own, co = own + q + step * step * weight, co + c + step * step.T * weight
+            mean = np.where(n > 0, mean + (s - mean) * m / total, s)
+            n = n + m
+        i, j = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), n[i, j], mean[i, j], mean[j, i], own[i, j], own[j, i], co[i, j])],
+                                         ["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
+
+    return run
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Full pairwise-complete correlation matrix in long form.
+    """Full pairwise-complete correlation matrix in long form (nulls and
+    NaN are absent).
 
-    Each row is exploded to its d(d+1)/2 (pair, x, y) triples, which feed a
-    partial ``corr`` aggregate in the same stage: only (task x pair) buffers
-    are shuffled.  (One wide aggregate of d(d+1)/2 ``corr`` columns was ~3x
-    slower: it outgrows whole-stage codegen.)  Not ``ml.stat.Correlation``,
-    which needs complete rows.  Mirrored to d*d cells at the end.
+    Each task adds up its rows' moments of all pairs by matrix products and
+    returns one row per pair; those few rows (tasks x pairs) are merged per
+    pair by the same update formula, free of cancellation.  Not
+    ``ml.stat.Correlation``, which needs complete rows.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])))
-    c = long.groupBy("a", "b").agg(r6(_nan_null(F.corr("x", "y"))).alias("corr"))
-    upper = c.select(F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "corr")
-    lower = (c.filter(F.col("a") != F.col("b"))
-             .select(F.col("b").alias("feature_a"), F.col("a").alias("feature_b"), "corr"))
-    return upper.unionByName(lower)
+    kind = "i int, j int, n double, mx double, my double, xx double, yy double, xy double"
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(_pair_moments(cols), kind)
+
+    def merge(a, p):
+        n = a["n"] + p["n"]
+        dx, dy, w = p["mx"] - a["mx"], p["my"] - a["my"], a["n"] * p["n"] / n
+        return F.struct(n.alias("n"), (a["mx"] + dx * p["n"] / n).alias("mx"), (a["my"] + dy * p["n"] / n).alias("my"), (a["xx"] + p["xx"] + dx * dx * w).alias("xx"),
+                        (a["yy"] + p["yy"] + dy * dy * w).alias("yy"), (a["xy"] + p["xy"] + dx * dy * w).alias("xy"))
+
+    moments = parts.groupBy("i", "j").agg(F.array_sort(F.collect_list(F.struct("n", "mx", "my", "xx", "yy", "xy"))).alias("l"))
+    total = F.aggregate(F.slice("l", 2, F.size("l")), F.col("l")[0], merge)
+    corr = F.when((F.col("t.xx") > 0) & (F.col("t.yy") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("t.xy") / F.sqrt(F.col("t.xx") * F.col("t.yy")))))
+    found = moments.select("i", "j", total.alias("t")).select("i", "j", r6(_nan_null(corr)).alias("corr"))
+    names = df.sparkSession.createDataFrame([(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)], "i int, j int, feature_a string, feature_b string")
+    return names.join(found, ["i", "j"], "left").select("feature_a", "feature_b", "corr")
 
 
 def top_corr(df: DataFrame, cols: Sequence[str], target: str, k: int = 5) -> DataFrame:

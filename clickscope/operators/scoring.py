@@ -8,19 +8,23 @@ later request of the key with time < t + TTL gets the stored answer
 re-anchors the key.  The TTL counts from the write and is not refreshed by
 hits; this holds inside one batch too.
 
-Plan: hash-partition by key, sort within partitions by (key, time), and fold
-each key's sorted run in ``mapInPandas`` carrying only (key, anchor) between
-Arrow batches, so memory is bounded whatever a key's size.  Misses are scored
-by a DataFrame function (a model transform), hits take their anchor's answer
-by an equi-join on (key, anchor).
+Plan: a window per key cuts its requests where one comes a TTL or more after
+the one before (or is a cache entry): whatever was live before has expired, so
+each stretch starts with an anchor of its own, and a stretch shorter than the
+TTL has no other.  Those are settled by that window, JVM-side.  Only longer
+stretches are folded in ``mapInPandas``, carrying (stretch, anchor) between
+Arrow batches, so memory is bounded whatever a key's size.  Misses are scored by
+a DataFrame function (a model transform), hits take their anchor's answer by an
+equi-join on (key, anchor).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import epoch_micros, r6
@@ -42,32 +46,41 @@ def cache_key(cols: Sequence[str], model_version: str | None = None) -> Column:
 
 
 def _fold(ttl_us: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Anchors of long stretches, ordered by (key, stretch, time): each begins
+    with its first anchor and holds no other cache entry."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, anchor = None, None
+        at, anchor = None, None
         for b in batches:
-            keys = b["cache_key"].tolist()
-            ts = b["t_us"].tolist()
-            seed = b["is_seed"].tolist()
-            cached, anchors = [], []
-            for k, t, s in zip(keys, ts, seed):
-                if k != key:
-                    key, anchor = k, None
-                if s:
-                    # an existing cache entry: it is the live anchor from now on
-                    anchor = t
-                    cached.append(None)
-                elif anchor is None or t >= anchor + ttl_us:
-                    anchor = t
-                    cached.append(False)
-                else:
-                    cached.append(True)
-                anchors.append(anchor)
-            yield pd.DataFrame({"request_id": b["request_id"], "cache_key": b["cache_key"],
-                                "t_us": b["t_us"], "is_seed": b["is_seed"],
-                                "cached": cached, "anchor_us": anchors})
+            t, anchors = b["t_us"].to_numpy(), np.empty(len(b), np.int64)
+            cached = np.ones(len(b), dtype=bool)
+            cut = np.flatnonzero(np.append(True, (b["cache_key"].to_numpy()[1:] != b["cache_key"].to_numpy()[:-1])
+                                           | (b["stretch"].to_numpy()[1:] != b["stretch"].to_numpy()[:-1])))
+            for lo, hi in zip(cut, np.append(cut[1:], len(b))):
+                name = (b["cache_key"].iat[lo], b["stretch"].iat[lo])
+                if name != at:
+                    at, anchor = name, None
+                i = lo
+                while i < hi:                      # a step an anchor, not a request
+                    if anchor is None or t[i] >= anchor + ttl_us:
+                        anchor, cached[i] = int(t[i]), False
+                    end = i + max(1, int(np.searchsorted(t[i:hi], anchor + ttl_us)))
+                    anchors[i:end] = anchor
+                    i = end
+            yield pd.DataFrame({"request_id": b["request_id"], "cache_key": b["cache_key"], "t_us": t,
+                                "cached": cached, "anchor_us": anchors, "is_seed": b["is_seed"]})
     return run
 
 
+def stretches(req: DataFrame, ttl_us: int) -> DataFrame:
+    """``req`` with ``stretch`` (number in its key), ``first_us`` and ``long``
+    (spans a TTL or more), and whether the row ``starts`` it."""
+    w = Window.partitionBy("cache_key").orderBy("t_us", F.desc("is_seed"), "request_id")
+    starts = F.col("is_seed") | F.coalesce(F.col("t_us") - F.lag("t_us").over(w) >= ttl_us, F.lit(True))
+    whole = Window.partitionBy("cache_key", "stretch")
+    return (req.withColumn("starts", starts).withColumn("stretch", F.sum(F.col("starts").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("first_us", F.min("t_us").over(whole)).withColumn("long", F.max("t_us").over(whole) - F.col("first_us") >= ttl_us))
+
+
 def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col: str,
                     ttl_seconds: int = 3600, cache: DataFrame | None = None,
                     partitions: int | None = None,
@@ -79,8 +92,9 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
 
     Keys with more than ``hot_key_rows`` requests (and at most one cache entry,
     not later than their first request) take the exact parallel path of
-    :mod:`clickscope.operators.cache_hot`; all other keys are folded per key
-    after a hash repartition.  ``hot_key_rows=None`` folds everything.
+    :mod:`clickscope.operators.cache_hot`; all others are cut into stretches
+    (:func:`stretches`), of which the long ones are folded.  The result is read
+    from written tables.
     """
     req = requests.select(F.col(id_col).cast("long").alias("request_id"),
                           F.col(key_col).alias("cache_key"),
@@ -104,23 +118,27 @@ def anchor_requests(requests: DataFrame, key_col: str, time_us_col: str, id_col:
         if hot.limit(1).count() == 0:
             hot = None
     cold = req if hot is None else req.join(hot, "cache_key", "left_anti")
-    # without a number the partition count stays adaptive
-    dealt = cold.repartition(partitions, "cache_key") if partitions else cold.repartition("cache_key")
-    ordered = (dealt.sortWithinPartitions("cache_key", "t_us", F.desc("is_seed"), "request_id"))
-    out = ordered.mapInPandas(
-        _fold(ttl_us),
-        "request_id long, cache_key string, t_us long, is_seed boolean, cached boolean, anchor_us long")
-    out = out.filter(~F.col("is_seed")).drop("is_seed")
+    cut = cut_lineage(stretches(cold, ttl_us), "cache-stretches")
+    names = ["request_id", "cache_key", "t_us", "cached", "anchor_us"]
+    out = cut.where("not long and not is_seed").select("request_id", "cache_key", "t_us", (~F.col("starts")).alias("cached"), F.col("first_us").alias("anchor_us"))
+    rest = cut.where("long")
+    if not rest.isEmpty():
+        # without a number the partition count stays adaptive
+        dealt = rest.repartition(partitions, "cache_key", "stretch") if partitions else rest.repartition("cache_key", "stretch")
+        folded = (dealt.sortWithinPartitions("cache_key", "stretch", "t_us", F.desc("is_seed"), "request_id")
+                  .select("request_id", "cache_key", "t_us", "is_seed", "stretch")
+                  .mapInPandas(_fold(ttl_us), "request_id long, cache_key string, t_us long, cached boolean, anchor_us long, is_seed boolean"))
+        out = out.unionByName(cut_lineage(folded.where("not is_seed").select(*names), "cache-fold"))
     if hot is not None:
         from clickscope.operators.cache_hot import anchor_parallel
-        out = out.unionByName(anchor_parallel(req.join(hot, "cache_key", "left_semi"), ttl_us))
+        out = out.unionByName(cut_lineage(anchor_parallel(req.join(hot, "cache_key", "left_semi"), ttl_us).select(*names), "cache-hot"))
     return out
 
 
 def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id_col: str,
                    score: Callable[[DataFrame], DataFrame], ttl_seconds: int = 3600,
                    cache: DataFrame | None = None, model_version: str | None = "v1",
-                   materialize: bool = True, cache_available: bool = True) -> tuple[DataFrame, DataFrame]:
+                   cache_available: bool = True) -> tuple[DataFrame, DataFrame]:
     """K1: score requests through the cache.
 
     ``score(df)`` must add ``probability`` (double) and ``prediction`` (int)
@@ -137,10 +155,6 @@ def cached_scoring(requests: DataFrame, key_cols: Sequence[str], ts_col: str, id
                                   F.col("probability").cast("double").alias("probability"), F.col("prediction").cast("int").alias("prediction"))
         return own, requests.sparkSession.createDataFrame([], CACHE_SCHEMA)
     anchored = anchor_requests(keyed, "cache_key", "t_us", id_col, ttl_seconds, cache)
-    if materialize:
-        # two consumers below: write the fold output once instead of running
-        # the Python fold per consumer
-        anchored = cut_lineage(anchored, "cache-fold")
     # Misses only are scored (the fold already separated them)
     misses = anchored.filter(~F.col("cached")).select("request_id")
     scored = score(keyed.join(misses, keyed[id_col] == misses["request_id"], "left_semi"))

@@ -10,9 +10,7 @@ fully parallel threshold form (sizes within sampling error).
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import hash_bucket, hash_order_key
@@ -81,19 +79,22 @@ def random_split(df: DataFrame, key: str, fraction: float = 0.3, seed: int = 42,
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int = 42,
                      bits: int = DEFAULT_BITS, fold_col: str = "fold",
-                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                     single_task_rows: int = SINGLE_TASK_ROWS, mode: str = "exact") -> DataFrame:
     """SP3: ``fold = (rank - 1) mod k`` inside each class in hash order, so
-    every fold holds each class within one row of its share."""
+    every fold holds each class within one row of its share; ``mode="hash"``
+    (SP4): by the hash alone."""
+    if mode == "hash":
+        return df.withColumn(fold_col, (_leading(hash_order_key(key, seed)) % k).cast("int"))
     r = _ranked(df, key, [label], seed, bits, single_task_rows)
     return (r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int"))
             .drop("__h", "__b", "__rank", "__n"))
 
 
-def _unit(order_key) -> F.Column:
-    """SP4: the leading 32 bits of the hash as a number in [0, 1)."""
-    return F.conv(F.substring(order_key, 1, 8), 16, 10).cast("double") / float(2 ** 32)
+def _leading(order_key: Column) -> Column:
+    """The leading 32 bits of the hash."""
+    return F.conv(F.substring(order_key, 1, 8), 16, 10).cast("long")
 
 
-def split_sizes_ok(n: int, fraction: float) -> int:
-    """Size of the second side of :func:`random_split` for ``n`` rows."""
-    return math.ceil(fraction * n - 1e-9)
+def _unit(order_key: Column) -> Column:
+    """SP4: the leading 32 bits of the hash as a number in [0, 1)."""
+    return _leading(order_key).cast("double") / float(2 ** 32)

@@ -124,6 +124,24 @@ def dirty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*cols).unionByName(dup).unionByName(young).unionByName(old)
 
 
+def session_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session as a JSON request body (``session_id, requested_at,
+    body``).  A null column is left out of the body.  Some bodies are bad, by
+    the user's number: cut short (11 k + 3), ``age`` a word (13 k + 5),
+    ``gender`` a number (17 k + 4), ``device_type`` unknown to the service
+    (19 k + 6)."""
+    s, user = load_sessions(spark, sf_dir), F.col("user_id")
+    value = {c: F.col(c) for c in SESSION_FEATURES if c != TARGET}
+    value["age"] = F.when(user % 13 == 5, F.lit('"young"')).otherwise(F.to_json(F.array("age")))
+    value["gender"] = F.when(user % 17 == 4, F.lit("7")).otherwise(F.to_json(F.array("gender")))
+    value["device_type"] = F.when(user % 19 == 6, F.lit('"Watch"')).otherwise(F.to_json(F.array("device_type")))
+    text = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{c}":'), F.regexp_replace(v if c in ("age", "gender", "device_type") else F.to_json(F.array(c)), r"^\[|\]$", "")))
+            for c, v in value.items()]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *text), F.lit("}"))
+    out = s.select("session_id", "user_id", F.col("session_date").cast("timestamp_ntz").alias("requested_at"), body.alias("b"))
+    return out.select("session_id", "requested_at", F.when(user % 11 == 3, F.expr("left(b, length(b) - 1)")).otherwise(F.col("b")).alias("body"))
+
+
 def scored_documents(spark: SparkSession, sf_dir: str, label: str = "quality",
                      cut: float = SCORE_CUT) -> DataFrame:
     """``scored`` fixture: (doc_id, label, score, prediction, subgroup).

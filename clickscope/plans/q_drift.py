@@ -10,10 +10,10 @@ import os
 from clickscope.operators import drift as D
 from clickscope.operators import profile as P
 from clickscope.operators import split as S
-from clickscope.plans.fixtures import SESSION_FEATURES, TARGET
+from clickscope.plans.fixtures import SESSION_FEATURES, TARGET, load_sessions
 from clickscope.plans.q_clean import processed_sessions
 from clickscope.plans.q_split import RANKED_CTES
-from clickscope.plans.oracle import with_ctes
+from clickscope.plans.oracle import SESSIONS_CTES, with_ctes
 from clickscope.plans.registry import register
 from clickscope.session import stage_table
 
@@ -185,7 +185,7 @@ def _pvalue_summary_sql():
         f"dm AS ({means})"],
         """SELECT t.feature, t.method, ROUND(rm, 6) AS ref_mean, ROUND(cm, 6) AS curr_mean,
        ROUND(ABS(cm - rm), 6) AS mean_diff, ROUND(p, 6) AS p_value,
-       COALESCE(p < 0.05, FALSE) AS drift_detected, 'p_value' AS direction
+       p < 0.05 AS drift_detected, 'p_value' AS direction
 FROM tests t JOIN dm USING (feature)""")
 
 
@@ -219,3 +219,25 @@ def q_drift_empty_side(spark, sf_dir):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+_HALVES = SESSIONS_CTES + [
+    "mid AS (SELECT CAST(floor(median(session_date - DATE '1970-01-01')) AS INTEGER) AS d FROM sessions)",
+    "halves AS (SELECT s.*, CASE WHEN session_date - DATE '1970-01-01' <= mid.d THEN 'reference' ELSE 'current' END AS side FROM sessions s, mid)"]
+
+
+@register("drift_two_frames", with_ctes(_HALVES + ["ms AS (" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, AVG({c}) FILTER (WHERE side = 'reference') AS rm, AVG({c}) FILTER (WHERE side = 'current') AS cm,
+  STDDEV_SAMP({c}) FILTER (WHERE side = 'reference') AS rs FROM halves""" for c in NUMERIC) + ")"], """
+SELECT feature, ROUND(rm, 6) AS ref_mean, ROUND(cm, 6) AS curr_mean, ROUND(ABS(cm - rm), 6) AS mean_diff,
+       ROUND(rs, 6) AS ref_std, CASE WHEN rm IS NULL OR cm IS NULL THEN NULL WHEN rs > 0 THEN ABS(cm - rm) > 0.1 * rs
+       ELSE FALSE END AS drift_detected, 'distance' AS direction FROM ms"""))
+def q_drift_two_frames(spark, sf_dir):
+    """U2 + D1: two frames, the sessions up to the median day and those after
+    it, tagged and stacked, then compared."""
+    from pyspark.sql import functions as F
+    s = load_sessions(spark, sf_dir)
+    mid = s.agg(F.floor(F.median(F.unix_date("session_date"))).cast("int")).first()[0]
+    early = F.unix_date("session_date") <= F.lit(mid)
+    cols = [c for c in s.columns if c in NUMERIC]
+    return D.mean_shift(D.stack_sides(s.where(early).select(*cols), s.where(~early).select(*reversed(cols))), NUMERIC)

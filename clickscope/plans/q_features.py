@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickscope.functions.columns import numeric_columns, r6
 from clickscope.operators import clean as C
 from clickscope.operators import features as X
-from clickscope.plans.fixtures import SESSION_FEATURES
+from clickscope.plans.fixtures import DEVICES, SESSION_FEATURES
 from clickscope.plans.oracle import CLEAN_CTES, with_ctes
 from clickscope.plans.q_clean import filled_sessions
 from clickscope.plans.registry import register
@@ -40,21 +40,25 @@ def q_median_impute(spark, sf_dir):
 
 
 @register("one_hot", with_ctes(CLEAN_CTES, """
-SELECT f.session_id, l.feature, l.label,
-       CAST(CASE WHEN l.feature = 'gender' THEN f.gender ELSE f.device_type END = l.label AS TINYINT) AS flag
-FROM filled f JOIN labels l ON TRUE"""))
+SELECT f.session_id, CAST((SELECT COUNT(*) FROM labels) AS INTEGER) AS size,
+       CAST(g.code AS VARCHAR) || ',' || CAST(d.code + (SELECT COUNT(*) FROM labels WHERE feature = 'gender') AS VARCHAR) AS places,
+       f.gender || ',' || f.device_type AS names
+FROM filled f JOIN labels g ON g.feature = 'gender' AND g.label = f.gender JOIN labels d ON d.feature = 'device_type' AND d.label = f.device_type"""))
 def q_one_hot(spark, sf_dir):
-    """F4 over the fitted labels, reported long (session, feature, label, flag):
-    the wide ``<feature>_<label>`` columns depend on which labels the data has."""
+    """a sparse vector of the fitted labels' flags per session, shown as
+    its size, its places and the names of those."""
     df = filled_sessions(spark, sf_dir)
-    enc = C.fit_label_encoder(df, list(NOMINAL))
-    df = X.one_hot(df, "gender", enc["gender"], "gender")
-    df = X.one_hot(df, "device_type", enc["device_type"], "device")
-    flags = [F.struct(F.lit(feat).alias("feature"), F.lit(lab).alias("label"),
-                      F.col(f"{pre}_{lab}").alias("flag"))
-             for feat, pre in (("gender", "gender"), ("device_type", "device"))
-             for lab in enc[feat]]
-    return df.select("session_id", F.inline(F.array(*flags)))
+    codes = C.fit_label_codes(df, list(NOMINAL))
+    hot = X.one_hot_vector(df.select("session_id", *NOMINAL), codes, NOMINAL).drop(*NOMINAL)
+    # as JSON: a sparse vector has size, indices, values; a dense one values only
+    v = F.from_json(F.to_json(F.struct("hot")), "hot struct<size int, indices array<int>, values array<double>>")["hot"]
+    ones = F.filter(F.transform(v["values"], lambda x, i: F.when(x == 1, i)), lambda i: i.isNotNull())
+    rows = hot.select("session_id", F.coalesce(v["size"], F.size(v["values"])).alias("size"), F.coalesce(v["indices"], ones).alias("places"))
+    names = X.one_hot_names(codes, NOMINAL).groupBy().agg(F.map_from_entries(F.collect_list(F.struct("place", "label"))).alias("m"))
+    # one row: the names of the fitted labels
+    return rows.join(F.broadcast(names), F.lit(True)).select(
+        "session_id", "size", F.concat_ws(",", F.transform("places", lambda i: i.cast("string"))).alias("places"),
+        F.concat_ws(",", F.transform("places", lambda i: F.element_at("m", i))).alias("names"))
 
 
 @register("standardize", with_ctes(IMPUTED_CTES + [
@@ -78,11 +82,21 @@ def q_engagement(spark, sf_dir):
                      r6("age_x_discount_seen").alias("age_x_discount_seen"))
 
 
-@register("session_obt")
-def q_session_obt(spark, sf_dir):
-    """OBT with lineage columns (ingestion time is the run time: rows-only check)."""
-    df = imputed_sessions(spark, sf_dir)
-    enc = C.fit_label_encoder(df, list(NOMINAL))
-    return X.session_obt(df, enc["gender"], enc["device_type"], run_id="obt-run")
+# The labels that have columns in the written design's table.
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Unknown")
+_DEVICE_LABELS = (*DEVICES, "Unknown")
 
 
+@register("session_obt", with_ctes(IMPUTED_CTES, "SELECT session_id AS user_id, CAST(trunc(age) AS INTEGER) AS age, "
+          + ", ".join(f"CAST(gender = '{g}' AS TINYINT) AS \"gender_{g}\"" for g in _SEGMENTS) + ", "
+          + ", ".join(f"CAST(device_type = '{d}' AS TINYINT) AS \"device_{d}\"" for d in _DEVICE_LABELS) + """,
+       ROUND(time_on_site, 2) AS time_on_site, CAST(trunc(pages_viewed) AS INTEGER) AS pages_viewed, CAST(trunc(previous_purchases) AS INTEGER) AS previous_purchases,
+       CAST(trunc(cart_items) AS INTEGER) AS cart_items, CAST(trunc(discount_seen) AS TINYINT) AS discount_seen,
+       ROUND(CAST(CAST(pages_viewed * time_on_site / (cart_items + 1) AS FLOAT) AS DOUBLE), 1) AS engagement_score, CAST(ad_clicked AS TINYINT) AS ad_clicked,
+       'obt-run' AS pipeline_run_id, CAST('2024-02-01' AS TIMESTAMP) AS ingestion_ts FROM imputed"""))
+def q_session_obt(spark, sf_dir):
+    """The one-big-table with its lineage columns (a stated ingestion time,
+    single precision shown rounded)."""
+    df = imputed_sessions(spark, sf_dir)
+    out = X.session_obt(df, _SEGMENTS, _DEVICE_LABELS, "obt-run", F.lit("2024-02-01").cast("timestamp_ntz"))
+    return out.withColumn("time_on_site", F.round(F.col("time_on_site").cast("double"), 2)).withColumn("engagement_score", F.round(F.col("engagement_score").cast("double"), 1))

@@ -7,24 +7,27 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from clickscope.operators import clean as C
 from clickscope.operators import metrics as M
 from clickscope.operators import model as ML
+from clickscope.operators import quality as Q
+from clickscope.operators import runlog as RL
+from clickscope.operators import scoring as K
 from clickscope.operators import split as S
-from clickscope.plans.fixtures import SESSION_FEATURES, TARGET
-from clickscope.plans.q_clean import processed_sessions
+from clickscope.plans.fixtures import SESSION_FEATURES, TARGET, load_sessions, session_requests
 from clickscope.plans.registry import register
-from clickscope.session import cut_lineage, ensure_checkpoint_dir, stage_table
+from clickscope.session import cut_lineage, durable_dir, stage_table
 
 FEATURES = [c for c in SESSION_FEATURES if c != TARGET]
 
 
 def _split(spark, sf_dir):
-    """Labelled, split sessions, written once to the shared checkpoint folder:
-    fitting and cross-validation run many jobs over it, and none of them
-    should re-run the session derivation."""
+    """Labelled raw sessions, split before anything is fitted, written once to
+    the shared checkpoint folder: fitting and cross-validation run many jobs
+    over it, and none of them should re-run the session derivation."""
     def build():
-        df = ML.with_label(processed_sessions(spark, sf_dir, keep_id=True), TARGET)
-        return S.stratified_split(df, "session_id", TARGET, 0.2, 42)
+        raw = load_sessions(spark, sf_dir).select("session_id", "session_date", *SESSION_FEATURES)
+        return S.stratified_split(ML.with_label(C.keep_labelled(raw, TARGET), TARGET), "session_id", TARGET, 0.2, 42)
     return stage_table(spark, ("model_split", os.path.abspath(sf_dir)), build)
 
 
@@ -37,16 +40,16 @@ _MODELS: dict = {}
 
 
 def _fit(spark, sf_dir, params=None):
-    """The training stage's model, fitted once per application and saved to
-    the shared checkpoint folder (S5); evaluation, drift and the scoring path
-    load it, as the reference's stages hand over the saved model file."""
+    """The training stage's artefact (encoder, medians, feature order, forest),
+    fitted on the training side once per application and saved (S5);
+    evaluation, drift and the scoring path load it, as the reference's stages
+    hand over the saved files."""
     train, test = _train_test(spark, sf_dir)
     k = (spark.sparkContext.applicationId, os.path.abspath(sf_dir),
          repr(sorted((params or {}).items())))
     path = _MODELS.get(k)
     if path is None:
-        path = os.path.join(ensure_checkpoint_dir(spark), "clickscope-models",
-                            f"rf-{uuid.uuid4().hex}")
+        path = os.path.join(durable_dir(spark), "models", f"rf-{uuid.uuid4().hex}")
         ML.save_model(ML.fit(train, FEATURES, "random_forest", params), path)
         _MODELS[k] = path
     return ML.load_model(path), test
@@ -94,10 +97,10 @@ def q_tuned_train_score(spark, sf_dir):
 
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    """M5: one seeded point per algorithm (logistic, forest, boosted trees), 3 folds."""
+    """M5: five seeded points per algorithm (logistic, forest, boosted trees), 5 folds."""
     train, _ = _train_test(spark, sf_dir)
-    folds = cut_lineage(S.stratified_folds(train.drop("split"), "session_id", TARGET, 3, 42))
-    return ML.random_search(folds, FEATURES, n_iter=1)
+    folds = cut_lineage(S.stratified_folds(train.drop("split"), "session_id", TARGET, 5, 42))
+    return ML.random_search(folds, FEATURES, n_iter=5)
 
 
 @register("feature_importance")
@@ -107,27 +110,40 @@ def q_feature_importance(spark, sf_dir):
     return ML.feature_importances(model, FEATURES)
 
 
-@register("latest_run_metrics")
-def q_latest_run_metrics(spark, sf_dir):
-    """S5 + S6 + E7 + O4 + F10/F11/F15: save and reload the pipeline, score the
-    test side, append the evaluation to a runs table in the shared checkpoint
-    folder, then report the latest run's metrics (names without 'eval_',
-    upper-cased, rounded to 4 places)."""
-    from clickscope.operators import monitor as MON
+def _log_training(spark, sf_dir) -> str:
+    """S6 + E7: the training run's parameters, its AUC on the training side and
+    its metrics on the test side, logged once under the model's name."""
     model, test = _fit(spark, sf_dir)
-    base = os.path.join(ensure_checkpoint_dir(spark), "clickscope-runs")
-    path = os.path.join(base, f"model-{uuid.uuid4().hex}")
-    ML.save_model(model, path)
-    reloaded = ML.load_model(path)
-    scored = ML.score(reloaded, test, keep=["session_id"])
+    train, _ = _train_test(spark, sf_dir)
+    scored = cut_lineage(ML.score(model, test, keep=["session_id"]), "scored")
     b = M.binary_metrics(scored).first()
-    auc = M.roc_auc(scored).first()["auc"]
-    run_id = f"run-{uuid.uuid4().hex[:12]}"
-    runs_path = os.path.join(base, "runs")
-    ML.append_runs(spark, runs_path, run_id, "eval", {
-        "eval_accuracy": b["accuracy"], "eval_precision": b["precision"],
-        "eval_recall": b["recall"], "eval_f1": b["f1"], "eval_roc_auc": auc})
-    return MON.latest_run_metrics(spark.read.parquet(runs_path))
+    forest, encoder = model.stages[-1], model.stages[0]
+    metrics = {f"eval_{k}": b[k] for k in ("accuracy", "precision", "recall", "f1")}
+    metrics |= {"eval_roc_auc": M.roc_auc(scored).first()["auc"], "train_auc": M.roc_auc(ML.score(model, train)).first()["auc"]}
+    params = ML.RF_DEFAULTS | {"algorithm": "random_forest", "seed": ML.SEED, "features": FEATURES, "medians": encoder.medians, "trees": forest.getNumTrees}
+    started = train.agg(F.min("session_date").cast("timestamp_ntz")).first()[0]
+    root = os.path.join(durable_dir(spark), "runs", forest.uid)
+    RL.log_run(spark, root, forest.uid, started, params, metrics)
+    return root
+
+
+@register("model_run_log")
+def q_model_run_log(spark, sf_dir):
+    """S5 + S6 + E7: the fitted forest's run record; logging it again (a
+    retried task) adds nothing."""
+    root = _log_training(spark, sf_dir)
+    assert _log_training(spark, sf_dir) == root
+    return RL.read_runs(spark, root).select("kind", "key", F.round("value", 4).alias("value"), "text")
+
+
+@register("model_auc_drop")
+def q_model_auc_drop(spark, sf_dir):
+    """E8 of the served model: weekly AUC of its scores on all labelled
+    sessions against the training AUC in its run record."""
+    runs = RL.read_runs(spark, _log_training(spark, sf_dir))
+    base = runs.where("kind = 'metric' and key = 'train_auc'").select("started_at", F.col("value").alias("auc"))
+    model, _ = _fit(spark, sf_dir)
+    return M.weekly_auc_drop(ML.score(model, _split(spark, sf_dir), keep=["session_date"]), "session_date", "label", "score", 0.05, base)
 
 
 @register("drift_prediction_summary")
@@ -138,42 +154,32 @@ def q_drift_prediction_summary(spark, sf_dir):
     from clickscope.operators import drift as D
     from clickscope.plans.q_drift import D2_CATEGORICAL, D2_NUMERIC, tagged_sessions
     model, _ = _fit(spark, sf_dir)
-    tagged = tagged_sessions(spark, sf_dir)
-    scored = model.transform(tagged).select(
-        *tagged.columns, F.col("prediction").cast("int").alias("prediction"))
+    predicted = ML.score(model, _split(spark, sf_dir), keep=["session_id"]).select("session_id", "prediction")
     # the forest's output feeds several grouped passes: write it once
-    scored = cut_lineage(scored, "drift-scored")
+    scored = cut_lineage(tagged_sessions(spark, sf_dir).join(predicted, "session_id"), "drift-scored")
     return D.pvalue_summary(scored, D2_NUMERIC, (*D2_CATEGORICAL, "prediction"))
 
 
 @register("model_request_scoring")
 def q_model_request_scoring(spark, sf_dir):
-    """The scoring service path (E-2) over every session as a request: the
-    12 typed request fields, nominal defaults 'Unknown' (V6), unseen labels
-    to 'Unknown' and label codes from the fitted encoder (F2/F3), the forest
-    saved and loaded back (S5), scored through the TTL result cache keyed on
-    the request fields (F8, K1/K2; only misses reach the model)."""
+    """The scoring service path (E-2) over every session as a JSON request:
+    typed fields and defaults (V6), then one loaded artefact with the codes and
+    medians of the training side (S5; unseen labels are 'Unknown', F3), scored
+    through the TTL result cache keyed on the request fields (F8, K1/K2; only
+    misses reach the model).  Requests that fail the typing are answered with
+    their reasons.  Nothing is fitted here."""
     from pyspark.ml.functions import vector_to_array
 
-    from clickscope.operators import clean as C
-    from clickscope.operators import scoring as K
-    from clickscope.plans.fixtures import load_sessions, raw_sessions
     model, _ = _fit(spark, sf_dir)
-    path = os.path.join(ensure_checkpoint_dir(spark), "clickscope-runs", f"model-{uuid.uuid4().hex}")
-    ML.save_model(model, path)
-    served = ML.load_model(path)
-    _, encoder, _ = C.clean_sessions(raw_sessions(spark, sf_dir))
-    requests = C.fill_constant(
-        load_sessions(spark, sf_dir).select(
-            "session_id", F.col("session_date").cast("timestamp_ntz").alias("requested_at"),
-            *FEATURES),
-        {c: C.UNKNOWN for c in encoder})
+    typed = cut_lineage(Q.type_requests(session_requests(spark, sf_dir), "body", ("session_id", "requested_at")), "typed")
 
     def score(df):
-        out = served.transform(C.encode_labels(df, encoder))
+        out = model.transform(df)
         return (out.withColumn("probability", vector_to_array("probability")[1])
                 .withColumn("prediction", F.col("prediction").cast("int")))
 
-    resp, _ = K.cached_scoring(requests, FEATURES, "requested_at", "session_id", score,
-                               ttl_seconds=3600, cache=None, model_version="v1")
-    return K.rounded(resp)
+    resp, _ = K.cached_scoring(typed.where("size(errors) = 0"), FEATURES, "requested_at", "session_id", score,
+                               ttl_seconds=3600, cache=None, model_version=model.uid)
+    answers = K.response_json(K.rounded(resp))
+    refused = typed.where("size(errors) > 0").select(F.col("session_id").alias("request_id"), F.to_json(F.struct(F.col("errors").alias("detail"))).alias("response"))
+    return answers.unionByName(refused)

@@ -67,6 +67,32 @@ def q_value_counts(spark, sf_dir):
     return P.value_counts(_raw(spark, sf_dir), ["gender", "device_type", TARGET])
 
 
+@register("value_counts_nonnull", with_ctes(RAW_CTES, "SELECT feature, value, COUNT(*) AS n FROM (" + _union([
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM raw"
+    for c in ("gender", "device_type")]) + ") WHERE value IS NOT NULL GROUP BY feature, value"))
+def q_value_counts_nonnull(spark, sf_dir):
+    """Value counts without the null key."""
+    return P.value_counts(_raw(spark, sf_dir), ["gender", "device_type"], dropna=True)
+
+
+_SELECTED = ("age", "time_on_site", "avg_session_time", "pages_viewed")
+_RANKS = (0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0)
+
+
+@register("quantiles_selected", with_ctes(RAW_CTES, _union([
+    f"SELECT ad_clicked, '{c}' AS feature, {p} AS p, ROUND(quantile_cont({c}, {p}), 6) AS value FROM raw GROUP BY ad_clicked"
+    for c in _SELECTED for p in _RANKS])))
+def q_quantiles_selected(spark, sf_dir):
+    """Quantiles per class, all columns, classes (null included) and
+    ranks by one distributed selection, whatever their number of distinct
+    values."""
+    from clickscope.functions.quantiles import quantile_columns
+    df = _raw(spark, sf_dir).select(TARGET, *_SELECTED)
+    q = quantile_columns(df, _SELECTED, _RANKS, group=TARGET, distinct_limit=0)
+    cells = [F.struct(F.lit(c).alias("feature"), F.lit(p).alias("p"), F.round(F.col(c)[i], 6).alias("value")) for c in _SELECTED for i, p in enumerate(_RANKS)]
+    return df.groupBy(TARGET).agg(*[q[c].alias(c) for c in _SELECTED]).select(TARGET, F.inline(F.array(*cells)))
+
+
 @register("value_shares", with_ctes(RAW_CTES, """
 SELECT value, n, ROUND(n * 100.0 / SUM(n) OVER (), 6) AS percent FROM (
   SELECT CASE WHEN ad_clicked IS NULL THEN NULL WHEN ad_clicked = 1 THEN '1.0' ELSE '0.0' END AS value,

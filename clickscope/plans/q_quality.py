@@ -60,7 +60,7 @@ def q_quarantine(spark, sf_dir):
 
 @register("rowcount_deviation", """
 SELECT ingest_date, n_rows, prev_rows, ROUND(ABS(n_rows - prev_rows) / prev_rows, 6) AS deviation,
-       COALESCE(ABS(n_rows - prev_rows) / prev_rows > 0.1, FALSE) AS alert
+       ABS(n_rows - prev_rows) / prev_rows > 0.1 AS alert
 FROM (SELECT ingest_date, n_rows, LAG(n_rows) OVER (ORDER BY ingest_date) AS prev_rows
       FROM (SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n_rows FROM events GROUP BY 1))""")
 def q_rowcount_deviation(spark, sf_dir):

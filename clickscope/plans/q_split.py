@@ -54,3 +54,15 @@ def q_split_balance(spark, sf_dir):
     """Sizes per (side, class); sides are disjoint and cover the input."""
     s = S.stratified_split(_proc(spark, sf_dir), "session_id", "ad_clicked", 0.2, 42)
     return s.groupBy("split", "ad_clicked").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("hash_split", with_ctes(RANKED_CTES, f"""
+SELECT session_id, CASE WHEN CAST('0x' || {H}[1:8] AS BIGINT) / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END AS split,
+       CASE WHEN CAST('0x' || {H}[1:8] AS BIGINT) / 4294967296.0 < 0.3 THEN 'current' ELSE 'reference' END AS side,
+       CAST(CAST('0x' || {H}[1:8] AS BIGINT) % 5 AS INTEGER) AS fold FROM ranked"""))
+def q_hash_split(spark, sf_dir):
+    """SP4: the fully parallel forms of SP1-SP3, by the hash alone (no sort, no
+    shuffle)."""
+    df = S.stratified_split(_proc(spark, sf_dir), "session_id", "ad_clicked", 0.2, 42, mode="hash")
+    df = S.random_split(df, "session_id", 0.3, 42, mode="hash")
+    return S.stratified_folds(df, "session_id", "ad_clicked", 5, 42, mode="hash").select("session_id", "split", "side", "fold")

@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 
 
 MODULES = ("q_clean", "q_profile", "q_quality", "q_features", "q_split", "q_metrics",
-           "q_drift", "q_scoring", "q_model", "q_stream", "q_monitor", "q_sources")
+           "q_drift", "q_scoring", "q_model", "q_stream", "q_monitor", "q_sources", "q_service")
 
 
 def load_all() -> None:

@@ -78,6 +78,25 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(conf).exists(at)
+
+
+def durable_dir(spark: SparkSession) -> str:
+    """Folder of what outlives a run (models, run log): the session setting
+    ``spark.clickscope.home``, else the shared warehouse; with neither on a
+    ``local`` master (tests) the scratch folder."""
+    home = spark.conf.get("spark.clickscope.home", None)
+    if home:
+        return home
+    given = spark.sparkContext.getConf().get("spark.sql.warehouse.dir", None)
+    if given or not spark.sparkContext.master.startswith("local["):
+        return os.path.join(given or spark.conf.get("spark.sql.warehouse.dir"), "clickscope")
+    return os.path.join(ensure_checkpoint_dir(spark), "clickscope-home")
+
+
 _STAGES: dict = {}
 
 

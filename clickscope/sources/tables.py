@@ -44,6 +44,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_clean_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """:func:`read_table` with NaN of float columns as null (F1): done at the
+    source, as Spark's ``avg`` and ``max`` propagate NaN."""
+    from clickscope.functions.columns import normalise_missing
+    return normalise_missing(read_table(spark, sf_dir, name), markers=())
+
+
 def read_csv_folder(spark: SparkSession, path: str,
                     schema: T.StructType = RAW_SESSION_SCHEMA,
                     mode: str = "FAILFAST") -> DataFrame:
@@ -62,19 +69,20 @@ def read_csv_folder(spark: SparkSession, path: str,
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
-    """Table write; ``overwrite`` replaces, ``append``/``error`` map 1:1."""
+                partition_by: list[str] | None = None, replace_partitions: bool = False) -> None:
+    """Table write; ``overwrite`` replaces, ``append``/``error`` map 1:1.
+    ``replace_partitions``: only the partitions that ``df`` has."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
-def table_row_count(spark: SparkSession, name: str) -> int:
-    """A1: row count of a catalog table; a missing table counts 0."""
-    if not spark.catalog.tableExists(name):
-        return 0
-    return spark.table(name).count()
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`write_table`, partition columns as text."""
+    return spark.read.option("inferTypes", False).parquet(path)
 
 
 def landing_listing(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
@@ -87,9 +95,3 @@ def landing_listing(spark: SparkSession, path: str, glob: str = "*.csv") -> Data
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
             .select("path", "length", "modificationTime",
                     F.sha2("content", 256).alias("sha256")))
-
-
-def with_lineage(df: DataFrame, run_id: str) -> DataFrame:
-    """Lineage columns of the one-big-table."""
-    return (df.withColumn("pipeline_run_id", F.lit(run_id))
-            .withColumn("ingestion_ts", F.current_timestamp()))

@@ -46,9 +46,8 @@ def read_events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int
     """Event files as a stream; ``event_time`` is a TIMESTAMP built from the
     zone-free wall clock (``withWatermark`` refuses TIMESTAMP_NTZ)."""
     s = (spark.readStream.format("parquet").schema(EVENTS_SCHEMA)
-         .option("pathGlobFilter", "events*.parquet")
          .option("maxFilesPerTrigger", files_per_trigger)
-         .load(sf_dir))
+         .load(os.path.join(sf_dir, "events*.parquet")))
     return s.withColumn("event_time", F.timestamp_micros(epoch_micros("ts")))
 
 
@@ -96,13 +95,14 @@ def _refuse_late(late: int, watermark: str) -> None:
 
 
 def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
-                   watermark: str = "1 day", value_col: str = "value") -> DataFrame:
-    """Per tumbling window and event type: n, mean and std of ``value``.
+                   watermark: str = "1 day", value_col: str = "value") -> tuple[DataFrame, int]:
+    """Per tumbling window and event type: n, mean and std of ``value``;
+    and the number of rows dropped as later than the watermark.
 
     Update mode + watermark keeps state bounded; each micro-batch appends its
     updated window rows with the batch id, and the answer is the last version
-    of every window (a keyed upsert log, no complete-mode state).  The run
-    fails if rows came later than the watermark: the answer would lack them.
+    of every window (a keyed upsert log, no complete-mode state).  A late row
+    never stops the stream: it is counted, and its window stays as it was.
     """
     log = scratch(spark, "moments-log")
     agg = (read_events_stream(spark, sf_dir)
@@ -117,11 +117,30 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
                       "event_type", "n", "mean_value", "std_value")
          .write.mode("overwrite").parquet(_batch_path(log, batch_id)))
 
-    _refuse_late(_run(agg.writeStream.outputMode("update").foreachBatch(sink)
-                      .option("checkpointLocation", scratch(spark, "moments-ckpt"))), watermark)
+    # the rows that the sources sent, and those the windows took: progress
+    # reports count late groups after the partial aggregate, not rows
+    _run(agg.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", scratch(spark, "moments-ckpt")))
     # each update carries the full aggregate of its window: keep the last one
-    return spark.read.parquet(log).groupBy("window_start", "event_type").agg(
+    last = spark.read.parquet(log).groupBy("window_start", "event_type").agg(
         *[F.max_by(c, "batch_id").alias(c) for c in ("n", "mean_value", "std_value")])
+    sent = spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(sf_dir, "events*.parquet")).where("ts is not null").count()
+    return last, sent - (last.agg(F.sum("n")).first()[0] or 0)
+
+
+def arrival_files(spark: SparkSession, sf_dir: str, n: int = 4) -> str:
+    """The events of ``sf_dir`` as ``n`` folders' worth of files in time order,
+    one after the other, as a source would deliver them: a stream over them
+    takes several batches."""
+    out = scratch(spark, "arrivals")
+    ev = spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(sf_dir, "events.parquet"))
+    t = epoch_micros("ts")
+    lo, hi = ev.agg(F.min(t), F.max(t)).first()
+    part = F.lit(0) if lo is None else F.least(F.lit(n - 1), F.floor((t - lo) * n / (hi - lo + 1)))
+    staged = ev.withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
+    for i in range(n):
+        staged.where(F.col("part") == i).drop("part").write.mode("append").parquet(os.path.join(out, f"events-{i:03d}.parquet"))
+    return out
 
 
 def window_drift(moments: DataFrame, reference: DataFrame, value_col: str = "value",
@@ -151,7 +170,6 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
     store, updated incrementally instead of rewritten per batch.)"""
     out = scratch(spark, "responses")
     cache_root = scratch(spark, "cache")
-    newest: dict[int, int] = {}                    # latest request up to a batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # the cache left by the previous batch is found on the shared file
@@ -160,15 +178,18 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
         resp, new_cache = K.cached_scoring(batch, key_cols, "ts", "event_id", score,
                                            ttl_seconds, cache, model_version)
         resp.write.mode("overwrite").parquet(_batch_path(out, batch_id))
-        before = max((v for k, v in newest.items() if k < batch_id), default=None)
+        # so is the latest request time up to the batch before
+        mark = _read_if_present(spark, os.path.join(cache_root, f"latest{batch_id - 1}"))
+        before = mark.first()[0] if mark is not None else None
         latest, oldest = batch.agg(F.max(epoch_micros("ts")), F.min(epoch_micros("ts"))).first()
         if before is not None and oldest is not None and oldest < before - lateness_seconds * 1_000_000:
             raise RuntimeError(f"requests of batch {batch_id} arrived more than {lateness_seconds} s late; "
                                "raise `lateness_seconds` to the largest lateness of the source")
         if latest is not None:
-            newest[batch_id] = max(latest, before or latest)
             horizon = latest - (lateness_seconds + ttl_seconds) * 1_000_000
             new_cache = new_cache.filter(F.col("written_at_us") > F.lit(horizon))
+        spark.createDataFrame([(max((x for x in (latest, before) if x is not None), default=None),)], "latest long").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(cache_root, f"latest{batch_id}"))
         new_cache.write.mode("overwrite").parquet(os.path.join(cache_root, f"v{batch_id}"))
 
     _run(read_events_stream(spark, sf_dir).writeStream.foreachBatch(sink)
@@ -176,73 +197,72 @@ def stream_scoring(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
     return spark.read.parquet(out).drop("batch_id")
 
 
-STATE_SCHEMA = "anchor_us long, probability double, prediction int"
+STATE_SCHEMA = "cache_key array<string>, anchor_us array<long>, probability array<double>, prediction array<int>"
 RESPONSE_SCHEMA = ("request_id long, cache_key string, t_us long, cached boolean, "
                    "probability double, prediction int")
 
 
 def _anchor_state_fn(ttl_us: int):
-    """Per-key fold of one micro-batch against the key's state.
-
-    State = the live cache entry of the key (anchor time, stored answer).  A
-    request at or after anchor + TTL (or with no anchor) is a miss: it keeps
-    its own answer and becomes the new anchor; otherwise it is a hit and gets
-    the stored answer.  The event-time timeout (watermark past anchor + TTL)
-    removes the entry, so the state store holds live cache entries only.
+    """Fold of one micro-batch of a bucket of keys against the bucket's state.
+
+    State = the live cache entries of the bucket's keys (anchor time, stored
+    answer).  A request at or after anchor + TTL (or with no anchor) is a miss:
+    it keeps its own answer and becomes the new anchor; otherwise it is a hit
+    and gets the stored answer.  Entries expired by the watermark are left out
+    of the new state, and the event-time timeout (watermark past the last
+    expiry) removes it, so the state store holds live cache entries only.
     """
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
-        chunks = list(pdfs)
-        rows = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        # numpy columns only (per-group pandas calls are the cost of this step)
-        rid = rows["request_id"].to_numpy()
-        t = rows["t_us"].to_numpy()
-        own_p = rows["probability"].to_numpy()
-        own_c = rows["prediction"].to_numpy()
-        if len(t) > 1:
-            order = np.lexsort((rid, t))
-            rid, t, own_p, own_c = rid[order], t[order], own_p[order], own_c[order]
-        anchor, prob, pred = state.get if state.exists else (None, None, None)
-        n = len(t)
-        cached = np.zeros(n, dtype=bool)
-        probs = own_p.astype("float64", copy=True)
-        preds = own_c.astype("int32", copy=True)
-        for i in range(n):
-            ti = int(t[i])
-            if anchor is None or ti >= anchor + ttl_us:
-                anchor, prob, pred = ti, float(own_p[i]), int(own_c[i])
-            elif ti >= anchor:
-                cached[i] = True
-                probs[i], preds[i] = prob, pred
-            # else: older than the live entry (arrived out of order): answered
-            # by the model, the entry is kept
-        state.update((anchor, prob, pred))
-        expiry_ms = (anchor + ttl_us) // 1000
-        if expiry_ms > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(expiry_ms)
-        else:
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["cache_key", "t_us", "request_id"], kind="stable", ignore_index=True)
+        live = {k: (a, p, c) for k, a, p, c in zip(*state.get)} if state.exists else {}
+        keys, t = rows["cache_key"].to_numpy(), rows["t_us"].to_numpy()
+        own_p, own_c = rows["probability"].to_numpy(), rows["prediction"].to_numpy()
+        probs, preds, cached = own_p.astype("float64"), own_c.astype("int32"), np.zeros(len(t), dtype=bool)
+        cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(t)]):
+            entry, i = live.get(keys[lo]), lo
+            while i < hi:
+                if entry is None or t[i] >= entry[0] + ttl_us:
+                    entry = (int(t[i]), float(own_p[i]), int(own_c[i]))
+                    i += 1
+                    continue
+                # older than the live entry (arrived out of order): answered by
+                # the model, the entry is kept
+                first = i + int(np.searchsorted(t[i:hi], entry[0]))
+                end = i + int(np.searchsorted(t[i:hi], entry[0] + ttl_us))
+                cached[first:end], probs[first:end], preds[first:end] = True, entry[1], entry[2]
+                i = end
+            live[keys[lo]] = entry
+        mark = state.getCurrentWatermarkMs()
+        kept = [(k, *e) for k, e in live.items() if (e[0] + ttl_us) // 1000 > mark]
+        if kept:
+            state.update(tuple(map(list, zip(*kept))))
+            state.setTimeoutTimestamp(max(e[1] for e in kept) // 1000 + ttl_us // 1000 + 1)
+        elif state.exists:
             state.remove()
-        yield pd.DataFrame({"request_id": rid, "cache_key": key[0], "t_us": t,
+        yield pd.DataFrame({"request_id": rows["request_id"], "cache_key": keys, "t_us": t,
                             "cached": cached, "probability": probs, "prediction": preds})
     return fn
 
 
 def stream_scoring_stateful(spark: SparkSession, sf_dir: str, key_cols: Sequence[str],
                             score, ttl_seconds: int = 3600, model_version: str | None = "v1",
-                            watermark: str = "1 hour", files_per_trigger: int = 1) -> DataFrame:
-    """K5 with keyed streaming state: ``groupBy(cache_key)`` +
-    ``applyInPandasWithState``.
-
-    The state store (partitioned by key across executors, checkpointed
-    incrementally) holds one live entry per key and drops it by event-time
-    timeout once the watermark passes its expiry, so state grows with the
-    keys live within TTL + watermark, not with the stream.  The model scores
+                            watermark: str = "1 hour", files_per_trigger: int = 1, buckets: int = 256) -> DataFrame:
+    """K5 with keyed streaming state: ``applyInPandasWithState`` over ``buckets``
+    hash buckets of the cache keys (a Python call a bucket and batch, not one a
+    key; a fixed number for the life of a checkpoint).
+
+    The state store (partitioned by bucket across executors, checkpointed
+    incrementally) holds the live entries and drops them once the watermark
+    passes their expiry, so state grows with the keys live within TTL +
+    watermark, not with the stream.  The model scores
     rows before the state operator (a JVM-side transform, no round trip);
     the state step only chooses between a row's own answer (miss) and the
     stored one (hit), which gives exactly the K1 responses for time-ordered
-    files.  A key's rows within one micro-batch meet in one group, bounded by
+    files.  A bucket's rows within one micro-batch meet in one group, bounded by
     ``files_per_trigger``.  The sink is the exactly-once Parquet file sink.
     Requests later than ``watermark`` would be dropped by Spark before the
     state step; the run fails if that happened (none is lost silently).
@@ -257,7 +277,8 @@ def stream_scoring_stateful(spark: SparkSession, sf_dir: str, key_cols: Sequence
         F.col("event_id").alias("request_id"), "cache_key", "t_us", "event_time",
         F.col("probability").cast("double").alias("probability"),
         F.col("prediction").cast("int").alias("prediction"))
-    resp = scored.groupBy("cache_key").applyInPandasWithState(
+    bucketed = scored.withColumn("bucket", F.pmod(F.xxhash64("cache_key"), F.lit(buckets)))
+    resp = bucketed.groupBy("bucket").applyInPandasWithState(
         _anchor_state_fn(ttl_seconds * 1_000_000), RESPONSE_SCHEMA, STATE_SCHEMA,
         "append", GroupStateTimeout.EventTimeTimeout)
     late = _run(resp.writeStream.format("parquet").option("path", out)

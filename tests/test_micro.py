@@ -189,6 +189,49 @@ def test_chi2_pvalue_duckdb_form_agrees(spark):
         assert abs(g - d) < 1e-9
 
 
+def test_chi2_tail_of_many_degrees(spark):
+    """Beyond the series: against the summed tail, and in constant memory."""
+    def tail(x, k):                                # even k: Poisson sum
+        h = x / 2
+        return sum(math.exp(-h + i * math.log(h) - math.lgamma(i + 1)) for i in range(k // 2))
+    pairs = [(k * (1 + z * math.sqrt(2 / k)), k) for k in (402, 20_000, 20_002, 300_000) for z in (-4.0, -1.0, -0.001, 0.0, 0.5, 2.0, 4.0, 8.0)]
+    df = spark.createDataFrame([(float(x), k) for x, k in pairs], "chi2 double, dof long")
+    got = [r[0] for r in df.select(F.expr(D.chi2_pvalue_sql())).collect()]
+    assert max(abs(g - tail(x, k)) for g, (x, k) in zip(got, pairs)) < 1e-6
+    big = spark.createDataFrame([(1e9 + 44721.0, 10**9), (1e9, 10**9 + 1)], "chi2 double, dof long")
+    one, half = [r[0] for r in big.select(F.expr(D.chi2_pvalue_sql())).collect()]
+    assert abs(one - 0.158655) < 1e-4 and abs(half - 0.5) < 1e-4
+
+
+def test_stretches_equal_the_greedy_fold(spark):
+    """Random timelines with cache entries anywhere, against a plain loop; only
+    stretches of a TTL or more are folded."""
+    import random
+    rng = random.Random(4)
+    rows, seeds = [], []
+    for k in range(40):
+        t = 0
+        for _ in range(rng.randrange(1, 30)):
+            t += rng.choice([0, 1, 3, 9, 10, 11, 40]) * 1_000_000
+            (seeds if rng.random() < 0.1 else rows).append((f"k{k}", t))
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    seeds = list(dict.fromkeys(seeds))
+    want, live = {}, {}
+    for key, t, _, i in sorted([(k, t, 0, None) for k, t in seeds] + [(k, t, 1, i) for i, k, t in rows]):
+        if i is None:
+            live[key] = t
+        elif key not in live or t >= live[key] + 10_000_000:
+            live[key], want[i] = t, (False, t)
+        else:
+            want[i] = (True, live[key])
+    req = spark.createDataFrame(rows, "i long, k string, t long").repartition(5)
+    cache = spark.createDataFrame(seeds, "cache_key string, written_at_us long")
+    got = {r["request_id"]: (r["cached"], r["anchor_us"]) for r in K.anchor_requests(req, "k", "t", "i", 10, cache).collect()}
+    assert got == want
+    spans = K.stretches(req.select(F.col("i").alias("request_id"), F.col("k").alias("cache_key"), F.col("t").alias("t_us"), F.lit(False).alias("is_seed")), 10_000_000)
+    assert 0 < spans.where("long").count() < len(rows)
+
+
 def test_distributed_exact_quantiles_match_interpolation(spark, monkeypatch):
     import random
 
@@ -209,7 +252,7 @@ def test_distributed_exact_quantiles_match_interpolation(spark, monkeypatch):
             out.append(xs[lo] + (xs[hi] - xs[lo]) * (q - lo))
         return out
 
-    got = QN.exact_quantiles(df, "x", probs)
+    got = QN.quantile_values(df, ["x"], probs)[None, "x"]
     want = brute([v for v in vals if v is not None])
     assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
     # grouped, forced through the selection path, vs the built-in exact map
@@ -221,6 +264,58 @@ def test_distributed_exact_quantiles_match_interpolation(spark, monkeypatch):
         assert all(abs(x - y) < 1e-9 for x, y in zip(a[g], b[g]))
 
 
+def test_quantiles_of_all_columns_and_groups_at_once(spark, monkeypatch):
+    """Null groups, empty columns, heavy ties, one value; and the jobs do not
+    grow with columns, groups or probabilities."""
+    import random
+
+    from clickscope.functions import quantiles as QN
+    monkeypatch.setattr(QN, "READ_LIMIT", 5)
+    monkeypatch.setattr(QN, "BUCKETS", 8)
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.gauss(0, 1) if rng.random() < .9 else None, float(rng.randrange(3)), None if i % 3 else 1e6 * rng.random(), None) for i in range(400)]
+    rows += [("lone", 4.5, None, None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, ties double, y double, none double")
+    probs = [i / 20 for i in range(21)]
+    cols = ["x", "ties", "y", "none"]
+    got = QN.quantile_values(df, cols, probs, "g")
+    for g in ("a", "b", None, "lone"):
+        for c, i in zip(cols, range(1, 5)):
+            xs = sorted(r[i] for r in rows if r[0] == g and r[i] is not None)
+            want = [None] * 21 if not xs else [xs[math.floor(p * (len(xs) - 1))] + (xs[math.ceil(p * (len(xs) - 1))] - xs[math.floor(p * (len(xs) - 1))]) * (p * (len(xs) - 1) % 1) for p in probs]
+            assert got[g, c] == want or all(abs(a - b) < 1e-6 for a, b in zip(got[g, c], want))
+
+    written = []
+    real = QN.cut_lineage
+    monkeypatch.setattr(QN, "cut_lineage", lambda *a, **k: written.append(1) or real(*a, **k))
+    QN.quantile_values(df, ["x"], [0.5])
+    few = len(written)
+    QN.quantile_values(df, ["x", "ties", "y"], probs, "g")
+    assert len(written) <= 2 * few
+
+
+def test_corr_matrix_by_moments_over_many_batches(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        x = rng.gauss(1e7, 1)                             # large mean, small spread
+        rows.append((x, None if i % 7 == 0 else 2 * x + rng.gauss(0, 1), float("nan") if i % 5 == 0 else rng.random(), 3.0, None))
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, z double").repartition(7)
+    cols = ["a", "b", "c", "k", "z"]
+    got = {(r[0], r[1]): r[2] for r in P.corr_matrix(df, cols).collect()}
+    assert len(got) == 25
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            xy = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None and r[i] == r[i] and r[j] == r[j]]
+            want = None
+            if xy and a not in "kz" and b not in "kz":
+                mx, my = sum(x for x, _ in xy) / len(xy), sum(y for _, y in xy) / len(xy)
+                xx, yy = sum((x - mx) ** 2 for x, _ in xy), sum((y - my) ** 2 for _, y in xy)
+                want = sum((x - mx) * (y - my) for x, y in xy) / math.sqrt(xx * yy)
+            assert got[a, b] == want or abs(got[a, b] - want) < 2e-6
+
+
 def test_pvalue_summary_record_per_column(spark):
     rows = ([(float(i), i % 2, D.REF) for i in range(40)]
             + [(float(i) + 30.0, 1, D.CUR) for i in range(40)])

@@ -31,7 +31,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_model_or_lineage():
     llm = set(E.llm_queries.QUERIES) | {"pipeline"} if E.llm_queries else set()
     rows_only = set(E.queries()) - set(ORACLE) - llm
-    assert rows_only <= {"session_obt", "rf_train_score", "model_eval", "cv_tune", "random_search",
-                         "feature_importance", "latest_run_metrics", "drift_prediction_summary",
+    assert rows_only <= {"rf_train_score", "model_eval", "cv_tune", "random_search", "model_run_log", "model_auc_drop",
+                         "feature_importance", "drift_prediction_summary",
                          "tuned_train_score", "model_request_scoring",
                          "landing_listing"}

@@ -8,8 +8,8 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from clickscope.operators import monitor as MON
 from clickscope.operators import quality as Q
+from clickscope.operators import runlog as RL
 from clickscope.operators import scoring as K
 from clickscope.plans.fixtures import raw_sessions
 from clickscope.sources import tables as S
@@ -37,14 +37,42 @@ def test_csv_folder_scan_reads_every_file_with_null_markers(spark, sf_dir):
     assert len([f for f in os.listdir(d) if f.endswith(".csv")]) == 2
 
 
-def test_request_typing_keeps_corrupt_rows(spark):
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("age", T.DoubleType()),
-                           T.StructField("gender", T.StringType())])
-    df = spark.createDataFrame([('{"age": 34}',), ('{"age": "x"',)], "value string")
-    rows = Q.parse_requests(df, schema, defaults={"gender": "Unknown"}).collect()
-    assert rows[0]["age"] == 34.0 and rows[0]["gender"] == "Unknown"
-    assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
+def test_request_typing_names_the_fault_of_each_field(spark):
+    bodies = ['{"age":"12","x":1.5}', '{"age":"old","x":1}', '{"x":2}', '{"age":null,"x":true}', '{"age":3,"x":1,"gender":7}', '[1]', 'null', None,
+              '{"age":3', '{"age":3,"x":1,"gender":null}', '{"age":3,"x":1,"gender":"F","more":[]}']
+    df = spark.createDataFrame([(i, b, "k") for i, b in enumerate(bodies)], "i int, body string, other string")
+    got = {r["i"]: r for r in Q.type_requests(df, "body", ("i",), ("age", "x"), ("gender",)).collect()}
+    assert {i: r["errors"] for i, r in got.items()} == {
+        0: [], 1: ["age:not_a_number"], 2: ["age:missing"], 3: ["age:not_a_number", "x:not_a_number"], 4: ["gender:not_a_string"],
+        5: ["body:not_an_object"], 6: ["body:not_an_object"], 7: ["body:not_json"], 8: ["body:not_json"], 9: ["gender:not_a_string"], 10: []}
+    assert (got[0]["age"], got[0]["x"], got[0]["gender"], got[10]["gender"]) == (12.0, 1.5, "Unknown", "F")
+
+
+def test_verdicts_replace_their_own_run_only(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["age"], False), (2, [], True)], "id int, failed_rules array<string>, passed boolean")
+    for run in ("a", "b", "b"):
+        Q.write_verdicts(rows, str(tmp_path / "v"), run)
+    got = sorted(tuple(r) for r in S.read_written(spark, str(tmp_path / "v")).select("run_id", "verdict", "id", "failed_rules").collect())
+    assert got == [("a", "passed", 2, ""), ("a", "quarantined", 1, "age"), ("b", "passed", 2, ""), ("b", "quarantined", 1, "age")]
+
+
+def test_runs_are_logged_once_and_weeks_meet_the_live_run(spark, tmp_path):
+    import datetime as dt
+    root = str(tmp_path / "runs")
+    day = lambda d: dt.datetime(2024, 1, d)
+    assert RL.read_runs(spark, root).count() == 0
+    assert RL.log_run(spark, root, "r1", day(3), {"trees": 100, "features": ["a"]}, {"eval_auc": 0.7, "none": None})
+    assert not RL.log_run(spark, root, "r1", day(4), {}, {"eval_auc": 0.9})
+    assert RL.log_run(spark, root, "r2", day(9), {}, {"eval_auc": 0.6})
+    runs = RL.read_runs(spark, root)
+    assert sorted((r["run_id"], r["kind"], r["key"], r["value"], r["text"]) for r in runs.collect()) == [
+        ("r1", "metric", "eval_auc", 0.7, None), ("r1", "param", "features", None, '["a"]'), ("r1", "param", "trees", 100.0, "100"), ("r2", "metric", "eval_auc", 0.6, None)]
+    assert [tuple(r) for r in RL.latest_run_metrics(runs).collect()] == [("AUC", 0.6)]
+    weeks = spark.createDataFrame([(day(d).date(), d) for d in (1, 3, 8, 9, 15)], "w date, x int")
+    got = RL.asof_join(weeks, runs.where("key = 'eval_auc'").withColumnRenamed("value", "base"), "w", "started_at", ["base"])
+    assert sorted((r["x"], r["base"]) for r in got.collect()) == [(1, None), (3, 0.7), (8, 0.7), (9, 0.6), (15, 0.6)]
+    keyed = RL.asof_join(weeks.withColumn("k", F.col("x") % 2), runs.where("key = 'eval_auc'").select(F.lit(1).alias("k"), "started_at", "value"), "w", "started_at", ["value"], ["k"])
+    assert {r["x"]: r["value"] for r in keyed.collect()} == {1: None, 3: 0.7, 8: None, 9: 0.6, 15: 0.6}
 
 
 def test_response_json_and_metrics_map(spark):
@@ -52,7 +80,7 @@ def test_response_json_and_metrics_map(spark):
                                  "request_id long, probability double, prediction int, cached boolean")
     js = K.response_json(resp).first()["response"]
     assert js == '{"ad_clicked_probability":0.123456789,"ad_clicked":0,"cached":true}'
-    runs = spark.createDataFrame([("r1", "eval_auc", 0.123456), ("r1", "eval_f1", 0.5)],
-                                 "run_id string, key string, value double")
-    m = MON.metrics_map(runs).first()["metrics"]
+    runs = spark.createDataFrame([("r1", "metric", "eval_auc", 0.123456), ("r1", "metric", "eval_f1", 0.5), ("r1", "param", "trees", 5.0)],
+                                 "run_id string, kind string, key string, value double")
+    m = RL.metrics_map(runs).first()["metrics"]
     assert m == {"eval_auc": 0.1235, "eval_f1": 0.5}

@@ -50,7 +50,8 @@ def test_foreach_batch_stream_scoring_equals_batch(spark, split_events):
 
 def test_window_moments_over_several_files_equal_batch(spark, split_events):
     from pyspark.sql import functions as F
-    got = ST.window_moments(spark, split_events, "7 days", "1 day")
+    got, late = ST.window_moments(spark, split_events, "7 days", "1 day")
+    assert late == 0
     ev = spark.read.parquet(split_events)
     week = F.date_from_unix_date((F.floor(F.unix_date(F.to_date("ts")) / 7) * 7).cast("int"))
     want = ev.groupBy(week.alias("window_start"), "event_type").agg(
@@ -89,6 +90,24 @@ def test_stream_validate_counts_rows_later_than_the_watermark(spark, sf_dir, tmp
     assert got["n_rows"] == t.num_rows - n_late
 
 
+def test_late_rows_are_counted_and_do_not_stop_the_windows(spark, sf_dir, tmp_path):
+    """Three files in time order, then one with rows of the first day: those
+    are dropped and counted, every other row is in its window."""
+    import datetime as dt
+    import os
+    t = pq.read_table(f"{sf_dir}/events.parquet").sort_by([("ts", "ascending"), ("event_id", "ascending")])
+    first = sum(1 for v in t["ts"].to_pylist() if v.date() == dt.date(2024, 1, 1))
+    assert first
+    q = -(-t.num_rows // 3)
+    for i, part in enumerate([t.slice(0, q), t.slice(q, q), t.slice(2 * q), t.slice(0, first)]):
+        f = tmp_path / f"events-{i:03d}.parquet"
+        pq.write_table(part, str(f))
+        os.utime(f, (1_000_000 * (i + 1), 1_000_000 * (i + 1)))
+    got, late = ST.window_moments(spark, str(tmp_path), "7 days", "1 day")
+    assert late == first
+    assert got.agg({"n": "sum"}).first()[0] == t.num_rows
+
+
 def test_stateful_scoring_fails_instead_of_losing_late_requests(spark, sf_dir, tmp_path):
     import os
     t = pq.read_table(f"{sf_dir}/events.parquet").sort_by([("ts", "ascending"),
