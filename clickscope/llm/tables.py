@@ -27,6 +27,17 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``cut_lineage`` wrote, once the tables made from
+    them are written: a long chain of steps then holds a few of them at a time."""
+    for df in tables:
+        files = df.inputFiles()
+        if files and "/clickscope-tables/" in files[0]:
+            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            at = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            at.getFileSystem(conf).delete(at, True)
+
+
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written once, marked for broadcast if it is counted small; a
     larger one is left to a shuffled join."""
