@@ -223,11 +223,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
           alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """``id_col``, base measures, ``base_failed``, ``kept`` and ``failed_rules``."""
     src = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__stratum"), F.col(text).alias("__t"))
-    rows = measures(src, "__t", ["__id", "__stratum"])
+    src = src.withColumn("__key", F.xxhash64("__t"))
+    rows = measures(src, "__t", ["__id", "__stratum", "__key"])
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = cut_lineage(rows.withColumn("base_failed", failed), "measures")
     good = labels.where("quality is not null").groupBy(F.col(id_col).alias("__id")).agg(F.min("quality").alias("q")).where("q = 1").select("__id")
-    held = rows.where("not base_failed").join(good, "__id")
+    # a text proves something once, however many rows repeat it
+    held = rows.where("not base_failed").join(good, "__id").dropDuplicates(["__stratum", "__key"])
     proven = cut_lineage(fit_cutoffs(held, "__stratum", "__id", alpha, delta), "cutoffs")
     pool = proven.where("__stratum is null").first()
     limits = small_side(proven.where("__stratum is not null").select(F.col("__stratum").alias("__s"), *[F.col(r).alias(f"__{r}") for r in RULES]))
