@@ -17,11 +17,15 @@ seen on fewer than ``min_pages`` distinct pages prove nothing.
 What markup declares is prior knowledge: navigation, footers, forms, scripts,
 adverts, notices, comments (by tag, role, class or id words) have importance 0;
 plain text flow inside ``article`` or ``main`` is in the tree as all else is,
-with ``FLOW_PRIOR`` of the weight of its content importance given to 1.  When a
-page declares such a main part, its text is the text inside; if all of it
+with ``FLOW_PRIOR`` of the weight of its content importance given to 1.  There only
+a whole block group without a text of its own (``GROUPS``: a section, a list, a
+table) can go; headings, table cells, by-lines and paragraphs stay however often
+they repeat, unless their group goes.  When a page declares such a main part, its text is the text inside; if all of it
 repeats (one article under several addresses) it stays.
 
-Pages are parsed tolerantly (unclosed and stray tags, comments, raw text).
+Pages are parsed tolerantly (unclosed and stray tags, comments, raw text), in
+time and memory linear in the page at any depth: a path is known by a hash of
+its parent's and its own label.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of
 its own (``''``); equal pages of a host count once in its tree; repeated rows
@@ -31,9 +35,10 @@ ignored; a page whose every branch is unimportant has an empty text.
 
 from __future__ import annotations
 
+import hashlib
 import html
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -64,6 +69,8 @@ CLOSES_P = frozenset("address article aside blockquote body center details dialo
 CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
                "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 SCOPE = frozenset("ul ol dl table article main section div body html".split())
+# Elements whose content can be a repeated block of its own inside an article.
+GROUPS = frozenset("section div ul ol dl table details figure blockquote center".split())
 # What declares that an element is not the article.
 NOISE_TAGS = frozenset("nav footer aside form button select textarea script style noscript template iframe svg object canvas dialog menu "
                        "datalist fieldset audio video head title search optgroup option map applet frameset".split())
@@ -84,10 +91,11 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label = [-1], [""], [""]
-        self.noise, self.plain, self.landmark = [False], [False], [False]
+        self.noise, self.plain, self.landmark, self.within = [False], [False], [False], [False]
         self.children: list[list[int]] = [[]]
         self.blocks: list[tuple[int, str]] = []
         self._stack = [0]
+        self._open: Counter[str] = Counter()           # open elements by tag
         self._text: list[str] = []
         self._read(source)
         self._flush()
@@ -102,10 +110,13 @@ class Page:
                 self.blocks.append((owner, text))
 
     def _pop_to(self, depth: int) -> None:
+        self._open.subtract(self.tag[e] for e in self._stack[depth:])
         del self._stack[depth:]
 
     def _close(self, tags: tuple[str, ...], scope: frozenset[str]) -> None:
         """Implied end tags: the nearest open element of ``tags`` inside scope."""
+        if not any(self._open[t] for t in tags):
+            return
         for d in range(len(self._stack) - 1, 0, -1):
             tag = self.tag[self._stack[d]]
             if tag in tags:
@@ -162,10 +173,13 @@ class Page:
         self.tag.append(tag)
         self.label.append(tag + "".join(sorted(f".{x}" for x in names)))
         self.plain.append(not names and "role" not in given)
-        inside = any(self.landmark[e] for e in self._stack)
+        up = self._stack[-1]
+        inside = self.landmark[up] or self.within[up]
+        self.within.append(inside)
         self.noise.append(self._declared_noise(tag, given, names, inside))
         self.landmark.append((tag in ("article", "main") or given.get("role") in ("main", "article")) and not self.noise[me])
         self._stack.append(me)
+        self._open[tag] += 1
 
     @staticmethod
     def _declared_noise(tag: str, given: dict[str, str], names: list[str], inside: bool) -> bool:
@@ -190,6 +204,8 @@ class Page:
             return
         if tag not in INLINE:
             self._flush()
+        if not self._open[tag]:
+            return
         for d in range(len(self._stack) - 1, 0, -1):
             here = self.tag[self._stack[d]]
             if here == tag:
@@ -201,10 +217,16 @@ class Page:
     def _settle(self) -> None:
         """What holds the declared main part is not noise itself; noise holds
         for everything below it."""
-        for e in range(1, len(self.tag)):
-            if self.landmark[e] and not any(self.noise[x] and self.tag[x] in ("aside", "footer", "nav") for x in self.above(e)):
-                for x in self.above(e):
-                    self.noise[x] = False
+        n = len(self.tag)
+        shut, holds = [False] * n, [False] * n         # below a noise aside, footer or nav; above a main part
+        for e in range(1, n):
+            p = self.parent[e]
+            shut[e] = shut[p] or (self.noise[p] and self.tag[p] in ("aside", "footer", "nav"))
+        for e in range(n - 1, 0, -1):
+            if (self.landmark[e] and not shut[e]) or holds[e]:
+                holds[self.parent[e]] = True
+        for e in range(1, n):
+            self.noise[e] = self.noise[e] and not holds[e]
         for e in range(1, len(self.tag)):
             self.noise[e] = self.noise[e] or self.noise[self.parent[e]]
         inside = [False] * len(self.tag)               # in a main part that is no noise
@@ -219,17 +241,22 @@ class Page:
         else:
             self.blocks = [b for b in self.blocks if not self.noise[b[0]]]
 
-    def above(self, e: int) -> Iterator[int]:
-        e = self.parent[e]
-        while e > 0:
-            yield e
-            e = self.parent[e]
+    def with_above(self, elements: Iterator[int]) -> set[int]:
+        """The elements and all those that hold them."""
+        found: set[int] = set()
+        for e in elements:
+            while e > 0 and e not in found:
+                found.add(e)
+                e = self.parent[e]
+        return found
 
     def paths(self) -> list[str]:
+        """A name for the path of each element from the body down."""
         out = [""]
         for e in range(1, len(self.tag)):
             up = out[self.parent[e]]
-            out.append(self.label[e] if self.tag[e] in ("html", "body") or not up else f"{up}>{self.label[e]}")
+            top = self.tag[e] in ("html", "body") or not up
+            out.append(hashlib.blake2b((self.label[e] if top else f"{up}>{self.label[e]}").encode("utf-8", "replace"), digest_size=12).hexdigest())
         return out
 
     def text(self, importance: dict[str, tuple[float, float]] | None = None, threshold: float = 0.5) -> str:
@@ -253,14 +280,9 @@ class Page:
             low[e] = score[e] < threshold and all(low[c] for c in kids) and (e not in owns or content < threshold)
         gone = [False] * len(self.tag)
         for e in range(1, len(self.tag)):
-            gone[e] = gone[self.parent[e]] or low[e]
-        kept = []
-        for e, t in self.blocks:
-            content = importance.get(paths[e], (1.0, 1.0))[1]
-            if self.flow[e]:
-                content = FLOW_PRIOR + (1 - FLOW_PRIOR) * content
-            if not gone[e] and content >= threshold:
-                kept.append((e, t))
+            group = not self.flow[e] or (self.tag[e] in GROUPS and e not in owns)
+            gone[e] = gone[self.parent[e]] or (low[e] and group)
+        kept = [(e, t) for e, t in self.blocks if not gone[e] and (self.flow[e] or importance.get(paths[e], (1.0, 1.0))[1] >= threshold)]
         if not kept:
             kept = [b for b in self.blocks if self.flow[b[0]]]
         return " ".join(t for _, t in kept)
@@ -288,10 +310,7 @@ def style_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
                 texts: dict[int, set[str]] = {}
                 for e, t in doc.blocks:
                     texts.setdefault(e, set()).add(t)
-                used = set(texts)
-                for e in texts:
-                    used.update(doc.above(e))
-                for e in used:
+                for e in doc.with_above(texts) | (texts.keys() & {0}):
                     style = " ".join(doc.label[c] for c in doc.children[e])
                     rows.update((host, page, paths[e], style, t) for t in texts.get(e, {None}))
             cols = list(zip(*rows)) or [[]] * 5

@@ -527,6 +527,32 @@ def test_style_tree_acts_inside_the_main_part(spark):
         assert got == {i: prose(i, 30) for i in range(20)} | {100 + i: prose(7, 30) for i in range(9)}
 
 
+def test_recurring_parts_of_an_article_stay(spark):
+    """Section headings, table heads and by-lines that every page of a host has
+    belong to its articles; a repeated section or list of its own goes."""
+    rows, exp = [], {}
+    for i in range(20):
+        a, b, c = prose(i, 25), prose(i + 40, 25), prose(i + 80, 6)
+        rows.append((i, f"http://r.example/{i}", f"<body><article><h1>{c}</h1><div>By the kitchen</div><p>{a}</p><h2>Ingredients</h2><p>{b}</p><h2>Method</h2>"
+                     f"<table><tr><th>Year</th><th>Goals</th></tr><tr><td>{1900 + i}</td><td>{i}</td></tr></table><p>{a[::-1]}</p>"
+                     f"<section><h4>Follow us</h4><ul><li>Home</li><li>Contact</li></ul></section></article></body>"))
+        exp[i] = f"{c} By the kitchen {a} Ingredients {b} Method Year Goals {1900 + i} {i} {a[::-1]}"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (html_extraction.MAP_ROWS, -1):
+        assert {r["page_id"]: r["text"] for r in html_extraction.extract(df, map_rows=limit).collect()} == exp
+
+
+def test_very_deep_and_broken_pages_take_linear_time():
+    import time
+    for unit, close in (("<div>x ", ""), ("<b>x ", "</i>"), ("<article>x ", ""), ("<p><span>x ", "</u>")):
+        began = time.time()
+        page = html_extraction.Page("<body>" + (unit + close) * 50_000)
+        paths = page.paths()
+        assert page.text({p: (0.9, 0.9) for p in paths[:50]}).count("x") == 50_000
+        assert max(map(len, paths)) <= 24 and time.time() - began < 60
+        assert len(page.with_above(e for e, _ in page.blocks)) <= len(page.tag)
+
+
 def test_pages_equal_a_plain_reading(spark, sf_dir):
     pages = {r["page_id"]: r["html"] or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in queries.op10_html_extraction(spark, sf_dir).collect():
