@@ -229,7 +229,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     rows = cut_lineage(rows.withColumn("base_failed", failed), "measures")
     good = labels.where("quality is not null").groupBy(F.col(id_col).alias("__id")).agg(F.min("quality").alias("q")).where("q = 1").select("__id")
     # a text proves something once, however many rows repeat it
-    held = rows.where("not base_failed").join(good, "__id").dropDuplicates(["__stratum", "__key"])
+    held = rows.where("not base_failed").join(good, "__id")
+    rest = [c for c in held.columns if c not in ("__id", "__stratum", "__key")]
+    held = held.groupBy("__stratum", "__key").agg(F.min(F.struct("__id", *rest)).alias("r")).select("__stratum", "r.*")
     proven = cut_lineage(fit_cutoffs(held, "__stratum", "__id", alpha, delta), "cutoffs")
     pool = proven.where("__stratum is null").first()
     limits = small_side(proven.where("__stratum is not null").select(F.col("__stratum").alias("__s"), *[F.col(r).alias(f"__{r}") for r in RULES]))
