@@ -137,6 +137,17 @@ def test_jaccard_matches_brute_force(spark, edge, empty):
     assert jaccard_join.components(empty).count() == 0
 
 
+def test_jaccard_pieces_of_overlapping_sets(spark):
+    """Blocks of many sets that share half their shingles: pieces of few sets
+    give the same components as one."""
+    common = prose(600, 30, 10**6)
+    rows = [(i, common + " " + prose(700 + (i - i % 2 if i % 10 < 2 else i), 22, 10**6)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {r["doc_id"]: r["component_id"] for r in jaccard_join.components(df).collect()}
+    cut = {r["doc_id"]: r["component_id"] for r in jaccard_join.components(df, block_sets=7).collect()}
+    assert one == cut and one[1] == 0 and one[2] == 2 and len(set(one.values())) == 54
+
+
 def test_keep_one(edge, empty):
     kept = jaccard_join.keep_one(edge)
     assert kept.columns == edge.columns
@@ -451,9 +462,44 @@ def test_models_are_fitted_on_distinct_texts(spark):
 
 # --- 9 decontamination
 
-def test_masks_hit_windows_with_two_differences():
-    for bad in itertools.combinations(range(13), 2):
-        assert any(all(i + o not in bad for o in m) for i in range(13 - decontamination.SPAN + 1) for m in decontamination.MASKS)
+def test_masks_leave_a_seed_whatever_differs():
+    for n in range(decontamination.SPAN, 20):
+        full = min(n, 13)
+        masks = decontamination.masks_for({n}).values()
+        for bad in itertools.combinations(range(full), full - -(-8 * full // 10)):
+            assert any(all(i + o not in bad for o in m) for i in range(full - decontamination.SPAN + 1) for m in masks), (n, bad)
+    assert decontamination.masks_for({15, 30}).keys() == {0, 1}
+
+
+def plain_leaks(docs, items):
+    out = set()
+    for d, text in docs:
+        w = text.split()
+        for i, item in items:
+            x = item.split()
+            full = min(13, len(x))
+            need = full if len(x) < 7 else -(-8 * full // 10)
+            for at in range(1 - len(x), len(w)):
+                eq = [0 <= at + j < len(w) and w[at + j] == v for j, v in enumerate(x)]
+                if len(x) > 2 and any(sum(eq[s:s + full]) >= need for s in range(len(x) - full + 1)):
+                    out.add((d, i))
+    return out
+
+
+def test_leaks_equal_brute_force(spark):
+    r = random.Random(5)
+    items = [(i, prose(500 + i, n, 10**6)) for i, n in enumerate([1, 2, 3, 4, 5, 6, 6, 7, 7, 8, 9, 10, 10, 11, 12, 13, 16, 30])]
+    docs = []
+    for d in range(300):
+        x = r.choice(items)[1].split()
+        for at in r.sample(range(len(x)), min(len(x), r.choice([0, 0, 1, 1, 2, 2, 3, 4]))):
+            x[at] = "z%d" % r.randrange(9)
+        cut = r.choice([0, 0, 0, 3])
+        docs.append((d, " ".join([prose(900 + d, r.randrange(9), 10**6), *x[cut:], prose(2000 + d, r.randrange(9), 10**6)])))
+    docs += [(300 + i, f"a {x} b") for i, x in items]
+    want = plain_leaks(docs, items)
+    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(g["doc_id"], g["item_id"]) for g in got.collect()} == want and len(want) > 100 and {i for _, i in want} >= {2, 3, 4, 5, 7, 11}
 
 
 def test_leaks(spark, edge, empty):
