@@ -72,7 +72,9 @@ def minimum_labels(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> Da
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         step = cut_lineage(step.join(up, "label", "left").select("node", "old", F.least("label", "up").alias("label")), "labels")
+        discard(labels)
         labels = step.select("node", "label")
         if step.where(F.col("old") != F.col("label")).isEmpty():
+            discard(edges)
             return labels
     raise RuntimeError(f"labels still move after {max_rounds} rounds")
