@@ -33,25 +33,47 @@ from pyspark.sql import functions as F
 
 from clickscope.llm.ordered import cut_points, offsets, part_of
 from clickscope.llm.tables import bounded_batches
+from clickscope.llm.textops import slices
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 500, 8_000, 64 << 10
 #: A reader holds a row group at a time, so blocks and row groups stay small.
 BLOCK_BYTES, GROUP_BYTES = 1 << 16, 8 << 20
-TABLE_PARTS, STEP_CHARS = 160_000, 1_000_000
+TABLE_PARTS, STEP_BYTES = 400_000, 6 << 20
 #: Texts of these characters split into the tokenizer's parts with _PARTS:
 #: ASCII and Latin-1 letters, on which its normaliser only lower-cases.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-z0-9ß-öø-ÿ]+")
-_WORD = re.compile("[^ \t\n\r]+")
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 13, 32]] = True
+
+
+def distinct_words(buf: np.ndarray, offs: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words of a slice of texts (between the white space at which
+    this tokenizer ends a word), each word's number among them, and each
+    text's number of words."""
+    inside = ~_GAP[buf]
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[offs] = True
+    first, last = inside & edge[:-1], inside & edge[1:]
+    first[1:] |= inside[1:] & ~inside[:-1]
+    last[:-1] |= inside[:-1] & ~inside[1:]
+    starts = np.flatnonzero(first)
+    # without the white space the words lie end to end: an Arrow string array
+    at = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(buf[inside])))
+    coded = words.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), np.diff(np.searchsorted(starts, offs))
 
 
 class WordEncoder:
     """Ids of whole texts from a bounded table of distinct parts.
 
-    White space ends words in this tokenizer and its parts (runs of letters,
-    digits, runs of other characters) are encoded alone, so a text's ids are
-    its parts' ids one after another, each distinct part encoded once.  A word
-    with other characters is one key of the table (after a space).
+    White space ends words in this tokenizer, so a text's ids are its words'
+    ids one after another: Arrow numbers the words of a slice, each distinct
+    one is encoded once, and numpy places its ids wherever it stands.  Parts of
+    words (runs of letters, digits, runs of other characters) are encoded alone
+    as well; a table keeps them from slice to slice.  A word with other
+    characters is one key of the table (after a space).
 
     The table has two generations of ``TABLE_PARTS / 2`` entries: parts that
     come again move to the young one, the old one is given up when the young
@@ -87,10 +109,8 @@ class WordEncoder:
         return out
 
     @staticmethod
-    def split(text: str) -> list[str]:
-        if "<|" not in text and _PLAIN.fullmatch(text):
-            return _PARTS.findall(text.lower())
-        return [k for w in _WORD.findall(text) for k in (_PARTS.findall(w.lower()) if "<|" not in w and _PLAIN.fullmatch(w) else (" " + w,))]
+    def split(word: str) -> list[str]:
+        return _PARTS.findall(word.lower()) if "<|" not in word and _PLAIN.fullmatch(word) else [" " + word]
 
     def learn(self, every: set[str]) -> None:
         """Afterwards the young generation holds all of ``every``."""
@@ -105,18 +125,27 @@ class WordEncoder:
         self.parts.update(zip(plain, self._encode_parts(plain)))
         self.parts.update(zip(odd, self._encode([k[1:] for k in odd])))
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        i = 0
-        while i < len(texts):
-            j, chars = i, 0
-            while j < len(texts) and (j == i or chars + len(texts[j]) <= STEP_CHARS):
-                chars += len(texts[j])
-                j += 1
-            keys = [self.split(t) for t in texts[i:j]]
-            self.learn(set().union(*keys))
-            for k in keys:
-                yield b"".join(map(self.parts.__getitem__, k))
-            i = j
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a string array (null: none), as little-endian
+        unsigned 32-bit integers."""
+        for _, _, buf, offs in slices(texts, STEP_BYTES):
+            words, number, counts = distinct_words(buf, offs)
+            # a word of ASCII letters is one part
+            keys = [w.lower() if w.isalpha() and w.isascii() else self.split(w) for w in words]
+            mixed = [k for k in keys if type(k) is list]
+            self.learn({k for k in keys if type(k) is str}.union(*mixed))
+            parts = self.parts
+            coded = [parts[k] if type(k) is str else b"".join([parts[x] for x in k]) for k in keys]
+            ids = np.frombuffer(b"".join(coded), "<u4")
+            size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            length = size[number]
+            end = np.cumsum(length)
+            # place of every id: its word's first id and how far it is into it
+            take = np.arange(end[-1] if len(end) else 0) + np.repeat((np.cumsum(size) - size)[number] - (end - length), length)
+            raw = ids[take].tobytes()
+            cut = 4 * np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)])]
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                yield raw[x:y]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -137,7 +166,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str, end_id: int) ->
     short = docs.where(F.length(text).between(1, SAMPLE_CHARS)).select(F.col(text).alias("t"))
     rows = short.where(F.xxhash64("t") <= F.lit(edge).cast("long")).distinct().orderBy(F.xxhash64("t")).limit(SAMPLE_DOCS).collect()
     end = np.array([end_id], "<u4").tobytes()
-    samples = [x + end for x in encoder(tokenizer).encode([r["t"] for r in rows])]
+    samples = [x + end for x in encoder(tokenizer).encode(pa.array([r["t"] for r in rows], pa.string()))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -166,9 +195,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
             given.precompute_compress(level=1)         # digested once, not per document
         press = zstandard.ZstdCompressor(level=1, dict_data=given, write_content_size=True)
         end, enc = np.array([end_id], "<u4").tobytes(), encoder(tokenizer)
-        for b in batches:
+        for b in gathered(batches, "text", STEP_BYTES):
             frames, n = [], []
-            for x in enc.encode([t or "" for t in b.column("text").to_pylist()]):
+            for x in enc.encode(b.column("text")):
                 frames.append(press.compress(x + end))
                 n.append(len(x) // 4 + 1)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), b.column("part"), pa.array(frames, pa.binary()), pa.array(n, pa.int64())], ["id", "key", "part", "frame", "n"])
@@ -204,6 +233,21 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
                      ).write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``: the
+    more text at once, the more often a word comes again."""
+    held, size = [], 0
+    for b in batches:
+        more = b.column(column).nbytes
+        if held and size + more > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(b)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
 

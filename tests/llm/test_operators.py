@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,12 +189,15 @@ def test_token_output_round_trip(spark, edge, empty, tmp_path):
 @pytest.mark.parametrize("table, step", [(160_000, 1_000_000), (60, 200)])
 def test_word_table_equals_the_library(monkeypatch, table, step):
     monkeypatch.setattr(token_output, "TABLE_PARTS", table)
-    monkeypatch.setattr(token_output, "STEP_CHARS", step)
+    monkeypatch.setattr(token_output, "STEP_BYTES", step)
     enc = token_output.WordEncoder(path("word_bpe_49k.json"))
     r = random.Random(4)
     parts = ["'s", "'", "S", "a", "B", "é", "É", "1", ".", "!", " ", "\n", "\t", "\xa0", "\x85", "²", "ß", "Σ", "×", "<|", "endoftext", "|>", "日", "́", "\x0b", "\x1d"]
     texts = ["".join(r.choice(parts) for _ in range(r.randrange(14))) for _ in range(1500)]
-    for t, got in zip(texts, enc.encode(texts)):
+    texts += ["", "   ", " \n ", prose(9, 3000)]
+    found = list(enc.encode(pa.array([*texts, None])))
+    assert len(found) == len(texts) + 1 and found[-1] == b""
+    for t, got in zip(texts, found):
         assert np.frombuffer(got, "<u4").tolist() == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
