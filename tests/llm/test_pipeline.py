@@ -50,7 +50,7 @@ def test_stages_keep_columns_and_their_decisions(spark, sf_dir):
 def test_registered():
     import __spark_entry__ as E
     names = set(E.queries())
-    assert "pipeline" in names and {int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m} == set(range(1, 11))
+    assert "pipeline" in names and {int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m} == set(range(1, 14))
 
 
 def test_empty_documents(spark, sf_dir):
