@@ -6,11 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from clickscope.session import cut_lineage
 
 #: A side is broadcast only when its counted rows stay under this.
 BROADCAST_ROWS = 200_000
+#: And only when the bytes of its values, added up, stay under this.
+BROADCAST_BYTES = 128 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +41,27 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(conf).delete(at, True)
 
 
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` written once, marked for broadcast if it is counted small; a
-    larger one is left to a shuffled join."""
+def value_bytes(c: Column, kind: DataType) -> Column:
+    """About the bytes that a value takes in memory."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + 16
+    if isinstance(kind, StructType):
+        return reduce(lambda a, b: a + b, [value_bytes(c.getField(f.name), f.dataType) for f in kind.fields], F.lit(16).cast("long"))
+    if isinstance(kind, ArrayType):
+        inner = F.aggregate(c, F.lit(16).cast("long"), lambda n, x: n + value_bytes(x, kind.elementType))
+        if not isinstance(kind.elementType, (StringType, BinaryType, StructType, ArrayType)):
+            inner = F.size(c).cast("long") * 8 + 16
+        return F.greatest(F.coalesce(inner, F.lit(8)), F.lit(8))
+    return F.lit(8).cast("long")
+
+
+def small_side(df: DataFrame, rows: int | None = None, size: int | None = None) -> DataFrame:
+    """``df`` written once, marked for broadcast if its counted rows and bytes
+    are few; a larger one is left to a shuffled join."""
     df = cut_lineage(df, "side")
-    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
+    held = df.agg(F.count("*"), F.coalesce(F.sum(reduce(lambda a, b: a + b, [value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])), F.lit(0))).first()
+    few = held[0] <= (BROADCAST_ROWS if rows is None else rows) and held[1] <= (BROADCAST_BYTES if size is None else size)
+    return F.broadcast(df) if few else df
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
