@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickscope.llm import (chat_formatting, decontamination, html_extraction, jaccard_join, language_id, ordered, quality_rules,
-                            queries, sentencepiece_codec, sharding, substring_dedup, textops, token_output)
+                            queries, sentencepiece_codec, sharding, substring_dedup, tables, textops, token_output)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -304,6 +304,41 @@ def test_repeats_whose_parts_stand_elsewhere(spark):
     assert {g["doc_id"] for g in got} == {101, 102}
 
 
+def test_fuzzy_repeats_whose_parts_stand_elsewhere(spark):
+    """Passages of 80 words with every 10th word substituted; each half alone,
+    too short to count, stands in 20 documents with smaller ids."""
+    rows, want = [], []
+    for c in range(8):
+        x, y = prose(9100 + c, 40, 10**6), prose(9200 + c, 40, 10**6)
+        rows += [(1000 * c + i, f"{prose(50_000 + 100 * c + i, 30, 10**6)} {x if i % 2 else y} {prose(60_000 + 100 * c + i, 30, 10**6)}") for i in range(40)]
+        q = ["s%d.%d" % (c, i) if i % 10 == 9 else w for i, w in enumerate(f"{x} {y}".split())]
+        rows += [(1000 * c + 100, f"{prose(70_000 + c, 30, 10**6)} {x} {y} {prose(71_000 + c, 30, 10**6)}"),
+                 (1000 * c + 101, f"{prose(72_000 + c, 30, 10**6)} {' '.join(q)} {prose(73_000 + c, 30, 10**6)}")]
+        want.append((1000 * c + 101, 1000 * c + 100))
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(g["doc_id"], g["other_id"]): g["end_word"] - g["start_word"] for g in got}
+    assert set(found) <= set(want) and sum(found.get(w, 0) >= 72 for w in want) >= 7, found
+
+
+def test_occurrences_leave_by_partner():
+    """One row for each document and partner; every occurrence is in one that says first."""
+    r = np.random.default_rng(3)
+    doc, pos = np.repeat(np.arange(50), 30), np.tile(np.arange(30), 50)
+    first, pick = np.zeros(1500, np.int64), np.repeat(r.integers(0, 50, 50), 30)
+    t = substring_dedup.by_partner(doc, pos, first, pos, pick, pos).to_pylist()
+    assert len(t) <= 100 and all(x["pos"] == x["opos"] == list(range(30)) for x in t)
+    assert sorted(x["doc"] for x in t if x["first"]) == list(range(50)) and all(x["other"] == pick[30 * x["doc"]] for x in t if not x["first"])
+    none = np.empty(0, np.int64)
+    assert substring_dedup.by_partner(none, none, none, none, none, none).num_rows == 0
+
+
+def test_broadcast_follows_bytes(spark):
+    df = spark.createDataFrame([(i, "x" * 1000, [i] * 5, [{"a": i, "b": None}], None) for i in range(20)], "k long, s string, n array<int>, t array<struct<a:long,b:string>>, z array<long>")
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(tables.small_side(df)) and "strategy=broadcast" not in plan(tables.small_side(df, size=20_000))
+    assert tables.small_side(df.limit(0)).count() == 0
+
+
 def test_exact_repeats_match_brute_force(spark):
     """Texts of few parts of 20 to 60 words: every window of 50 words that an
     earlier document has is in a passage."""
