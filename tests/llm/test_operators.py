@@ -334,7 +334,7 @@ def test_occurrences_leave_by_partner():
 
 def test_broadcast_follows_bytes(spark):
     df = spark.createDataFrame([(i, "x" * 1000, [i] * 5, [{"a": i, "b": None}], None) for i in range(20)], "k long, s string, n array<int>, t array<struct<a:long,b:string>>, z array<long>")
-    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in plan(tables.small_side(df)) and "strategy=broadcast" not in plan(tables.small_side(df, size=20_000))
     assert tables.small_side(df.limit(0)).count() == 0
 
