@@ -321,13 +321,13 @@ def test_fuzzy_repeats_whose_parts_stand_elsewhere(spark):
 
 
 def test_occurrences_leave_by_partner():
-    """One row for each document and partner; every occurrence is in one that says first."""
+    """One row for each document and pair of meeting points holds all their occurrences."""
     r = np.random.default_rng(3)
     doc, pos = np.repeat(np.arange(50), 30), np.tile(np.arange(30), 50)
     first, pick = np.zeros(1500, np.int64), np.repeat(r.integers(0, 50, 50), 30)
     t = substring_dedup.by_partner(doc, pos, first, pos, pick, pos).to_pylist()
-    assert len(t) <= 100 and all(x["pos"] == x["opos"] == list(range(30)) for x in t)
-    assert sorted(x["doc"] for x in t if x["first"]) == list(range(50)) and all(x["other"] == pick[30 * x["doc"]] for x in t if not x["first"])
+    assert all(x["pos"] == x["first_pos"] == x["pick_pos"] == list(range(30)) for x in t)
+    assert [(x["doc"], x["first"], x["pick"]) for x in t] == [(i, 0, pick[30 * i]) for i in range(50)]
     none = np.empty(0, np.int64)
     assert substring_dedup.by_partner(none, none, none, none, none, none).num_rows == 0
 
