@@ -34,6 +34,8 @@ EVENTS_SCHEMA = T.StructType([
 ])
 # Event types accepted by the ingest validation.
 KNOWN_EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
+# Fixed value: rows of a delivered file (one task reads it), about.
+FILE_ROWS = 2_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -128,18 +130,23 @@ def window_moments(spark: SparkSession, sf_dir: str, window: str = "7 days",
     return last, sent - (last.agg(F.sum("n")).first()[0] or 0)
 
 
-def arrival_files(spark: SparkSession, sf_dir: str, n: int = 4) -> str:
-    """The events of ``sf_dir`` as ``n`` folders' worth of files in time order,
-    one after the other, as a source would deliver them: a stream over them
-    takes several batches."""
-    out = scratch(spark, "arrivals")
+def arrival_files(spark: SparkSession, sf_dir: str, n: int = 4, file_rows: int = FILE_ROWS) -> str:
+    """The events of ``sf_dir`` as files in time order, one after the other, as
+    a source would deliver them: a stream over them takes several batches.
+
+    One file an arrival, ``n`` of them or, where those would hold more than
+    about ``file_rows`` rows, as many as the rows ask for.  The events are cut
+    by ranges of time in one pass (however many files they come from); the
+    ranges are then delivered in order, as a stream takes files by their age."""
+    out, ranges = scratch(spark, "arrivals"), scratch(spark, "arrival-ranges")
     ev = spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(sf_dir, "events.parquet"))
-    t = epoch_micros("ts")
-    lo, hi = ev.agg(F.min(t), F.max(t)).first()
-    part = F.lit(0) if lo is None else F.least(F.lit(n - 1), F.floor((t - lo) * n / (hi - lo + 1)))
-    staged = ev.withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
-    for i in range(n):
-        staged.where(F.col("part") == i).drop("part").write.mode("append").parquet(os.path.join(out, f"events-{i:03d}.parquet"))
+    n = max(n, -(-ev.count() // file_rows))
+    ev.repartitionByRange(n, epoch_micros("ts"), "event_id").write.parquet(ranges)
+    # one name a file, numbered in the order of the ranges
+    names = sorted(r[0] for r in spark.read.parquet(ranges).select("_metadata.file_name").distinct().collect())
+    for i, name in enumerate(names or [""]):
+        part = spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(ranges, name))
+        part.coalesce(1).write.parquet(os.path.join(out, f"events-{i:06d}.parquet"))
     return out
 
 

@@ -121,3 +121,24 @@ def test_stateful_scoring_fails_instead_of_losing_late_requests(spark, sf_dir, t
     with pytest.raises(RuntimeError, match="later than"):
         ST.stream_scoring_stateful(spark, str(tmp_path), KEYS, K.logistic_score("value"),
                                    3600, None, watermark="1 hour")
+
+
+def test_arrivals_of_a_many_file_source_come_in_time_order(spark, tmp_path):
+    """The source's files each span the whole time: an arrival is one file of
+    one range of time, none is lost, and scoring them equals the batch answer."""
+    import datetime
+    rows = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=37 * (i * 61 % 400)), i % 7, "view", float(i % 50), None) for i in range(400)]
+    rows.append((400, None, 1, "view", 1.0, None))
+    ev = spark.createDataFrame(rows, ST.EVENTS_SCHEMA)
+    ev.repartition(6, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    for file_rows, at_least in ((1000, 4), (50, 9)):
+        out = ST.arrival_files(spark, str(tmp_path), file_rows=file_rows)
+        parts = sorted(spark.read.schema(ST.EVENTS_SCHEMA).parquet(out + "/events*.parquet").selectExpr("_metadata.file_path p", "ts").groupBy("p").agg({"ts": "min", "p": "count"}).withColumnsRenamed({"min(ts)": "lo", "count(p)": "n"}).collect(), key=lambda r: r["p"].split("/")[-2])
+        assert len({r["p"].split("/")[-2] for r in parts}) == len(parts) >= at_least // 2 and sum(r["n"] for r in parts) == 401
+        assert [r["lo"] for r in parts] == sorted(r["lo"] for r in parts)
+        ends = spark.read.parquet(out + "/events*.parquet").selectExpr("_metadata.file_path p", "ts").groupBy("p").agg({"ts": "max"}).collect()
+        hi = {r["p"]: r["max(ts)"] for r in ends}
+        assert all(hi[a["p"]] < b["lo"] for a, b in zip(parts, parts[1:]))
+    got = ST.stream_scoring(spark, ST.arrival_files(spark, str(tmp_path)), KEYS, K.logistic_score("value"), 86400, None).where("request_id < 400")
+    want = K.cached_scoring(ev.where("ts is not null"), KEYS, "ts", "event_id", K.logistic_score("value"), 86400, None, None)[0].select(*got.columns)
+    assert got.count() == 400 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
