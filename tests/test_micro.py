@@ -343,3 +343,10 @@ def test_parse_params_round_trip():
     from clickscope.operators import model as ML
     assert ML.parse_params("maxDepth=5,numTrees=10,stepSize=0.1,x=a") == \
         {"maxDepth": 5, "numTrees": 10, "stepSize": 0.1, "x": "a"}
+
+
+def test_every_period_has_a_rowcount_verdict(spark):
+    from clickscope.operators import quality as Q
+    df = spark.createDataFrame([(d,) for d, n in (("2024-01-01", 10), ("2024-01-02", 20), ("2024-01-04", 21)) for _ in range(n)], "day string")
+    got = [(r["day"], r["prev_rows"], r["deviation"], r["alert"]) for r in Q.rowcount_deviation(df, "day").orderBy("day").collect()]
+    assert got == [("2024-01-01", None, None, False), ("2024-01-02", 10, 1.0, True), ("2024-01-04", 20, 0.05, False)]
