@@ -332,6 +332,32 @@ def test_occurrences_leave_by_partner():
     assert substring_dedup.by_partner(none, none, none, none, none, none).num_rows == 0
 
 
+def test_meetings_are_one_row_a_document(spark):
+    """Documents that share a seed or two with many others each: what leaves a
+    range of seeds is a row a part, and what is joined a row a document."""
+    phrases = [prose(80_000 + i, 12, 10**6) for i in range(400)]
+    rows = [(i, " ".join(f"{phrases[(i * 7 + 31 * j) % 400]} {prose(90_000 + 20 * i + j, 9, 10**6)}" for j in range(8))) for i in range(120)]
+    rows += [(1000 + i, f"{prose(95_000 + i, 30, 10**6)} {phrases[0]} {phrases[1]}") for i in range(40)]
+    src = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "text", "xxhash64(text) as key")
+    met = substring_dedup.meetings(src, 20_000).collect()
+    got = {r["doc"]: r for r in met}
+    seeds = substring_dedup._seeds(src).collect()
+    docs = collections.defaultdict(set)
+    for r in seeds:
+        docs[r["g"]].add(r["doc"])
+    want = collections.defaultdict(list)
+    for r in sorted(seeds, key=lambda r: r["pos"]):
+        if len(docs[r["g"]]) > 1:
+            want[r["doc"]].append((r["pos"], min(docs[r["g"]])))
+    assert len(met) == len(got) and {d: list(zip(r["pos"], r["first"])) for d, r in got.items()} == dict(want)
+    assert all(len(r["pos"]) == len(r["pick"]) == len(r["pick_pos"]) == len(r["first_pos"]) and set(r["pick"]) <= set(got) for r in met)
+    key = np.arange(10_000)
+    t = substring_dedup.by_part(key, 4, doc=key, pos=key)
+    assert t.num_rows == 64 and sorted(t["doc"].combine_chunks().flatten().to_pylist()) == key.tolist() and t["doc"].to_pylist() == t["pos"].to_pylist()
+    none = key[:0]
+    assert substring_dedup.by_part(none, 4, doc=none).num_rows == substring_dedup.by_document(none, none).num_rows == 0
+
+
 def test_broadcast_follows_bytes(spark):
     df = spark.createDataFrame([(i, "x" * 1000, [i] * 5, [{"a": i, "b": None}], None) for i in range(20)], "k long, s string, n array<int>, t array<struct<a:long,b:string>>, z array<long>")
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
@@ -384,6 +410,28 @@ def test_recall_of_substituted_passages(spark):
     assert all(v >= 0.85 for v in share.values()), share
 
 
+def test_single_segments_are_aligned_as_one_by_one():
+    """Many chains of one segment at once give what ``align`` gives for each."""
+    r = np.random.default_rng(8)
+    bws, aws, at, want = [], [], [], []
+    for i in range(600):
+        nb, na, n = r.integers(3, 120), r.integers(3, 120), r.integers(1, 40)
+        n = min(n, nb, na)
+        b0, a0 = r.integers(0, nb - n + 1), r.integers(0, na - n + 1)
+        bw, aw = r.integers(0, 3, nb).astype("<u4"), r.integers(0, 3, na).astype("<u4")
+        if i % 3:                                  # like words around the segment, some of them changed
+            lo, hi = min(b0, a0, r.integers(0, 50)), min(nb - b0, na - a0, n + r.integers(0, 50))
+            aw[a0 - lo:a0 + hi] = np.where(r.random(lo + hi) < 0.15, 9, bw[b0 - lo:b0 + hi])
+        bws.append(bw), aws.append(aw), at.append((b0, a0, n))
+        x = substring_dedup.align(bw, aw, 0, 0, *(np.array([v]) for v in (b0, a0, n)))
+        want.append((b0 - x[0], x[1] - b0 - n, x[4], int((bw[b0:b0 + n] == aw[a0:a0 + n]).sum())))
+    edge = lambda v: np.append(0, np.cumsum([len(x) for x in v]))
+    got = substring_dedup.align_single(np.concatenate(bws), np.concatenate(aws), edge(bws), edge(aws), *np.array(at).T)
+    assert list(zip(*(v.tolist() for v in got))) == want and sum(w[0] + w[1] for w in want) > 1000
+    none = np.empty(0, np.int64)
+    assert all(len(v) == 0 for v in substring_dedup.align_single(none, none, np.zeros(1, np.int64), np.zeros(1, np.int64), none, none, none))
+
+
 def test_chains_beat_no_order():
     """The Fenwick chaining finds the best chain of a brute-force search."""
     r = random.Random(12)
