@@ -21,8 +21,9 @@ from clickscope.sources.tables import landing_listing, read_csv_folder, read_wri
 # tests/test_sources.py checks it against DuckDB's read_blob instead.
 @register("landing_listing")
 def q_landing_listing(spark, sf_dir):
-    """Files of the landing folder with size and SHA-256 (read in parallel by
-    the ``binaryFile`` source; the hash is computed JVM-side)."""
+    """Files of the landing folder with size and SHA-256: small ones by the
+    ``binaryFile`` source, the hash computed JVM-side; large ones a part per
+    task."""
     files = landing_listing(spark, sf_dir, "*.parquet")
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                         "length", "sha256")

@@ -1,13 +1,17 @@
 """Sources and sinks: CSV scan with schema, landing listing, request typing,
 response JSON, metrics map."""
 
+import gzip
+import hashlib
 import os
+import random
 import tempfile
 
 import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from clickscope.functions import checksums as C
 from clickscope.operators import quality as Q
 from clickscope.operators import runlog as RL
 from clickscope.operators import scoring as K
@@ -24,6 +28,40 @@ def test_landing_listing_matches_duckdb_read_blob(spark, sf_dir):
     assert got == want and len(got) == len(S.TABLES)
 
 
+def _sha256_of(folder):
+    return {(str(p), p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in folder.iterdir()}
+
+
+def test_landing_listing_hashes_large_files_by_parts_of_any_length(spark, tmp_path):
+    for n in (1, 999, 1000, 1001, 1999, 2000, 2001, 2113, 4242, 7919):
+        (tmp_path / f"{n}.csv").write_bytes(random.Random(n).randbytes(n))
+    (tmp_path / "a, b{c}[d]*?.csv").write_bytes(b"\xef\xbb\xbfx\r\n\0" * 1500)
+    (tmp_path / "packed.csv.gz").write_bytes(gzip.compress(random.Random(7).randbytes(5000)))
+    listing = S.landing_listing(spark, str(tmp_path), "*", part=1000)
+    assert {(r["path"].removeprefix("file:"), r["length"], r["sha256"]) for r in listing.collect()} == _sha256_of(tmp_path)
+    assert listing.count() == 12 and listing.columns == ["path", "length", "modificationTime", "sha256"]
+    assert listing.schema == S.landing_listing(spark, str(tmp_path), "*").schema
+
+
+def test_no_partition_of_a_large_file_is_over_a_part():
+    for n in (1001, 64_000_001, 645_567_096, 5_599_000_003, 10**13 + 7):
+        part = min(n - 1, C.PART)
+        (_, size, _, parts), (record, tenth, first, end), (_, _, last, _) = C.cut(n, part)
+        rest = n - last * tenth
+        assert size <= part and size == 10 * tenth and size % record == tenth % record == 0
+        assert first == 10 * parts and end == last and 0.1 * tenth < rest < 1.2 * tenth
+
+
+def test_landing_listing_of_a_file_over_2_gb(spark, tmp_path):
+    size = 2**31 + 12_345
+    with open(tmp_path / "big.parquet", "wb") as f:
+        f.truncate(size)
+    want = hashlib.sha256()
+    for n in [10**6] * (size // 10**6) + [size % 10**6]:
+        want.update(bytes(n))
+    assert [tuple(r) for r in E.queries()["landing_listing"](spark, str(tmp_path)).collect()] == [("big.parquet", size, want.hexdigest())]
+
+
 def test_csv_folder_scan_reads_every_file_with_null_markers(spark, sf_dir):
     raw = raw_sessions(spark, sf_dir).withColumnRenamed("session_id", "user_id")
     d = tempfile.mkdtemp(prefix="csv-", dir="/tmp")
