@@ -55,25 +55,27 @@ class ChunkTable:
         self.mark_id = self.sp.piece_to_id(MARK)
         self.lead = self.sp.encode("a")
         self.end = self.sp.eos_id()
+        self.names = [str(i) for i in range(self.sp.get_piece_size())]
         self.ids: dict[str, str] = {}
         self.old: dict[str, str] = {}
         self.changed: dict[str, str] = {}          # chunks that decode to another text
 
     def learn(self, chunks: set[str]) -> None:
         """Afterwards the young generation holds all of ``chunks``."""
-        new = chunks - self.ids.keys()
+        # chunk by chunk: a set less a dict's keys would walk the whole table
+        new = [c for c in chunks if c not in self.ids]
         if len(self.ids) + len(new) > TABLE_CHUNKS // 2:
-            self.old, self.ids, new = self.ids, {}, chunks
-        for c in new & self.old.keys():
-            self.ids[c] = self.old[c]
-        new = list(new - self.old.keys())
+            self.old, self.ids, new = self.ids, {}, list(chunks)
+        self.ids.update((c, self.old[c]) for c in new if c in self.old)
+        new = [c for c in new if c not in self.old]
         # the encoder puts one marker before a text: it stands for a chunk's
         # first space, goes where a chunk starts with a line break, and a lone
         # marker needs none
         found = self.sp.encode([c if c[0] == "\n" else c[1:] for c in new], num_threads=1)
         found = [x[1:] if c[0] == "\n" else x or [self.mark_id] for c, x in zip(new, found)]
-        self.ids.update(zip(new, [" ".join(map(str, x)) for x in found]))
-        back = self.sp.decode([self.lead + x for x in found])
+        self.ids.update(zip(new, [" ".join([self.names[i] for i in x]) for x in found]))
+        # one thread: by default each call starts as many as the machine has cores
+        back = self.sp.decode([self.lead + x for x in found], num_threads=1)
         self.changed.update((c, t[1:]) for c, t in zip(new, back) if t[1:] != c)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:

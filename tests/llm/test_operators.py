@@ -746,3 +746,37 @@ def test_trie_components_equal_brute_force():
                     want[want == want[j]] = want[i]
         got = trie_components(sizes, lists, 75, side)
         assert ((got[:, None] == got) == (want[:, None] == want)).all()
+
+
+def test_chunk_table_looks_up_chunks_alone(monkeypatch):
+    """Encoding and decoding start no threads, a step never walks the table,
+    and generations that change give the same ids and texts."""
+    from clickscope.llm.queries import tokenizer_file
+
+    class Table(dict):
+        def __iter__(self):
+            raise AssertionError("walked")
+
+        keys = items = values = __iter__
+
+    threads = []
+    table = sentencepiece_codec.ChunkTable(tokenizer_file("piece_bpe_32k.model"))
+    plain, real = table.sp, table.sp
+
+    class Recorder:
+        def encode(self, x, num_threads=None):
+            threads.append(num_threads)
+            return real.encode(x, num_threads=num_threads)
+
+        def decode(self, x, num_threads=None):
+            threads.append(num_threads)
+            return real.decode(x, num_threads=num_threads)
+
+    table.sp, table.ids, table.old = Recorder(), Table(), Table()
+    texts = ["one two  three\n four", "", "two four five\nsix", "one\n\n two ▁ three", " six  one"] * 3
+    want = [(" ".join(map(str, plain.encode(t))), plain.decode(plain.encode(t))) for t in texts]
+    assert list(table.encode(texts)) == want and set(threads) == {1}
+    monkeypatch.setattr(sentencepiece_codec, "TABLE_CHUNKS", 6)
+    monkeypatch.setattr(sentencepiece_codec, "STEP_CHARS", 10)
+    table.ids, table.old = {}, {}
+    assert list(table.encode(texts)) == want
